@@ -115,7 +115,7 @@ def marker_stores(spark, sf_dir):
 
 def marker_rejects(spark, sf_dir):
     pages = of_kind(fx.captures(spark, sf_dir, "sitemap"), "sitemap", strict=False)
-    return markers.marker_rejects(markers.marker_values(pages, SPEC, "capture_id")).drop("raw")
+    return markers.marker_rejects(pages, SPEC).drop("raw")
 
 
 def first_wins_stores(spark, sf_dir):

@@ -1,36 +1,44 @@
-"""Reading JSON text while keeping *missing*, *null* and *wrong type* apart.
+"""Reading JSON text while keeping *missing*, *null* and *wrong type* apart, as SQL fragments.
 
 ``from_json`` gives values (the last of duplicate keys wins), ``json_object_keys`` tells a missing key
 from a null one and an object from anything else, and the variant type tells a string from a number.
+All functions take and return SQL text, for use inside lambdas over arrays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+# The JSON texts that count as false.
+FALSY = "('', 'false', '0', '0.0', '-0.0', '[]', '{}')"
 
-_STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
+_STRICT = "map('allowSingleQuotes', 'false', 'columnNameOfCorruptRecord', '_bad')"
 
 
-def fields(text: Column, names: str) -> Column:
+def fields(text: str, names: str) -> str:
     """A struct of string fields (``names`` blank-separated) plus ``_bad``, set if malformed."""
-    columns = [f"{name} STRING" for name in names.split()] + ["_bad STRING"]
-    return F.from_json(text, ", ".join(columns), _STRICT)
+    columns = ", ".join(f"{name} STRING" for name in (*names.split(), "_bad"))
+    return f"from_json({text}, '{columns}', {_STRICT})"
 
 
-def array_of_raw(text: Column, name: str) -> Column:
+def raw_elements(text: str, name: str) -> str:
     """The elements of one array field, each as JSON text."""
-    return F.from_json(text, f"{name} ARRAY<STRING>, _bad STRING", _STRICT)[name]
+    return f"from_json({text}, '{name} ARRAY<STRING>, _bad STRING', {_STRICT}).{name}"
 
 
-def is_object(text: Column) -> Column:
-    return F.json_object_keys(text).isNotNull()
+def parsed(text: str, names: str) -> str:
+    """A struct of the field values ``v`` and the ``keys``, null unless the text is an object."""
+    return f"struct({fields(text, names)} AS v, json_object_keys({text}) AS keys)"
 
 
-def has_key(text: Column, name: str) -> Column:
-    return F.coalesce(F.array_contains(F.json_object_keys(text), name), F.lit(False))
+def has(parsed_text: str, name: str) -> str:
+    return f"coalesce(array_contains({parsed_text}.keys, '{name}'), false)"
 
 
-def type_at(variant: Column, path: str) -> Column:
-    """Type name at ``path``; null where the text has no variant form or nothing is there."""
-    return F.schema_of_variant(F.try_variant_get(variant, path, "variant"))
+def type_is(variant: str, path: str, name: str, unknown: bool) -> str:
+    """Whether the value at ``path`` has the type; ``unknown`` where duplicate keys hide it."""
+    found = f"schema_of_variant(try_variant_get({variant}, '{path}', 'variant'))"
+    return f"coalesce({found} = '{name}', {str(unknown).lower()})"
+
+
+def truthy(text: str) -> str:
+    """Truthiness of a JSON scalar kept as text."""
+    return f"({text} IS NOT NULL AND {text} NOT IN {FALSY})"

@@ -11,9 +11,6 @@ from siteatlas import spec as S
 _UNICODE = "(?dU)"
 _WHITE = r"[\s\x1c-\x1f]"
 
-# The JSON texts that count as false.
-FALSY_JSON = ("", "false", "0", "0.0", "-0.0", "[]", "{}")
-
 
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)^{_WHITE}+|{_WHITE}+$", "")
@@ -76,11 +73,6 @@ def yes_no(flag: Column) -> Column:
     return F.when(flag, "Yes").otherwise("No")
 
 
-def truthy_json(raw: Column) -> Column:
-    """Truthiness of a JSON scalar kept as text."""
-    return raw.isNotNull() & ~raw.isin(*FALSY_JSON)
-
-
 def truthy_text(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 

@@ -15,55 +15,63 @@ DETAIL_FIELDS = ("site_number", "phone", "zip", "lat", "lng")
 MAX_BROADCAST_URLS = 1_000_000
 
 
-def _first_filled(first: Column, second: Column) -> Column:
-    """``first`` unless empty, then ``second``; an empty text is better than nothing at the end."""
-    return F.coalesce(F.nullif(first, F.lit("")), second, first)
+_FOUND_MARKER = f"""struct(
+  {json.parsed('_found.marker', 'title mlat mlng content')} AS m,
+  try_parse_json(_found.marker) AS typed)"""
+
+_WITH_CONTENT = f"""struct(
+  _marker.m, _marker.typed, {json.parsed('_marker.m.v.content', 'title storePhone postalCode')} AS c)"""
+
+# The title decides how far a marker can be read. The marker's own title is used if truthy, else the
+# content's; a title of another type, or a content that is no object, ends the reading there.
+_OWN_IS_TEXT = json.type_is("x.typed", "$.title", "STRING", True)
+_READ_TITLE = f"""struct(
+  x.m, x.c,
+  x.m.v._bad IS NULL AND x.m.keys IS NOT NULL AS readable,
+  NOT {json.has('x.m', 'content')}
+    OR (x.c.keys IS NOT NULL AND NOT {json.type_is('x.typed', '$.content', 'STRING', False)}) AS content_ok,
+  x.m.v.title IS NOT NULL
+    AND CASE WHEN {_OWN_IS_TEXT} THEN x.m.v.title <> '' ELSE {json.truthy('x.m.v.title')} END AS use_own,
+  {_OWN_IS_TEXT} AS own_ok,
+  NOT {json.has('x.c', 'title')}
+    OR (x.c.v.title IS NOT NULL AND {json.type_is('x.typed', '$.content.title', 'STRING', True)}) AS inner_ok)"""
+
+_TITLE_OK = "x.readable AND CASE WHEN x.use_own THEN x.own_ok ELSE x.content_ok AND x.inner_ok END"
+
+_FROM_MARKER = f"""struct(
+  CASE WHEN {_TITLE_OK} THEN CASE WHEN x.use_own THEN x.m.v.title ELSE coalesce(x.c.v.title, '') END END AS title,
+  CASE WHEN {_TITLE_OK} AND x.content_ok
+       THEN struct(x.c.v.storePhone AS phone, x.c.v.postalCode AS zip, x.m.v.mlat AS lat, x.m.v.mlng AS lng) END AS rest)"""
 
 
 def decode_details(found: DataFrame, *keep: str) -> DataFrame:
-    """Choose among the candidates in column ``_found`` (see ``html.details``)."""
-    marker = F.col("_found.marker")
-    parsed = found.withColumns(
-        {"_json": json.fields(marker, "title mlat mlng content"), "_typed": F.try_parse_json(marker)}
-    ).withColumn("_content", json.fields(F.col("_json.content"), "title storePhone postalCode"))
-
-    raw_content = F.col("_json.content")
-    readable = F.coalesce(F.col("_json._bad").isNull() & json.is_object(marker), F.lit(False))
-    has_content = json.has_key(marker, "content")
-    content_ok = ~has_content | (
-        json.is_object(raw_content)
-        & F.coalesce(json.type_at(F.col("_typed"), "$.content") != "STRING", F.lit(True))
-    )
+    """Choose among the candidates in column ``_found`` (see ``html.details``).
 
-    own_title, inner_title = F.col("_json.title"), F.col("_content.title")
+    Empty text passes on to the next candidate, but stands if there is none.
+    """
 
-    def not_text(path):
-        return F.coalesce(json.type_at(F.col("_typed"), path) != "STRING", F.lit(False))
+    def first_filled(first, second):
+        return F.coalesce(F.nullif(first, F.lit("")), second, first)
 
-    own_is_text = ~not_text("$.title")
-    use_own = F.when(own_is_text, text.truthy_text(own_title)).otherwise(text.truthy_json(own_title))
-    inner_ok = content_ok & (
-        ~json.has_key(raw_content, "title") | (inner_title.isNotNull() & ~not_text("$.content.title"))
-    )
-    title_ok = readable & F.when(use_own, own_is_text).otherwise(inner_ok)
-    title = F.when(use_own, own_title).otherwise(text.or_empty(inner_title))
-
-    def from_marker(value, good):
-        return F.when(good, value)
-
-    rest_ok = title_ok & content_ok
-    site_1 = from_marker(text.title_site_number(title), title_ok)
-    site_2 = F.col("_found.site_attr")
-    site_3 = text.review_site_number(F.col("_found.review_url"))
-    return parsed.select(
-        *keep,
-        F.coalesce(site_1, F.nullif(site_2, F.lit("")), site_3, site_2).alias("site_number"),
-        _first_filled(
-            from_marker(F.col("_content.storePhone"), rest_ok), text.tel_phone(F.col("_found.tel"))
-        ).alias("phone"),
-        _first_filled(from_marker(F.col("_content.postalCode"), rest_ok), F.col("_found.postal")).alias("zip"),
-        from_marker(F.col("_json.mlat"), rest_ok).alias("lat"),
-        from_marker(F.col("_json.mlng"), rest_ok).alias("lng"),
+    site_attr = F.col("_found.site_attr")
+    return (
+        found.selectExpr(*keep, "_found", f"{_FOUND_MARKER} AS _marker")
+        .selectExpr(*keep, "_found", f"{_WITH_CONTENT} AS x")
+        .selectExpr(*keep, "_found", f"{_READ_TITLE} AS x")
+        .selectExpr(*keep, "_found", f"{_FROM_MARKER} AS _read")
+        .select(
+            *keep,
+            F.coalesce(
+                text.title_site_number(F.col("_read.title")),
+                F.nullif(site_attr, F.lit("")),
+                text.review_site_number(F.col("_found.review_url")),
+                site_attr,
+            ).alias("site_number"),
+            first_filled(F.col("_read.rest.phone"), text.tel_phone(F.col("_found.tel"))).alias("phone"),
+            first_filled(F.col("_read.rest.zip"), F.col("_found.postal")).alias("zip"),
+            F.col("_read.rest.lat").alias("lat"),
+            F.col("_read.rest.lng").alias("lng"),
+        )
     )
 
 
@@ -73,21 +81,19 @@ def facility_details(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
     return decode_details(found, *keep)
 
 
+# The first script that is an object with an object as its address decides.
+_JSON_LD_STREET = f"""transform(
+  array(get(filter(
+    transform(transform(_found.json_ld, script -> {json.fields('script', 'address')}),
+              x -> CASE WHEN x._bad IS NULL THEN {json.parsed('x.address', 'streetAddress')} END),
+    x -> x.keys IS NOT NULL), 0)),
+  x -> CASE WHEN {json.has('x', 'streetAddress')} THEN x.v.streetAddress ELSE '' END)[0]"""
+
+
 def facility_addresses(pages: DataFrame, *keep: str) -> DataFrame:
     """The ``keep`` columns and ``address``: address element, else JSON-LD, else empty text."""
     found = pages.select(*keep, html.address(F.col("body")).alias("_found"))
-    # The first script that is an object with an object as its address decides.
-    def address_of(script):
-        parsed = json.fields(script, "address")
-        return F.when(parsed["_bad"].isNull(), parsed["address"])
-
-    candidates = F.transform("_found.json_ld", address_of)
-    chosen = F.get(F.filter(candidates, json.is_object), F.lit(0))
-    street = json.fields(chosen, "streetAddress")["streetAddress"]
-    from_json_ld = F.when(json.has_key(chosen, "streetAddress"), street).otherwise("")
-    return found.select(
-        *keep, F.when(F.col("_found.text").isNotNull(), F.col("_found.text")).otherwise(from_json_ld).alias("address")
-    )
+    return found.selectExpr(*keep, f"coalesce(_found.text, {_JSON_LD_STREET}) AS address")
 
 
 def only_wanted(pages: DataFrame, urls: DataFrame) -> DataFrame:

@@ -9,99 +9,99 @@ from siteatlas.functions import html, json, text
 from siteatlas.sources.captures import of_kind
 from siteatlas.spec import SiteSpec
 
-_CONTENT_FIELDS = "storeAddress city stateCode postalCode storePhone plpLink title"
-
-
-def marker_values(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
-    """One row per marker input: the ``keep`` columns, pos, value. Read in the scan stage."""
-    found = pages.filter(html.may_have_tag(F.col("body"), "input")).select(
-        *keep, html.markers(F.col("body"), spec.marker_class).alias("_markers")
+# Each marker is parsed once: m is the marker, c its content; v holds values and keys what is there.
+_PARSED = f"""
+transform(
+  transform(_values, value -> struct(
+    value,
+    {json.parsed('value', 'storeID title mlat mlng content')} AS m,
+    try_parse_json(value) AS typed)),
+  x -> struct(
+    x.value, x.m, x.typed,
+    {json.parsed('x.m.v.content', 'storeAddress city stateCode postalCode storePhone plpLink')} AS c))"""
+
+_REASON = f"""
+CASE
+  WHEN x.value IS NULL OR x.value = '' THEN 'no_value'
+  WHEN x.m.v._bad IS NOT NULL OR x.m.keys IS NULL THEN 'bad_json'
+  WHEN {json.has('x.m', 'content')}
+    AND (x.c.keys IS NULL OR {json.type_is('x.typed', '$.content', 'STRING', False)}) THEN 'bad_content'
+  WHEN {json.has('x.m', 'title')}
+    AND (x.m.v.title IS NULL OR NOT {json.type_is('x.typed', '$.title', 'STRING', True)}) THEN 'bad_title'
+  WHEN {json.has('x.c', 'plpLink')}
+    AND (x.c.v.plpLink IS NULL OR NOT {json.type_is('x.typed', '$.content.plpLink', 'STRING', True)}) THEN 'bad_link'
+  WHEN {json.has('x.m', 'storeID')} AND x.m.v.storeID IS NULL THEN 'null_id'
+END"""
+
+
+def _content_field(name: str) -> str:
+    """Empty text where missing, null where null."""
+    return f"CASE WHEN {json.has('x.c', name)} THEN x.c.v.{name} ELSE '' END"
+
+
+_DECODED = f"""
+transform({_PARSED}, x -> struct(
+  x.value AS raw,
+  {_REASON} AS reason,
+  coalesce(x.m.v.storeID, '') AS store_id,
+  x.m.v.title AS title,
+  {_content_field('storeAddress')} AS address,
+  {_content_field('city')} AS city,
+  {_content_field('stateCode')} AS state,
+  {_content_field('postalCode')} AS zip,
+  {_content_field('storePhone')} AS phone,
+  x.m.v.mlat AS lat,
+  x.m.v.mlng AS lng,
+  {_content_field('plpLink')} AS link))"""
+
+
+def page_markers(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
+    """One row per marker input: the ``keep`` columns, pos, raw, reason (null if usable), fields.
+
+    Everything up to the explode happens inside the page's row, in the stage that scans it.
+    """
+    read = pages.filter(html.may_have_tag(F.col("body"), "input")).select(
+        *keep, html.markers(F.col("body"), spec.marker_class).alias("_values")
     )
-    return found.select(*keep, F.posexplode("_markers").alias("pos", "value"))
-
-
-def _parsed(values: DataFrame) -> DataFrame:
-    return values.withColumns(
-        {
-            "_json": json.fields(F.col("value"), "storeID title mlat mlng content"),
-            "_typed": F.try_parse_json("value"),
-        }
-    ).withColumn("_content", json.fields(F.col("_json.content"), _CONTENT_FIELDS))
-
-
-def _is_text(path: str):
-    # Duplicate keys have no variant form; the text from from_json is then taken as it is.
-    return F.coalesce(json.type_at(F.col("_typed"), path) == "STRING", F.lit(True))
-
-
-def _reject_reason():
-    value, parsed, content = F.col("value"), F.col("_json"), F.col("_content")
-    raw_content = parsed["content"]
-    has_content = json.has_key(value, "content")
+    # Outer: otherwise the optimizer tests "not empty" with a second pass in front of the explode.
     return (
-        F.when(value.isNull() | (value == ""), "no_value")
-        .when(parsed["_bad"].isNotNull() | ~json.is_object(value), "bad_json")
-        .when(
-            has_content
-            & (~json.is_object(raw_content) | F.coalesce(json.type_at(F.col("_typed"), "$.content") == "STRING", F.lit(False))),
-            "bad_content",
-        )
-        .when(json.has_key(value, "title") & (parsed["title"].isNull() | ~_is_text("$.title")), "bad_title")
-        .when(
-            json.has_key(raw_content, "plpLink") & (content["plpLink"].isNull() | ~_is_text("$.content.plpLink")),
-            "bad_link",
-        )
-        .when(json.has_key(value, "storeID") & parsed["storeID"].isNull(), "null_id")
+        read.selectExpr(*keep, f"posexplode_outer({_DECODED}) AS (pos, _marker)")
+        .filter("_marker IS NOT NULL")
+        .select(*keep, "pos", "_marker.*")
     )
 
 
-def marker_rejects(values: DataFrame) -> DataFrame:
+def marker_rejects(pages: DataFrame, spec: SiteSpec) -> DataFrame:
     """Markers that cannot become a store, and why: capture_id, pos, reason, raw."""
-    return (
-        _parsed(values)
-        .select("capture_id", "pos", _reject_reason().alias("reason"), F.col("value").alias("raw"))
-        .filter("reason IS NOT NULL")
-    )
-
-
-def decode_markers(values: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
-    """Markers as stores; a bad marker costs only itself, and so does one without an id."""
-    raw_content, content = F.col("_json.content"), F.col("_content")
+    rejected = page_markers(pages, spec, "capture_id").filter("reason IS NOT NULL")
+    return rejected.select("capture_id", "pos", "reason", "raw")
 
-    def content_field(name):
-        return F.when(json.has_key(raw_content, name), content[name]).otherwise("")
 
-    title = F.when(json.has_key(F.col("value"), "title"), F.col("_json.title")).otherwise("")
+def page_stores(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
+    """Stores on the pages; a bad marker costs only itself, and so does one without an id."""
     return (
-        _parsed(values)
-        .filter(_reject_reason().isNull())
+        page_markers(pages, spec, *keep)
+        .filter("reason IS NULL AND store_id <> ''")
         .select(
             *keep,
             "pos",
-            text.or_empty(F.col("_json.storeID")).alias("store_id"),
-            text.title_site_number(title).alias("site_number"),
-            content_field("storeAddress").alias("address"),
-            content_field("city").alias("city"),
-            content_field("stateCode").alias("state"),
-            content_field("postalCode").alias("zip"),
-            content_field("storePhone").alias("phone"),
-            F.col("_json.mlat").alias("lat"),
-            F.col("_json.mlng").alias("lng"),
-            F.concat(F.lit(spec.base_url), content_field("plpLink")).alias("url"),
+            "store_id",
+            text.title_site_number(F.col("title")).alias("site_number"),
+            *("address", "city", "state", "zip", "phone", "lat", "lng"),
+            F.concat(F.lit(spec.base_url), "link").alias("url"),
         )
-        .filter(F.col("store_id") != "")
     )
 
 
 def stores_on_pages(
     captures: DataFrame, kind: str, pages: DataFrame, spec: SiteSpec, source_rank: int, strict: bool
 ) -> DataFrame:
-    """Stores on the captured pages of one kind that are listed in ``pages``, in discovery order.
+    """Stores on the captured pages of one kind that are listed in ``pages``, with discovery order.
 
     Markers are read and decoded where the page was scanned; only then does the narrow result meet
     the page list, so no page body crosses the network.
     """
-    values = marker_values(of_kind(captures, kind, strict), spec, "url")
-    stores = decode_markers(values.withColumnRenamed("url", "page_url"), spec, "page_url")
+    pages_read = of_kind(captures, kind, strict).withColumnRenamed("url", "page_url")
     ranked = pages.select(F.col("url").alias("page_url"), "page_rank")
-    return stores.join(ranked, "page_url").drop("page_url").withColumn("source_rank", F.lit(source_rank))
+    stores = page_stores(pages_read, spec, "page_url").join(ranked, "page_url").drop("page_url")
+    return stores.withColumn("source_rank", F.lit(source_rank))

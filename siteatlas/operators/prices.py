@@ -9,43 +9,33 @@ from siteatlas.functions import json, text
 from siteatlas.schema import UNITS
 from siteatlas.sources.captures import of_kind
 
-_UNIT_FIELDS = "name saleprice availability count promotionName promotionName2"
-
-
-def _unit(raw: Column) -> Column:
-    unit = json.fields(raw, _UNIT_FIELDS)
-
-    def default_if_missing(name, value, default):
-        return F.when(json.has_key(raw, name), value).otherwise(default)
-
-    return F.struct(
-        default_if_missing("name", unit["name"], F.lit("")).alias("size"),
-        unit["saleprice"].alias("price_raw"),
-        unit["saleprice"].try_cast("double").alias("price"),
-        text.truthy_json(unit["availability"]).alias("available"),
-        default_if_missing("count", unit["count"].try_cast("long"), F.lit(0).cast("long")).alias("count"),
-        text.or_empty(unit["promotionName"]).alias("promo"),
-        text.or_empty(unit["promotionName2"]).alias("promo2"),
-    )
-
-
-def _entry(raw: Column) -> Column:
-    """One store of a payload; ``info`` is empty where missing and null where unusable."""
-    parsed = json.fields(raw, "storeID info")
-    info = json.array_of_raw(raw, "info")
-    return F.struct(
-        F.when(json.has_key(raw, "storeID"), F.coalesce(parsed["storeID"], F.lit("None")))
-        .otherwise("")
-        .alias("store_id"),
-        F.when(~json.is_object(raw), F.lit(None))
-        .when(json.has_key(raw, "info"), info)
-        .otherwise(F.array().cast("array<string>"))
-        .alias("info"),
-    )
-
-
-def _usable(entry: Column) -> Column:
-    return entry["info"].isNotNull() & F.coalesce(F.forall(entry["info"], json.is_object), F.lit(False))
+# Every store and unit is parsed once: v holds values and keys what is there. The units of a store
+# are empty where ``info`` is missing and null where it is unusable.
+_ENTRIES = f"""
+transform(
+  transform({json.raw_elements('body', 'promoInfoArr')}, raw -> {json.parsed('raw', 'storeID info')}),
+  e -> struct(
+    CASE WHEN {json.has('e', 'storeID')} THEN coalesce(e.v.storeID, 'None') ELSE '' END AS store_id,
+    transform(
+      CASE WHEN {json.has('e', 'info')} THEN from_json(e.v.info, 'ARRAY<STRING>')
+           WHEN e.keys IS NOT NULL THEN CAST(array() AS ARRAY<STRING>) END,
+      raw -> {json.parsed('raw', 'name saleprice availability count promotionName promotionName2')}) AS info))"""
+
+_USABLE = "coalesce(forall(e.info, u -> u.keys IS NOT NULL), false)"
+
+# One-element wrapper, so that the parsed entries are made once for the test and for the result.
+_STRICT_ENTRIES = f"flatten(filter(array({_ENTRIES}), entries -> forall(entries, e -> {_USABLE})))"
+_LENIENT_ENTRIES = f"filter({_ENTRIES}, e -> {_USABLE})"
+
+_UNITS = f"""
+transform(_entry.info, u -> struct(
+  CASE WHEN {json.has('u', 'name')} THEN u.v.name ELSE '' END AS size,
+  u.v.saleprice AS price_raw,
+  try_cast(u.v.saleprice AS DOUBLE) AS price,
+  {json.truthy('u.v.availability')} AS available,
+  CASE WHEN {json.has('u', 'count')} THEN try_cast(u.v.count AS BIGINT) ELSE 0L END AS count,
+  coalesce(u.v.promotionName, '') AS promo,
+  coalesce(u.v.promotionName2, '') AS promo2))"""
 
 
 def price_entries(captures: DataFrame, strict_batch: bool = True) -> DataFrame:
@@ -54,21 +44,13 @@ def price_entries(captures: DataFrame, strict_batch: bool = True) -> DataFrame:
     A payload is one row, so ``strict_batch`` (one unusable store voids the whole payload) is decided
     inside the row, before anything is exploded or shuffled.
     """
-    payloads = of_kind(captures, "price").select(
-        "capture_id", "page_rank", json.array_of_raw(F.col("body"), "promoInfoArr").alias("_raw")
-    )
-    entries = payloads.select("capture_id", "page_rank", F.transform("_raw", _entry).alias("_entries"))
-    if strict_batch:
-        entries = entries.filter(F.forall("_entries", _usable))
-    exploded = entries.select("capture_id", "page_rank", F.posexplode("_entries").alias("pos", "_entry"))
-    if not strict_batch:
-        exploded = exploded.filter(_usable(F.col("_entry")))
-    return exploded.select(
-        "capture_id",
-        "page_rank",
-        "pos",
-        "_entry.store_id",
-        F.transform("_entry.info", _unit).cast(UNITS).alias("units"),
+    entries = _STRICT_ENTRIES if strict_batch else _LENIENT_ENTRIES
+    # Outer: otherwise the optimizer tests "not empty" with a second parse in front of the explode.
+    return (
+        of_kind(captures, "price")
+        .selectExpr("capture_id", "page_rank", f"posexplode_outer({entries}) AS (pos, _entry)")
+        .filter("_entry IS NOT NULL")
+        .selectExpr("capture_id", "page_rank", "pos", "_entry.store_id", f"{_UNITS} AS units")
     )
 
 
@@ -92,55 +74,32 @@ def price_summary(captures: DataFrame, strict_batch: bool = True) -> DataFrame:
     Unit lists are reduced where they were parsed; four scalars per store are shuffled instead.
     """
     entries = price_entries(captures, strict_batch)
-    return last_wins(entries.withColumn("summary", unit_summary(F.col("units"))), "summary")
+    return last_wins(entries.withColumn("summary", unit_summary()), "summary")
 
 
-def available_units(units: Column) -> Column:
-    """Units on offer at a price: a price of zero or null does not count."""
-    return F.filter(units, lambda u: u["available"] & text.truthy_json(u["price_raw"]))
+def unit_summary(units: str = "units") -> Column:
+    """Cheapest available unit (the first of equals), units available, and length of a unit list.
 
-
-def cheapest_unit(units: Column) -> Column:
-    """The cheapest available unit, the first of equals; null if there is none."""
-    ranked = F.transform(
-        available_units(units),
-        lambda u, i: F.struct(
-            u["price"].isNull().alias("no_number"), u["price"].alias("price"), i.alias("i"), u["size"].alias("size"),
-            u["price_raw"].alias("price_raw"),
-        ),
-    )
-    return F.array_min(ranked)
-
-
-def count_available(units: Column) -> Column:
-    return F.aggregate(
-        available_units(units),
-        F.lit(0).cast("long"),
-        lambda total, u: total + F.coalesce(u["count"], F.lit(0).cast("long")),
-    )
-
-
-def unit_summary(units: Column) -> Column:
-    cheapest = cheapest_unit(units)
-    return F.struct(
-        cheapest["size"].alias("cheapest_size"),
-        cheapest["price_raw"].alias("cheapest_price_raw"),
-        F.coalesce(count_available(units), F.lit(0).cast("long")).alias("units_available"),
-        F.greatest(F.size(units), F.lit(0)).cast("long").alias("n_units"),
+    A unit is available at a price only: a price of zero or null does not count. Prices compare as
+    numbers; a price that is none comes last.
+    """
+    available = f"filter({units}, u -> u.available AND {json.truthy('u.price_raw')})"
+    cheapest = f"""array_min(transform({available}, (u, i) -> struct(
+        u.price IS NULL AS no_number, u.price, i, u.size, u.price_raw)))"""
+    total = f"aggregate({available}, 0L, (total, u) -> total + coalesce(u.count, 0L))"
+    return F.expr(
+        f"""struct(
+            {cheapest}.size AS cheapest_size,
+            {cheapest}.price_raw AS cheapest_price_raw,
+            coalesce({total}, 0L) AS units_available,
+            CAST(coalesce(size({units}), 0) AS BIGINT) AS n_units)"""
     )
 
 
-def empty_units() -> Column:
-    return F.array().cast(UNITS)
-
-
 def attach_units(stores: DataFrame, prices: DataFrame) -> DataFrame:
     """Every store with its units, or with none; prices of unknown stores are ignored."""
-    return (
-        stores.drop("units")
-        .join(prices.select("store_id", "units"), "store_id", "left")
-        .withColumn("units", F.coalesce("units", empty_units()))
-    )
+    joined = stores.drop("units").join(prices.select("store_id", "units"), "store_id", "left")
+    return joined.withColumn("units", F.coalesce("units", F.array().cast(UNITS)))
 
 
 def attach_summary(stores: DataFrame, summaries: DataFrame) -> DataFrame:
@@ -153,10 +112,8 @@ def with_pricing(stores: DataFrame) -> DataFrame:
 
 def responses_per_payload(captures: DataFrame) -> DataFrame:
     """Distinct stores answered by each payload; 0 for a void or failed one. No shuffle."""
-    raw = json.array_of_raw(F.col("body"), "promoInfoArr")
-    entries = F.transform(raw, _entry)
-    good = (F.col("status") < 400) & F.coalesce(F.forall(entries, _usable), F.lit(False))
-    ids = F.array_distinct(F.transform(entries, lambda e: e["store_id"]))
-    return captures.filter("kind = 'price'").select(
-        "capture_id", F.when(good, F.size(ids)).otherwise(0).cast("long").alias("n_responses")
+    answered = f"size(array_distinct(transform({_STRICT_ENTRIES}, e -> e.store_id)))"
+    return captures.filter("kind = 'price'").selectExpr(
+        "capture_id",
+        f"CAST(CASE WHEN status < 400 THEN coalesce({answered}, 0) ELSE 0 END AS BIGINT) AS n_responses",
     )

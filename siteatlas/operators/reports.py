@@ -18,7 +18,7 @@ def _field(df: DataFrame, name: str) -> Column:
 
 
 def _summary(df: DataFrame) -> Column:
-    return F.col("summary") if "summary" in df.columns else unit_summary(F.col("units"))
+    return F.col("summary") if "summary" in df.columns else unit_summary()
 
 
 def _price_and_count(df: DataFrame) -> list[Column]:
