@@ -9,12 +9,11 @@ offers to a store and 20 stores to a price payload.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteatlas.operators.reconcile import union_all
 from siteatlas.schema import CAPTURES
-from siteatlas.session import new_work_dir
 from siteatlas.spec import SiteSpec
 
 BASE = "https://atlas.example"
@@ -108,52 +107,54 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with every field a page may show."""
-    columns = [F.expr(expression).alias(name) for name, expression in STORE_COLUMNS.items()]
-    return _table(spark, sf_dir, "customer").select(*columns)
-
-
-def _variants(stores: DataFrame, *cases: tuple[str, str, str]) -> DataFrame:
-    """One row per place a store is shown at: (condition, place expression, street expression)."""
-    places = F.filter(
-        F.array(
-            *[
-                F.when(
-                    F.expr(condition),
-                    F.struct(F.lit(i).alias("copy"), F.expr(place).alias("place"), F.expr(street).alias("shown_street")),
-                )
-                for i, (condition, place, street) in enumerate(cases)
-            ]
-        ),
-        lambda shown: shown.isNotNull(),
+    columns = [f"{expression} AS {name}" for name, expression in STORE_COLUMNS.items()]
+    return _table(spark, sf_dir, "customer").selectExpr(*columns)
+
+
+def _shown(stores: DataFrame, *cases: tuple[str, str, str]) -> DataFrame:
+    """One row per place a store is shown at: (condition, place, street) of each case."""
+    places = ", ".join(
+        f"if({condition}, struct({copy} AS copy, {place} AS place, {street} AS shown_street), null)"
+        for copy, (condition, place, street) in enumerate(cases)
     )
-    return stores.withColumn("_shown", F.explode(places)).select("*", "_shown.*").drop("_shown")
+    return stores.selectExpr("*", f"inline(filter(array({places}), x -> x IS NOT NULL))")
 
 
-def _with_html(shown: DataFrame) -> DataFrame:
-    return shown.withColumn("marker_json", F.expr(MARKER_JSON)).withColumn("marker_html", F.expr(MARKER_HTML))
+def _grouped(rows: DataFrame, *keys: str) -> DataFrame:
+    """Spread rows over the session's shuffle partitions by key.
 
+    Reading the documents costs far more than their size suggests, so the number of partitions is
+    not left to be reduced by size.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
-def _page_body(item: Column, head: str) -> Column:
-    """The items of one page in order of (k, copy)."""
-    items = F.transform(
-        F.array_sort(F.collect_list(F.struct("k", "copy", item.alias("html")))), lambda row: row["html"]
-    )
-    return F.concat(F.lit(head), F.array_join(items, "\n"))
+
+def _page(rows: DataFrame, html: str, head: str, *keys: str) -> DataFrame:
+    """One page per key: the html of its rows in order of (k, copy)."""
+    items = "transform(array_sort(collect_list(struct(k, copy, html))), x -> x.html)"
+    body = F.expr(f"concat('{head}', array_join({items}, '\\n'))").alias("body")
+    return _grouped(rows.selectExpr(*keys, "k", "copy", f"{html} AS html"), *keys).groupBy(*keys).agg(body)
 
 
-def _capture(kind: str, url: Column, body: Column, status: Column, key: Column, page_rank: Column | None = None):
-    """The columns of a capture; ``key`` is unique inside the kind."""
+def _captures(rows: DataFrame, kind: str, key: str, url: str, status: str, page_rank: str = "null") -> DataFrame:
+    """Captures of one kind; ``key`` is unique inside the kind."""
     offset = ["index", "sitemap", "search", "facility", "price"].index(kind)
     values = {
-        "capture_id": key * 5 + offset,
-        "kind": F.lit(kind),
+        "capture_id": f"{key} * 5 + {offset}",
+        "kind": f"'{kind}'",
         "url": url,
         "status": status,
-        "body": body,
-        "page_rank": page_rank if page_rank is not None else F.lit(None),
-        "fetched_at": F.timestamp_seconds(key),
+        "body": "body",
+        "page_rank": page_rank,
+        "fetched_at": f"timestamp_seconds({key})",
     }
-    return [values[field.name].cast(field.dataType).alias(field.name) for field in CAPTURES]
+    return rows.selectExpr(
+        *[f"CAST({values[field.name]} AS {field.dataType.simpleString()}) AS {field.name}" for field in CAPTURES]
+    )
+
+
+def _with_marker(shown: DataFrame) -> DataFrame:
+    return shown.selectExpr("*", f"{MARKER_JSON} AS marker_json").selectExpr("*", f"{MARKER_HTML} AS marker_html")
 
 
 def _state_page_places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,142 +162,117 @@ def _state_page_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A store that no state page shows still makes its page exist; its html is null.
     """
-    shown = _variants(
+    shown = _shown(
         customers(spark, sf_dir),
         ("true", "n", "street"),
         ("k % 5 <> 0 and k % 29 = 0", "n", "concat('DUP ', k)"),
         ("k % 5 <> 0 and k % 31 = 0", "(n + 1) % 25", "concat('ALT ', k)"),
     )
-    nations = _table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("place"), F.expr("replace(lower(n_name), '_', '-')").alias("nation_slug")
+    nations = _table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey AS place", "replace(lower(n_name), '_', '-') AS nation_slug"
+    )
+    return shown.join(nations, "place").selectExpr(
+        "*", "concat('/site-map-states-', nation_slug, '-', b) AS path", f"'{BASE}' AS base"
     )
-    path = F.concat(F.lit("/site-map-states-"), F.col("nation_slug"), F.lit("-"), F.col("b"))
-    return shown.join(nations, "place").withColumn("path", path)
 
 
 def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One per block of 1000 customers, linking the block's state pages."""
-    pages = _state_page_places(spark, sf_dir).groupBy("b", "place").agg(F.min("path").alias("path"))
-    link = F.expr(
-        f"""concat('<a href="', if(place % 2 = 1, '{BASE}', ''), path, '">', place, '</a>',
-            if(place = 3, concat('<a href="', path, '">again</a>'), ''))"""
-    )
-    links = F.array_sort(F.collect_list(F.struct("place", link.alias("html"))))
-    body = F.concat(
-        F.lit('<html><a href="/about">About</a><a name="site-map-states-">top</a>'),
-        F.array_join(F.transform(links, lambda row: row["html"]), "\n"),
-    )
-    return (
-        pages.groupBy("b")
-        .agg(body.alias("body"))
-        .select(*_capture("index", F.concat(F.lit(BASE + "/index/"), "b"), F.col("body"), F.lit(200), F.col("b")))
-    )
+    pages = _state_page_places(spark, sf_dir).select("b", "place", "path").distinct()
+    link = f"""concat('<a href="', if(place % 2 = 1, '{BASE}', ''), path, '">', place, '</a>',
+        if(place = 3, concat('<a href="', path, '">again</a>'), ''))"""
+    head = '<html><a href="/about">About</a><a name="site-map-states-">top</a>'
+    rows = pages.selectExpr("b", "place AS k", "0 AS copy", "place", "path")
+    return _captures(_page(rows, link, head, "b"), "index", "b", f"concat('{BASE}/index/', b)", "200")
 
 
 def state_page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nation 11's pages failed with a body, which only lenient readers use."""
-    shown = _with_html(_state_page_places(spark, sf_dir).withColumn("base", F.lit(BASE)))
-    item = F.when(F.expr("k % 5 <> 0"), F.concat("marker_html", F.expr(LINK_HTML)))
-    return (
-        shown.groupBy("b", "place", "path")
-        .agg(_page_body(item, '<html><a href="/">Home</a><ul>').alias("body"))
-        .select(
-            *_capture(
-                "sitemap",
-                F.concat(F.lit(BASE), "path"),
-                F.col("body"),
-                F.when(F.col("place") == 11, 404).otherwise(200),
-                F.col("b") * 25 + F.col("place"),
-            )
-        )
+    item = f"if(k % 5 <> 0, concat(marker_html, {LINK_HTML}), null)"
+    pages = _page(
+        _with_marker(_state_page_places(spark, sf_dir)), item, '<html><a href="/">Home</a><ul>', "b", "place", "path"
     )
+    return _captures(pages, "sitemap", "(b * 25 + place)", f"concat('{BASE}', path)", "if(place = 11, 404, 200)")
 
 
-def _zip(seed: str) -> Column:
-    return F.expr(f"lpad(string({seed}), greatest(5, length(string({seed}))), '0')")
+def _zip(seed: str) -> str:
+    return f"lpad(string({seed}), greatest(5, length(string({seed}))), '0')"
 
 
 def search_page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stores near a seed; every thirteenth page failed with a body."""
-    shown = _variants(
+    shown = _shown(
         customers(spark, sf_dir),
         ("true", "seed", "street"),
         ("k % 6 = 0", "alt_seed", "concat('ALT ', k)"),
     )
-    item = F.when(F.expr("copy = 1 or k % 3 = 0 or k % 5 = 0"), F.col("marker_html"))
-    return (
-        _with_html(shown)
-        .groupBy("place")
-        .agg(_page_body(item, "<html><p>Results<p>").alias("body"))
-        .select(
-            *_capture(
-                "search",
-                F.concat(F.lit(BASE + "/find?near="), _zip("place")),
-                F.col("body"),
-                F.when(F.expr("place % 13 = 0"), 500).otherwise(200),
-                F.col("place"),
-            )
-        )
-    )
+    item = "if(copy = 1 or k % 3 = 0 or k % 5 = 0, marker_html, null)"
+    pages = _page(_with_marker(shown), item, "<html><p>Results<p>", "place")
+    url = f"concat('{BASE}/find?near=', {_zip('place')})"
+    return _captures(pages, "search", "place", url, "if(place % 13 = 0, 500, 200)")
 
 
 def facility_page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stores = _with_html(customers(spark, sf_dir).withColumn("shown_street", F.col("street")))
-    status = F.when(F.expr("k % 8 = 5"), 500).otherwise(200)
-    return stores.select(
-        *_capture("facility", F.concat(F.lit(BASE), "link"), F.expr(FACILITY_HTML), status, F.col("k"))
-    )
+    stores = _with_marker(customers(spark, sf_dir).withColumnRenamed("street", "shown_street"))
+    pages = _grouped(stores.selectExpr("k", "link", f"{FACILITY_HTML} AS body"), "k")
+    return _captures(pages, "facility", "k", f"concat('{BASE}', link)", "if(k % 8 = 5, 500, 200)")
 
 
-def _payloads(spark: SparkSession, sf_dir: str, bump: int) -> DataFrame:
-    offers = (
-        _table(spark, sf_dir, "orders")
-        .withColumn("_store", F.expr("o_orderkey div 10"))
-        .select(
-            F.expr("if(_store % 9 = 4, _store - 1, _store)").alias("k"),
-            "o_orderkey",
-            F.expr(UNIT_JSON.replace("bump", str(bump))).alias("json"),
-        )
-        .groupBy("k")
-        .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "json"))).alias("units"))
-    )
-    info = F.array_join(F.transform(F.coalesce("units", F.array()), lambda row: row["json"]), ",")
-    entry = F.expr(
-        """concat(
-            if(k % 20 = 7 and p % 3 = 1, concat('{"storeID":"', store_id, '","info":[]},'), ''),
-            '{"storeID":', if(k % 2 = 1, store_id, concat('"', store_id, '"')), ',"info":',
-            if(k % 20 = 0 and p % 37 = 36, 'null', concat('[', info, ']')), '}')"""
-    )
-    stores = customers(spark, sf_dir).select("k", "store_id", F.expr("k div 20").alias("p"))
-    entries = (
-        stores.join(offers, "k", "left")
-        .withColumn("info", info)
-        .select("k", "p", F.when(F.expr("k % 10 <> 3"), entry).alias("json"))
+def price_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload per 20 customers; some are void, some failed, some are sent again later.
+
+    Customers and offers meet in one shuffle, by payload.
+    """
+    offers = _table(spark, sf_dir, "orders").selectExpr(
+        "if((o_orderkey div 10) % 9 = 4, o_orderkey div 10 - 1, o_orderkey div 10) AS k",
+        "null AS store_id",
+        "o_orderkey",
+        f"{UNIT_JSON.replace('bump', '0')} AS unit",
+        f"{UNIT_JSON.replace('bump', '1')} AS unit_again",
     )
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("k", "json"))), lambda row: row["json"])
-    body = F.concat(
-        F.lit('{"promoInfoArr":['),
-        F.array_join("_listed", ","),
-        F.expr("""if(p % 5 = 0, concat(',{"storeID":"U', p, '"}'), '')"""),
-        F.lit("]}"),
+    stores = customers(spark, sf_dir).selectExpr(
+        "k", "store_id", "null AS o_orderkey", "null AS unit", "null AS unit_again"
     )
-    return entries.groupBy("p").agg(listed.alias("_listed")).select("p", F.lit(bump).alias("bump"), body.alias("body"))
+    rows = union_all(stores, offers).selectExpr("k div 20 AS p", "*")
 
+    def info(unit):
+        return f"array_join(transform(array_sort(collect_list(struct(o_orderkey, {unit} AS u))), x -> x.u), ',')"
 
-def price_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payload per 20 customers; some are void, some failed, some are sent again later."""
-    first = _payloads(spark, sf_dir, 0)
-    again = _payloads(spark, sf_dir, 1).filter("p % 41 = 40")
-    rank = F.col("p") + F.col("bump") * RESENT
-    return union_all(first, again).select(
-        *_capture(
-            "price",
-            F.concat(F.lit(BASE + "/prices?sites=batch-"), "p"),
-            F.col("body"),
-            F.when(F.expr("p % 29 = 28"), 503).otherwise(200),
-            rank,
-            rank,
+    def entry(units):
+        return f"""concat(
+            if(k % 20 = 7 and p % 3 = 1, concat('{{"storeID":"', store_id, '","info":[]}},'), ''),
+            '{{"storeID":', if(k % 2 = 1, store_id, concat('"', store_id, '"')), ',"info":',
+            if(k % 20 = 0 and p % 37 = 36, 'null', concat('[', {units}, ']')), '}}')"""
+
+    def payload(json):
+        listed = f"array_join(transform(array_sort(collect_list(struct(k, {json} AS j))), x -> x.j), ',')"
+        more = """if(p % 5 = 0, concat(',{"storeID":"U', p, '"}'), '')"""
+        return F.expr(f"""concat('{{"promoInfoArr":[', {listed}, {more}, ']}}')""")
+
+    entries = (
+        _grouped(rows, "p")
+        .groupBy("p", "k")
+        .agg(
+            F.max("store_id").alias("store_id"),
+            F.expr(info("unit")).alias("units"),
+            F.expr(info("unit_again")).alias("units_again"),
         )
+        .filter("store_id IS NOT NULL")
+        .selectExpr(
+            "p",
+            "k",
+            f"if(k % 10 <> 3, {entry('units')}, null) AS entry",
+            f"if(k % 10 <> 3 and p % 41 = 40, {entry('units_again')}, null) AS entry_again",
+        )
+    )
+    payloads = entries.groupBy("p").agg(payload("entry").alias("first"), payload("entry_again").alias("again"))
+    sent = payloads.selectExpr(
+        "p",
+        f"""inline(if(p % 41 = 40, array(struct(p AS rank, first AS body), struct(p + {RESENT}L AS rank, again AS body)),
+                      array(struct(p AS rank, first AS body))))""",
+    )
+    return _captures(
+        sent, "price", "rank", f"concat('{BASE}/prices?sites=batch-', p)", "if(p % 29 = 28, 503, 200)", "rank"
     )
 
 
@@ -315,59 +291,41 @@ def captures(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
 
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seed some customer is near to; each tenth is repeated at the end."""
-    near = customers(spark, sf_dir).groupBy("seed").agg(F.lit(1).alias("_"))
-    ranks = F.when(F.expr("seed % 10 = 0"), F.array(F.col("seed"), F.col("seed") + RESENT)).otherwise(
-        F.array("seed")
-    )
-    return near.select(F.explode(ranks).alias("seed_rank"), _zip("seed").alias("zip"))
+    ranks = f"if(seed % 10 = 0, array(seed, seed + {RESENT}), array(seed))"
+    near = customers(spark, sf_dir).select("seed").distinct()
+    return near.selectExpr(f"explode({ranks}) AS seed_rank", f"{_zip('seed')} AS zip")
 
 
 def known_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The even customers, as found by an earlier run, with no units yet."""
-    stores = customers(spark, sf_dir).filter("k % 2 = 0")
-    return stores.select(
+    return customers(spark, sf_dir).filter("k % 2 = 0").selectExpr(
         "store_id",
-        F.when(F.expr("k % 7 <> 0"), F.expr("string(200000 + k)")).alias("site_number"),
-        F.concat(F.lit("OLD "), "k").alias("address"),
-        "city",
-        "state",
-        "zip",
-        "phone",
-        "lat",
-        F.lit(None).cast("string").alias("lng"),
-        F.concat(F.lit(BASE), "link").alias("url"),
+        "if(k % 7 <> 0, string(200000 + k), null) AS site_number",
+        "concat('OLD ', k) AS address",
+        *("city", "state", "zip", "phone", "lat"),
+        "string(null) AS lng",
+        f"concat('{BASE}', link) AS url",
     )
 
 
 def partly_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers: a third done, a third with only a phone, a third bare."""
-    url = F.when(F.expr("k % 23 = 0"), F.lit(BASE)).otherwise(F.concat(F.lit(BASE), "link"))
-    return customers(spark, sf_dir).select(
+    return customers(spark, sf_dir).selectExpr(
         "store_id",
-        F.expr("if(k % 3 = 0, string(100000 + k), null)").alias("site_number"),
-        F.concat("k", F.lit(" Main St")).alias("address"),
-        "city",
-        "state",
-        F.expr("if(k % 6 = 0, 'old', null)").alias("zip"),
-        F.expr("if(k % 3 = 1, concat('old-', k), null)").alias("phone"),
-        url.alias("url"),
+        "if(k % 3 = 0, string(100000 + k), null) AS site_number",
+        "concat(k, ' Main St') AS address",
+        *("city", "state"),
+        "if(k % 6 = 0, 'old', null) AS zip",
+        "if(k % 3 = 1, concat('old-', k), null) AS phone",
+        f"if(k % 23 = 0, '{BASE}', concat('{BASE}', link)) AS url",
     )
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers as link-only locations; two thirds lack an address."""
-    return customers(spark, sf_dir).select(
-        F.col("store_id").alias("store_number"),
-        F.expr("if(k % 3 = 0, street, '')").alias("address"),
-        "city",
-        "state",
-        F.concat(F.lit(BASE), "link").alias("url"),
+    return customers(spark, sf_dir).selectExpr(
+        "store_id AS store_number",
+        "if(k % 3 = 0, street, '') AS address",
+        *("city", "state"),
+        f"concat('{BASE}', link) AS url",
     )
-
-
-def landed(spark: SparkSession, frames: list[DataFrame]) -> str:
-    """A new shared folder with the given captures as files."""
-    path = new_work_dir(spark, "landing")
-    for frame in frames:
-        frame.write.mode("append").parquet(path)
-    return path
