@@ -17,14 +17,18 @@ def page_links(pages: DataFrame, *keep: str, body: str = "body") -> DataFrame:
     The body is read in the scan stage and never shuffled.
     """
     found = pages.filter(html.may_have_tag(F.col(body), "a")).select(*keep, html.links(F.col(body)).alias("_links"))
-    return found.select(*keep, F.posexplode("_links").alias("pos", "_link")).select(
-        *keep, "pos", "_link.href", "_link.text"
+    # Outer: otherwise the optimizer tests "not empty" with a second HTML pass in front of the explode.
+    return (
+        found.select(*keep, F.posexplode_outer("_links").alias("pos", "_link"))
+        .filter("_link IS NOT NULL")
+        .select(*keep, "pos", "_link.href", "_link.text")
     )
 
 
 def links_per_page(pages: DataFrame, *keep: str, body: str = "body") -> DataFrame:
     """Number of links on every page, pages without links included. No shuffle."""
-    return pages.select(*keep, F.size(html.links(F.col(body))).cast("long").alias("n_links"))
+    n_links = F.coalesce(F.size(html.links(F.col(body))), F.lit(0))
+    return pages.select(*keep, n_links.cast("long").alias("n_links"))
 
 
 def distinct_absolute_links(links: DataFrame, base_url: str) -> DataFrame:
