@@ -1,0 +1,121 @@
+"""Detail cascade, address cascade, and merging details into the catalog."""
+
+import html as escape
+
+import pytest
+
+from siteatlas.operators import details
+
+MARKER = '{"title":"12345 - X","mlat":1,"mlng":2,"content":{"storePhone":"5","postalCode":"01234","title":"99999 - Y"}}'
+FOUND = ("12345", "5", "01234", "1", "2")
+NOTHING = (None, None, None, None, None)
+TEL = '<a href="tel: 55tel:5 ">x</a>'
+POSTAL = '<p itemprop=postalCode> 999 </p>'
+SITE = "<p data-sitenumber=777>"
+REVIEW = '<p id=PLPReviews data-ratingurl="?SiteNumber=888&x">'
+
+
+def marker(value):
+    return f'<input class=siteMarker value="{escape.escape(value)}">'
+
+
+CASES = [
+    ("marker alone", marker(MARKER), FOUND),
+    ("marker first", SITE + REVIEW + TEL + POSTAL + marker(MARKER), FOUND),
+    ("nothing", "<p>", NOTHING),
+    ("bad marker", marker("x") + SITE + TEL + POSTAL, ("777", "555", "999", None, None)),
+    ("empty marker", marker("") + marker(MARKER) + SITE, ("777", None, None, None, None)),
+    ("only the first marker", marker("{}") + marker(MARKER), NOTHING),
+    ("review number", REVIEW, ("888", None, None, None, None)),
+    ("attribute before review", REVIEW + SITE, ("777", None, None, None, None)),
+    ("empty attribute passes on", "<p data-sitenumber=''>" + REVIEW, ("888", None, None, None, None)),
+    ("empty attribute stands", "<p data-sitenumber>", ("", None, None, None, None)),
+    ("review without number", "<p id=PLPReviews data-ratingurl=x>", NOTHING),
+    ("empty phone passes on", marker(MARKER.replace('"5"', '""')) + TEL, ("12345", "555", "01234", "1", "2")),
+    ("empty phone stands", marker(MARKER.replace('"5"', '""')), ("12345", "", "01234", "1", "2")),
+    ("null phone passes on", marker(MARKER.replace('"5"', "null")) + TEL, ("12345", "555", "01234", "1", "2")),
+    ("missing phone", marker(MARKER.replace('"storePhone":"5",', "")), ("12345", None, "01234", "1", "2")),
+    ("empty tel", "<a href='tel:'>x</a>", (None, "", None, None, None)),
+    ("content title if own is empty", marker(MARKER.replace("12345 - X", "")), ("99999", *FOUND[1:])),
+    ("content title if own is null", marker(MARKER.replace('"12345 - X"', "null")), ("99999", *FOUND[1:])),
+    ("content title if own is zero", marker(MARKER.replace('"12345 - X"', "0")), ("99999", *FOUND[1:])),
+    ("title number ends the reading", marker(MARKER.replace('"12345 - X"', "12345")) + SITE, ("777", None, None, None, None)),
+    ("title without number", marker(MARKER.replace("12345 - X", "X")) + SITE, ("777", *FOUND[1:])),
+    ("content null, title good", marker('{"title":"12345 - X","mlat":1,"content":null}') + TEL, ("12345", "555", None, None, None)),
+    ("content null, title empty", marker('{"title":"","mlat":1,"content":null}') + SITE, ("777", None, None, None, None)),
+    ("content text", marker('{"title":"12345 - X","mlat":1,"content":"{}"}'), ("12345", None, None, None, None)),
+    ("content missing", marker('{"title":"12345 - X","mlat":1}'), ("12345", None, None, "1", None)),
+    ("content title null", marker('{"mlat":1,"content":{"title":null,"storePhone":"5"}}'), NOTHING),
+    ("no title at all", marker('{"mlat":1,"content":{"storePhone":"5"}}'), (None, "5", None, "1", None)),
+]
+
+
+@pytest.fixture(scope="module")
+def found(make_captures, spec):
+    captures = make_captures(*[("facility", name, body) for name, body, _ in CASES])
+    rows = details.facility_details(captures, spec, "url").collect()
+    return {r.url: tuple(r[1:]) for r in rows}
+
+
+@pytest.mark.parametrize("name, expected", [(c[0], c[2]) for c in CASES], ids=[c[0] for c in CASES])
+def test_cascade(found, name, expected):
+    assert found[name] == expected
+
+
+LD = "<script type='application/ld+json'>{}</script>"
+ADDRESS_CASES = [
+    ("<p itemprop=streetAddress>a</p>" + LD.format('{"address":{"streetAddress":"b"}}'), "a"),
+    ("<p class=address></p>" + LD.format('{"address":{"streetAddress":"b"}}'), ""),
+    (LD.format('{"address":{"streetAddress":"b"}}') + LD.format('{"address":{"streetAddress":"c"}}'), "b"),
+    (LD.format("x") + LD.format("[1]") + LD.format('{"address":"t"}') + LD.format('{"address":{"streetAddress":"c"}}'), "c"),
+    (LD.format('{"address":{}}') + LD.format('{"address":{"streetAddress":"c"}}'), ""),
+    (LD.format('{"address":{"streetAddress":"b"}, bad') + LD.format('{"address":{"streetAddress":"c"}}'), "c"),
+    (LD.format('{"address":{"streetAddress":null}}'), None),
+    ("<p>", ""),
+]
+
+
+def test_address_cascade(make_captures):
+    captures = make_captures(*[("facility", f"u{i}", body) for i, (body, _) in enumerate(ADDRESS_CASES)])
+    rows = details.facility_addresses(captures, "url").collect()
+    assert {r.url: r.address for r in rows} == {f"u{i}": a for i, (_, a) in enumerate(ADDRESS_CASES)}
+
+
+@pytest.fixture(params=[details.MAX_BROADCAST_URLS, 0], ids=["short list", "long list"])
+def list_limit(request, monkeypatch):
+    monkeypatch.setattr(details, "MAX_BROADCAST_URLS", request.param)
+
+
+def test_merge(make_captures, spark, spec, list_limit):
+    captures = make_captures(
+        ("facility", "ok", marker(MARKER)),
+        ("facility", "empty", "<p>"),
+        ("facility", "failed", marker(MARKER), 500),
+        ("facility", "done", marker(MARKER)),
+        ("index", "gone", marker(MARKER)),
+    )
+    urls = ["ok", "empty", "failed", "gone", None, "ok"]
+    rows = [(str(i), None, "old", url) for i, url in enumerate(urls)] + [("9", "1", "old", "done"), ("8", "", "old", "ok")]
+    stores = spark.createDataFrame(rows, "store_id string, site_number string, phone string, url string")
+    merged = details.enrich(stores, captures, spec)
+    got = {r.store_id: (r.site_number, r.phone, r.zip, r.lat, r.lng) for r in merged.collect()}
+    kept = (None, "old", None, None, None)
+    assert got == {
+        "0": FOUND, "1": NOTHING, "2": kept, "3": kept, "4": kept, "5": FOUND, "8": FOUND,
+        "9": ("1", "old", None, None, None),
+    }
+
+
+def test_latest_capture_of_a_page_counts(make_captures, spark, spec):
+    captures = make_captures(("facility", "u", marker(MARKER)), ("facility", "u", SITE), ("facility", "v", SITE), ("facility", "v", "", 404))
+    stores = spark.createDataFrame([("1", None, "u"), ("2", None, "v")], "store_id string, site_number string, url string")
+    got = {r.store_id: r.site_number for r in details.enrich(stores, captures, spec).collect()}
+    assert got == {"1": "777", "2": None}
+
+
+def test_fill_addresses(make_captures, spark, list_limit):
+    captures = make_captures(("facility", "u", "<p class=address>new</p>"), ("facility", "v", "<p class=address>x</p>", 500))
+    rows = [("1", "", "u"), ("2", "own", "u"), ("3", "", "v"), ("4", "", "w")]
+    locations = spark.createDataFrame(rows, "store_number string, address string, url string")
+    got = {r.store_number: r.address for r in details.fill_addresses(locations, captures).collect()}
+    assert got == {"1": "new", "2": "own", "3": "", "4": ""}

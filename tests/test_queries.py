@@ -1,0 +1,37 @@
+"""Every registered query equals its SQL on the driver tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.compare import connect, difference
+from tests.conftest import SF
+
+NAMES = list(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF)
+
+
+def test_every_query_has_its_sql():
+    assert set(entry.oracle_sql()) == set(NAMES)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query(spark, duck, name):
+    found = entry.queries()[name](spark, SF).toArrow()
+    expected = duck.execute(entry.oracle_sql()[name]).to_arrow_table()
+    assert found.num_rows > 0
+    assert difference(found, expected) is None
+
+
+def test_ordered_queries_keep_their_order(spark):
+    listing = entry.new_store_listing(spark, SF).collect()
+    sites = [r.site_number or "" for r in listing]
+    assert sites == sorted(sites)
+
+
+def test_entry(spark):
+    frame = entry.entry(spark)
+    assert frame.columns[:2] == ["Site #", "Store ID"] and frame.count() > 0
