@@ -31,7 +31,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _pages(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return fx.table(spark, sf_dir, "pages")
 
 
 def _state_links(spark, sf_dir):

@@ -101,14 +101,23 @@ UNIT_JSON = """concat('{"name":"', o_orderpriority, '"',
     ',"promotionName":', if(o_orderkey % 3 = 0, 'null', concat('"P', o_orderkey % 3, '"')), '}')"""
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Columns used of the driver tables. Naming them spares a job per read to look into the files.
+TABLES = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+    "orders": "o_orderkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderpriority STRING",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with every field a page may show."""
     columns = [f"{expression} AS {name}" for name, expression in STORE_COLUMNS.items()]
-    return _table(spark, sf_dir, "customer").selectExpr(*columns)
+    return table(spark, sf_dir, "customer").selectExpr(*columns)
 
 
 def _shown(stores: DataFrame, *cases: tuple[str, str, str]) -> DataFrame:
@@ -168,7 +177,7 @@ def _state_page_places(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("k % 5 <> 0 and k % 29 = 0", "n", "concat('DUP ', k)"),
         ("k % 5 <> 0 and k % 31 = 0", "(n + 1) % 25", "concat('ALT ', k)"),
     )
-    nations = _table(spark, sf_dir, "nation").selectExpr(
+    nations = table(spark, sf_dir, "nation").selectExpr(
         "n_nationkey AS place", "replace(lower(n_name), '_', '-') AS nation_slug"
     )
     return shown.join(nations, "place").selectExpr(
@@ -223,7 +232,7 @@ def price_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Customers and offers meet in one shuffle, by payload.
     """
-    offers = _table(spark, sf_dir, "orders").selectExpr(
+    offers = table(spark, sf_dir, "orders").selectExpr(
         "if((o_orderkey div 10) % 9 = 4, o_orderkey div 10 - 1, o_orderkey div 10) AS k",
         "null AS store_id",
         "o_orderkey",

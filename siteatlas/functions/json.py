@@ -19,9 +19,14 @@ def fields(text: str, names: str) -> str:
     return f"from_json({text}, '{columns}', {_STRICT})"
 
 
-def raw_elements(text: str, name: str) -> str:
-    """The elements of one array field, each as JSON text."""
-    return f"from_json({text}, '{name} ARRAY<STRING>, _bad STRING', {_STRICT}).{name}"
+def typed(text: str, schema: str) -> str:
+    """The text read with a schema; null if malformed or, for lists, if an element does not fit."""
+    return f"from_json({text}, '{schema}', {_STRICT})"
+
+
+def typed_field(text: str, name: str, schema: str) -> str:
+    """One field of an object, read with a schema."""
+    return f"from_json({text}, '{name} {schema}, _bad STRING', {_STRICT}).{name}"
 
 
 def parsed(text: str, names: str) -> str:

@@ -9,31 +9,70 @@ from siteatlas.functions import json, text
 from siteatlas.schema import UNITS
 from siteatlas.sources.captures import of_kind
 
-# Every store and unit is parsed once: v holds values and keys what is there. The units of a store
-# are empty where ``info`` is missing and null where it is unusable.
-_ENTRIES = f"""
+# A missing key and a null give the same null in a typed struct. Where one turns up that matters, and
+# only there, the same text is read again as maps to tell them apart. ``transform(array(x), ...)[0]``
+# names an intermediate value, so that it is made once.
+
+
+def _store(has_id: str, has_info: str) -> str:
+    """Id and ``info`` text of store e: an empty list where missing, null where null."""
+    return f"""struct(
+      CASE WHEN {has_id} THEN coalesce(e.storeID, 'None') ELSE '' END AS store_id,
+      CASE WHEN e IS NOT NULL THEN CASE WHEN {has_info} THEN e.info ELSE '[]' END END AS info)"""
+
+
+# Null if an element is neither object nor null.
+_STRICT_STORES = f"""
+transform(
+  array({json.typed_field('body', 'promoInfoArr', 'ARRAY<STRUCT<storeID STRING, info STRING>>')}),
+  stores -> CASE
+    WHEN exists(stores, e -> e.storeID IS NULL OR e.info IS NULL) THEN zip_with(
+      stores,
+      {json.typed_field('body', 'promoInfoArr', 'ARRAY<MAP<STRING, STRING>>')},
+      (e, keys) -> {_store("map_contains_key(keys, 'storeID')", "map_contains_key(keys, 'info')")})
+    ELSE transform(stores, e -> struct(e.storeID AS store_id, e.info AS info)) END)[0]"""
+
+# Element by element, so that a bad one costs only itself.
+_LENIENT_STORES = f"""
 transform(
-  transform({json.raw_elements('body', 'promoInfoArr')}, raw -> {json.parsed('raw', 'storeID info')}),
-  e -> struct(
-    CASE WHEN {json.has('e', 'storeID')} THEN coalesce(e.v.storeID, 'None') ELSE '' END AS store_id,
-    transform(
-      CASE WHEN {json.has('e', 'info')} THEN from_json(e.v.info, 'ARRAY<STRING>')
-           WHEN e.keys IS NOT NULL THEN CAST(array() AS ARRAY<STRING>) END,
-      raw -> {json.parsed('raw', 'name saleprice availability count promotionName promotionName2')}) AS info))"""
+  {json.typed_field('body', 'promoInfoArr', 'ARRAY<STRING>')},
+  raw -> transform(
+    array({json.parsed('raw', 'storeID info')}),
+    x -> transform(
+      array(CASE WHEN x.keys IS NOT NULL THEN x.v END),
+      e -> {_store(json.has('x', 'storeID'), json.has('x', 'info'))})[0])[0])"""
+
+# The units of a store, null if ``info`` is no list of objects.
+_UNIT_LIST = f"""
+transform(
+  array(CASE WHEN s.info LIKE '[%' THEN
+    {json.typed('s.info', 'ARRAY<STRUCT<name STRING, saleprice STRING, availability STRING, count STRING, '
+                          'promotionName STRING, promotionName2 STRING>>')} END),
+  units -> CASE
+    WHEN exists(units, v -> v.name IS NULL OR v.count IS NULL) THEN zip_with(
+      units,
+      {json.typed('s.info', 'ARRAY<MAP<STRING, STRING>>')},
+      (v, keys) -> struct(v, map_contains_key(keys, 'name') AS has_name, map_contains_key(keys, 'count') AS has_count))
+    ELSE transform(units, v -> struct(v, true AS has_name, true AS has_count)) END)[0]"""
+
+
+def _entries(stores: str) -> str:
+    return f"transform({stores}, s -> struct(s.store_id, {_UNIT_LIST} AS units))"
+
 
-_USABLE = "coalesce(forall(e.info, u -> u.keys IS NOT NULL), false)"
+_USABLE = "coalesce(forall(e.units, u -> u.v IS NOT NULL), false)"
 
-# One-element wrapper, so that the parsed entries are made once for the test and for the result.
-_STRICT_ENTRIES = f"flatten(filter(array({_ENTRIES}), entries -> forall(entries, e -> {_USABLE})))"
-_LENIENT_ENTRIES = f"filter({_ENTRIES}, e -> {_USABLE})"
+_STRICT_ENTRIES = f"""
+flatten(filter(array({_entries(_STRICT_STORES)}), entries -> forall(entries, e -> {_USABLE})))"""
+_LENIENT_ENTRIES = f"filter({_entries(_LENIENT_STORES)}, e -> {_USABLE})"
 
 _UNITS = f"""
-transform(_entry.info, u -> struct(
-  CASE WHEN {json.has('u', 'name')} THEN u.v.name ELSE '' END AS size,
+transform(_entry.units, u -> struct(
+  CASE WHEN u.has_name THEN u.v.name ELSE '' END AS size,
   u.v.saleprice AS price_raw,
   try_cast(u.v.saleprice AS DOUBLE) AS price,
   {json.truthy('u.v.availability')} AS available,
-  CASE WHEN {json.has('u', 'count')} THEN try_cast(u.v.count AS BIGINT) ELSE 0L END AS count,
+  CASE WHEN u.has_count THEN try_cast(u.v.count AS BIGINT) ELSE 0L END AS count,
   coalesce(u.v.promotionName, '') AS promo,
   coalesce(u.v.promotionName2, '') AS promo2))"""
 

@@ -28,6 +28,7 @@ UNIT_CASES = [
     ({"name": None, "count": None, "saleprice": None, "availability": None}, unit(size=None, count=None)),
     ({"promotionName": None, "promotionName2": ""}, unit()),
     ({"promotionName": "A", "promotionName2": "B"}, unit(promo="A", promo2="B")),
+    ({"extra": {"deep": [1, {"x": None}]}}, unit()),
     ({"name": "5x5", "count": 3}, unit(size="5x5", count=3)),
     ({"saleprice": 45}, unit(price_raw="45", price=45.0)),
     ({"saleprice": 45.0}, unit(price_raw="45.0", price=45.0)),
@@ -49,7 +50,7 @@ def test_unit_rules(make_captures):
         assert got == expected, given
 
 
-@pytest.mark.parametrize("body", ["x", "[1]", "{}", '{"promoInfoArr":null}', '{"promoInfoArr":[]}', "5", ""])
+@pytest.mark.parametrize("body", ["x", '{"promoInfoArr":[{"storeID":"5","info":[]}', '{"promoInfoArr":{"a":1}}', "[1]", "{}", '{"promoInfoArr":null}', '{"promoInfoArr":[]}', "5", ""])
 def test_unusable_payload_yields_nothing(make_captures, body):
     good = payload({"storeID": "1", "info": []})
     assert entries(make_captures, body, good) == [(1, "1", [])]
@@ -77,6 +78,11 @@ def test_one_unusable_store_voids_its_payload(make_captures, bad):
     assert entries(make_captures, *bodies, strict=False) == [(0, "1", [unit()]), (1, "3", [])]
 
 
+def test_last_duplicate_key(make_captures):
+    body = '{"promoInfoArr":[{"storeID":1,"storeID":2,"info":null,"info":[{"name":"a","name":"b","count":1,"count":null}]}]}'
+    assert entries(make_captures, body) == [(0, "2", [unit(size="b", count=None)])]
+
+
 def test_ids(make_captures):
     body = '{"promoInfoArr":[{"storeID":7},{"storeID":"07"},{},{"storeID":null}]}'
     assert [store for _, store, _ in entries(make_captures, body)] == ["7", "07", "", "None"]
