@@ -227,3 +227,12 @@ def address(body: Column) -> Column:
 def may_have_tag(body: Column, tag: str) -> Column:
     """False only where the page cannot hold the tag; keeps such pages away from Python."""
     return body.rlike(rf"(?i)<{tag}[\s/>]")
+
+
+def may_have_class(body: Column, name: str) -> Column:
+    """False only where no class attribute can hold the name.
+
+    The name is there as it is, unless a character reference in a class attribute spells it.
+    """
+    spelled = r"""(?i)class\s*=\s*("[^"]*&|'[^']*&|[^\s"'>]*&)"""
+    return body.contains(name) | body.rlike(spelled)

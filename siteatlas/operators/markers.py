@@ -60,9 +60,9 @@ def page_markers(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
 
     Everything up to the explode happens inside the page's row, in the stage that scans it.
     """
-    read = pages.filter(html.may_have_tag(F.col("body"), "input")).select(
-        *keep, html.markers(F.col("body"), spec.marker_class).alias("_values")
-    )
+    body = F.col("body")
+    possible = html.may_have_tag(body, "input") & html.may_have_class(body, spec.marker_class)
+    read = pages.filter(possible).select(*keep, html.markers(body, spec.marker_class).alias("_values"))
     # Outer: otherwise the optimizer tests "not empty" with a second pass in front of the explode.
     return (
         read.selectExpr(*keep, f"posexplode_outer({_DECODED}) AS (pos, _marker)")

@@ -63,6 +63,17 @@ def test_prefilter_never_drops_a_tag(spark):
     assert frame.filter(html.may_have_tag(F.col("body"), "a")).count() == len(bodies)
 
 
+def test_class_prefilter_never_drops_a_marker(spark):
+    bodies = [
+        "<input class=siteMarker>", "<input CLASS = 'x siteMarker'>", '<input class="site&#77;arker">',
+        "<input class='&#x73;iteMarker'>", "<input class=site&#77;arker>", "<input\nclass\n=\n'a &#115;iteMarker'>",
+    ]
+    frame = spark.createDataFrame([(b,) for b in bodies + ["<input class=other>&amp;", "<p>"]], "body string")
+    kept = frame.filter(html.may_have_class(F.col("body"), "siteMarker"))
+    found = kept.select(F.size(html.markers(F.col("body"), "siteMarker")).alias("n")).collect()
+    assert [r.n for r in found] == [1] * len(bodies)
+
+
 @pytest.mark.parametrize(
     "body, expected",
     [
