@@ -130,12 +130,17 @@ def _shown(stores: DataFrame, *cases: tuple[str, str, str]) -> DataFrame:
 
 
 def _grouped(rows: DataFrame, *keys: str) -> DataFrame:
-    """Spread rows over the session's shuffle partitions by key.
+    """Spread rows by key over the session's shuffle partitions.
 
     Reading the documents costs far more than their size suggests, so the number of partitions is
-    not left to be reduced by size.
+    not left to be reduced by size. A session that kept Spark's default of 200 has not been sized
+    for its data; two partitions per core are used then.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    spark = rows.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions == 200:
+        partitions = 2 * spark.sparkContext.defaultParallelism
+    return rows.repartition(partitions, *keys)
 
 
 def _page(rows: DataFrame, html: str, head: str, *keys: str) -> DataFrame:

@@ -11,8 +11,8 @@ from siteatlas.spec import SiteSpec
 
 DETAIL_FIELDS = ("site_number", "phone", "zip", "lat", "lng")
 
-# Up to this many wanted urls (about 100 bytes each) the list is sent to the page scan.
-MAX_BROADCAST_URLS = 1_000_000
+# Up to this size the list of wanted urls is sent to the page scan.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 _FOUND_MARKER = f"""struct(
@@ -96,14 +96,23 @@ def facility_addresses(pages: DataFrame, *keep: str) -> DataFrame:
     return found.selectExpr(*keep, f"coalesce(_found.text, {_JSON_LD_STREET}) AS address")
 
 
+def _lookup_key(wanted: Column, own_id: str) -> Column:
+    """The url where a page is wanted, else a key that no url equals.
+
+    A null key would send all other rows to one task; the record's own id spreads them.
+    """
+    return F.when(wanted & F.col("url").isNotNull(), F.col("url")).otherwise(F.concat(F.lit("\u0000"), own_id))
+
+
 def only_wanted(pages: DataFrame, urls: DataFrame) -> DataFrame:
     """Keep pages of the wanted urls where that is cheap: a filter in front of the HTML pass.
 
-    A short list goes to the scan. With a long one most pages are wanted anyway, so all are read in
+    A short list, by measured size, goes to the scan. With a long one most pages are wanted anyway, so all are read in
     place and the narrow result is joined later; shuffling bodies would cost more than reading them.
     """
     wanted = urls.select("url").filter("url IS NOT NULL").distinct()
-    if wanted.count() > MAX_BROADCAST_URLS:
+    size = wanted.agg(F.sum(F.octet_length("url") + 16).alias("bytes")).first()["bytes"] or 0
+    if size > MAX_BROADCAST_BYTES:
         return pages
     return pages.join(F.broadcast(wanted), "url", "left_semi")
 
@@ -136,20 +145,12 @@ def details_by_url(captures: DataFrame, todo: DataFrame, spec: SiteSpec) -> Data
     return latest_per_url(found, "page_ok", "details")
 
 
-def _lookup_key(wanted: Column) -> Column:
-    """The url where a page is wanted, else a key that no url equals.
-
-    A null key would send all other rows to one task; the store's own id spreads them.
-    """
-    return F.when(wanted, F.col("url")).otherwise(F.concat(F.lit("\u0000"), F.col("store_id")))
-
-
 def merge_details(stores: DataFrame, details: DataFrame) -> DataFrame:
     """Stores already done are unchanged, readable pages overwrite (even with null), others keep."""
     missing = [name for name in DETAIL_FIELDS if name not in stores.columns]
     stores = stores.withColumns({name: F.lit(None).cast("string") for name in missing})
     todo = ~text.truthy_text(F.col("site_number"))
-    joined = stores.withColumn("_wanted", _lookup_key(todo)).join(
+    joined = stores.withColumn("_wanted", _lookup_key(todo, "store_id")).join(
         details.withColumnRenamed("url", "_wanted"), "_wanted", "left"
     )
     overwrite = F.coalesce(F.col("page_ok"), F.lit(False))
@@ -172,10 +173,7 @@ def fill_addresses(locations: DataFrame, captures: DataFrame) -> DataFrame:
     pages = only_wanted(of_kind(captures, "facility"), locations.filter(empty))
     found = latest_per_url(facility_addresses(pages, "url", "capture_id", "fetched_at"), "address")
     wanted = found.select(F.col("url").alias("_wanted"), F.struct("address").alias("_found"))
-    own_key = F.concat(F.lit("\u0000"), F.col("url"))  # spreads the rows that look up nothing
-    joined = locations.withColumn("_wanted", F.when(empty, F.col("url")).otherwise(own_key)).join(
-        wanted, "_wanted", "left"
-    )
+    joined = locations.withColumn("_wanted", _lookup_key(empty, "store_number")).join(wanted, "_wanted", "left")
     looked_up = F.when(F.col("_found").isNull(), F.lit("")).otherwise(F.col("_found.address"))
     return joined.withColumn("address", F.when(empty, looked_up).otherwise(F.col("address"))).select(
         *locations.columns

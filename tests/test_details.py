@@ -81,9 +81,9 @@ def test_address_cascade(make_captures):
     assert {r.url: r.address for r in rows} == {f"u{i}": a for i, (_, a) in enumerate(ADDRESS_CASES)}
 
 
-@pytest.fixture(params=[details.MAX_BROADCAST_URLS, 0], ids=["short list", "long list"])
+@pytest.fixture(params=[details.MAX_BROADCAST_BYTES, 0], ids=["short list", "long list"])
 def list_limit(request, monkeypatch):
-    monkeypatch.setattr(details, "MAX_BROADCAST_URLS", request.param)
+    monkeypatch.setattr(details, "MAX_BROADCAST_BYTES", request.param)
 
 
 def test_merge(make_captures, spark, spec, list_limit):
