@@ -9,39 +9,19 @@ from siteatlas.functions import json, text
 from siteatlas.schema import UNITS
 from siteatlas.sources.captures import of_kind
 
+# The stores of a payload, element by element, so that a bad one is told from its neighbours: id, and
+# ``info`` as text (an empty list where missing, null where null or where the store is no object).
+_STORES = f"""
+transform(
+  transform({json.typed_field('body', 'promoInfoArr', 'ARRAY<STRING>')}, raw -> {json.parsed('raw', 'storeID info')}),
+  e -> struct(
+    CASE WHEN {json.has('e', 'storeID')} THEN coalesce(e.v.storeID, 'None') ELSE '' END AS store_id,
+    CASE WHEN {json.has('e', 'info')} THEN e.v.info WHEN e.keys IS NOT NULL THEN '[]' END AS info))"""
+
 # A missing key and a null give the same null in a typed struct. Where one turns up that matters, and
-# only there, the same text is read again as maps to tell them apart. ``transform(array(x), ...)[0]``
+# only there, the same list is read again as maps to tell them apart. ``transform(array(x), ...)[0]``
 # names an intermediate value, so that it is made once.
 
-
-def _store(has_id: str, has_info: str) -> str:
-    """Id and ``info`` text of store e: an empty list where missing, null where null."""
-    return f"""struct(
-      CASE WHEN {has_id} THEN coalesce(e.storeID, 'None') ELSE '' END AS store_id,
-      CASE WHEN e IS NOT NULL THEN CASE WHEN {has_info} THEN e.info ELSE '[]' END END AS info)"""
-
-
-# Null if an element is neither object nor null.
-_STRICT_STORES = f"""
-transform(
-  array({json.typed_field('body', 'promoInfoArr', 'ARRAY<STRUCT<storeID STRING, info STRING>>')}),
-  stores -> CASE
-    WHEN exists(stores, e -> e.storeID IS NULL OR e.info IS NULL) THEN zip_with(
-      stores,
-      {json.typed_field('body', 'promoInfoArr', 'ARRAY<MAP<STRING, STRING>>')},
-      (e, keys) -> {_store("map_contains_key(keys, 'storeID')", "map_contains_key(keys, 'info')")})
-    ELSE transform(stores, e -> struct(e.storeID AS store_id, e.info AS info)) END)[0]"""
-
-# Element by element, so that a bad one costs only itself.
-_LENIENT_STORES = f"""
-transform(
-  {json.typed_field('body', 'promoInfoArr', 'ARRAY<STRING>')},
-  raw -> transform(
-    array({json.parsed('raw', 'storeID info')}),
-    x -> transform(
-      array(CASE WHEN x.keys IS NOT NULL THEN x.v END),
-      e -> {_store(json.has('x', 'storeID'), json.has('x', 'info'))})[0])[0])"""
-
 # The units of a store, null if ``info`` is no list of objects.
 _UNIT_LIST = f"""
 transform(
@@ -56,15 +36,13 @@ transform(
     ELSE transform(units, v -> struct(v, true AS has_name, true AS has_count)) END)[0]"""
 
 
-def _entries(stores: str) -> str:
-    return f"transform({stores}, s -> struct(s.store_id, {_UNIT_LIST} AS units))"
-
+_ENTRIES = f"transform({_STORES}, s -> struct(s.store_id, {_UNIT_LIST} AS units))"
 
 _USABLE = "coalesce(forall(e.units, u -> u.v IS NOT NULL), false)"
 
-_STRICT_ENTRIES = f"""
-flatten(filter(array({_entries(_STRICT_STORES)}), entries -> forall(entries, e -> {_USABLE})))"""
-_LENIENT_ENTRIES = f"filter({_entries(_LENIENT_STORES)}, e -> {_USABLE})"
+# One-element wrapper, so that the parsed entries are made once for the test and for the result.
+_STRICT_ENTRIES = f"flatten(filter(array({_ENTRIES}), entries -> forall(entries, e -> {_USABLE})))"
+_LENIENT_ENTRIES = f"filter({_ENTRIES}, e -> {_USABLE})"
 
 _UNITS = f"""
 transform(_entry.units, u -> struct(
