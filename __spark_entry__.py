@@ -22,6 +22,19 @@ from siteatlas.sources import catalog, seeds  # noqa: E402
 from siteatlas.sources.captures import of_kind  # noqa: E402
 from siteatlas.streaming import incremental  # noqa: E402
 
+# The text operators and the pipeline built on them; the library works without them.
+LLM = []
+try:
+    from siteatlas.llm import queries as llm_queries  # noqa: E402
+
+    LLM.append((llm_queries.QUERIES, llm_queries.ORACLE))
+    import corpus_pipeline  # noqa: E402
+
+    LLM.append(({"pipeline": corpus_pipeline.run}, {"pipeline": corpus_pipeline.ORACLE_SQL}))
+except ModuleNotFoundError as missing:
+    if missing.name not in ("siteatlas.llm", "corpus_pipeline"):
+        raise
+
 SPEC = fx.SPEC
 SMALLEST = "/root/testdata/sf0.001"
 
@@ -332,8 +345,8 @@ _QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | {k: v for more, _ in LLM for k, v in more.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle_queries.ORACLE)
+    return dict(oracle_queries.ORACLE) | {k: sql for _, more in LLM for k, sql in more.items() if sql}
