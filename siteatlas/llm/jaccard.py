@@ -8,8 +8,9 @@ How the matrix is built and searched at scale:
 
 * Texts with equal token sets are one *class*, found by an aggregate, so exact copies never meet each other.
 * All tokens have one global order, rare before frequent (by a fixed-size table of counts over all documents). Two
-  sets over the threshold share a token among the first ``n - ceil(t n) + 1`` of each, so only those *leading* tokens
-  become matrix cells (token, group).
+  sets over the threshold share ``l`` tokens among the first ``n - ceil(t n) + l`` of each, so only those *leading* tokens
+  become matrix cells (token, group), with ``l`` a twentieth of the set. A document with too few shared leading tokens has no
+  partner, and a group with too few of a query's is not opened.
 * A document joins the group of its most shared leading token; a group that would exceed ``GROUP_SIZE`` is split by
   hash. Groups are opened on themselves, then split groups against the first part of their token, and what is connected by
   then is not compared again. The last step takes every document whose leading tokens meet a group that
@@ -34,6 +35,7 @@ from siteatlas.session import persist_reliably
 GROUP_SIZE = 48  # documents in a group, about
 GROUP_TOKENS = 20_000  # a larger set is a group of its own
 QUERY_BLOCK = 64
+LEAD = 20  # one in so many tokens must be shared among the leading ones
 COUNT_BITS = 18  # the table of token counts has 2^18 cells, whatever the data
 _SLICES = 64
 _CLASS = 54  # a token: 4 bits of frequency class above 54 bits of hash
@@ -120,13 +122,18 @@ def _needed(n, percent: int):
     return (percent * n + 99) // 100
 
 
+def _at_least(n):
+    """How many leading tokens a set of n shares with any partner of n or more."""
+    return n // LEAD + 1
+
+
 def _leading(k: int, percent: int, classes):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, tokens, bounds in _sets(batch.column(1), k, classes.value):
                 n = np.diff(bounds)
-                lead = np.where(n > 0, n - _needed(n, percent) + 1, 0)
+                lead = np.minimum(n - _needed(n, percent) + _at_least(n), n)
                 offsets = np.concatenate([[0], np.cumsum(lead)])
                 at = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - bounds[:-1], lead)
                 yield pa.record_batch(
@@ -263,8 +270,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     # _lookup tests mixed tokens: tokens in order are not spread evenly
     bits = spark.sparkContext.broadcast(bitmap.build(shared, _mixed("token")))
-    cells = leading.mapInArrow(*_lookup(bits)).join(shared, "token")
-    cells = persist_reliably(cells.select("token", "id", "n", "df"))
+    least = F.expr(f"({percent} * n + 99) div 100 div {LEAD} + 1")  # a partner has at least the needed size
+    cells = leading.mapInArrow(*_lookup(bits)).join(shared.select("token"), "token")
+    able = cells.groupBy("id", "n").agg(F.count("*").alias("have")).filter(F.col("have") >= F.least(least, "n")).select("id")
+    cells = persist_reliably(cells).join(able, "id", "left_semi")
+    again = cells.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    cells = persist_reliably(cells.join(again, "token").select("token", "id", "n", "df"))
 
     best = cells.groupBy("id", "n").agg(F.max(F.struct("df", "token")).alias("best"))
     part = F.when(F.col("n") > GROUP_TOKENS, F.col("id")).otherwise(
@@ -300,7 +311,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     asks = unsettled.select("token", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("grp").alias("q_grp"))
     fits = (F.col("n_max") * 100 >= F.col("q_n") * percent) & (F.col("q_n") * 100 >= F.col("n_min") * percent)
     pairs = asks.join(matrix, "token").filter((F.col("q_comp") > F.col("least")) & (F.col("q_grp") != F.col("grp")) & fits)
-    pairs = persist_reliably(pairs.select("grp", "q").distinct())
+    q_least = F.expr(f"least(({percent} * q_n + 99) div 100 div {LEAD} + 1, q_n)")
+    pairs = pairs.groupBy("grp", "q", "q_n").agg(F.count("*").alias("have")).filter(F.col("have") >= q_least)
+    pairs = persist_reliably(pairs.select("grp", "q"))
     blocks = pairs.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks"))
     members = tokens.select("grp", "id", "tokens").join(blocks, "grp")
     members = members.select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("query"), "id", "tokens")
