@@ -83,6 +83,23 @@ def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     return persist_reliably(out.select("source", "source_size", "target", "passes", "bound", "at_bound"))
 
 
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, *columns: str) -> DataFrame:
+    return docs.select(
+        *columns,
+        F.col(id_col).alias("__id"),
+        F.col(source_col).cast("string").alias("source"),
+        word_count(F.col(text_col).cast("string")).alias("size"),
+        document_hash(F.col(id_col), seed).alias("hash"),
+    )
+
+
+def _copied(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    limits = limits.withColumnRenamed("source", "of")
+    extra = (F.col("hash") < F.col("bound")) | ((F.col("hash") == F.col("bound")) & F.col("at_bound"))
+    out = rows.join(limits, F.col("source").eqNullSafe(F.col("of")), "left")
+    return out.withColumn("copies", F.col("passes") + F.when(extra, 1).otherwise(0)).withColumn("taken", F.col("copies") * F.col("size"))
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -92,30 +109,25 @@ def mix(
     weights: Sequence[int] = (3, 1, 2),
     max_epochs: int = 2,
     seed: str = "",
+    prefix: str | None = None,
 ) -> DataFrame:
-    """(id_col, source, size, source_size, target, copies, taken), one row per row of ``docs``.
+    """(id_col, source_col, size, source_size, target, copies, taken), one row per row of ``docs``.
 
     ``copies`` says how often the mix has the document, ``taken`` is copies times size. Sources that may take
     more than ``max_epochs`` of themselves stop there, and the rest is shared by weight again. A source's sum differs
     from its target by at most half of one document. Null texts have size 0; a null source is a source. Repeated ids
     have one hash and are taken together. The result depends on ids, sizes and the seed only. Extra columns are not read.
+    With a ``prefix`` the result is all of ``docs`` with columns of these names behind the prefix.
     """
-    rows = docs.select(
-        F.col(id_col).alias("id"),
-        F.col(source_col).cast("string").alias("source"),
-        word_count(F.col(text_col).cast("string")).alias("size"),
-        document_hash(F.col(id_col), seed).alias("hash"),
-    )
-    rows = persist_reliably(rows)
+    rows = persist_reliably(_sized(docs, id_col, text_col, source_col, seed))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     limits = _thresholds(rows, persist_reliably(source_targets(sizes, share, weights, max_epochs)))
-    limits = limits.withColumnRenamed("source", "of")
-    extra = (F.col("hash") < F.col("bound")) | ((F.col("hash") == F.col("bound")) & F.col("at_bound"))
-    out = rows.join(limits, F.col("source").eqNullSafe(F.col("of")), "left")
-    out = out.withColumn("copies", F.col("passes") + F.when(extra, 1).otherwise(0))
-    return out.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+    if prefix is None:
+        out = _copied(rows, limits)
+        return out.select(F.col("__id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", "taken")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), *docs.columns)
+    out = _copied(_sized(whole, id_col, text_col, source_col, seed, "__doc"), limits)
+    return out.select("__doc.*", *[F.col(c).alias(prefix + c) for c in ("size", "source_size", "target", "copies", "taken")])
 
 
 ORACLE = r"""

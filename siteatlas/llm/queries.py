@@ -4,16 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siteatlas.llm import jaccard
+from siteatlas.llm import jaccard, language, mixing, suffixes, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark, sf_dir):
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark, sf_dir):
     return jaccard.components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_jaccard_join,)}
-ORACLE = {"op4_jaccard_join": jaccard.ORACLE}
+def op6_suffix_dedup(spark, sf_dir):
+    return suffixes.report(_table(spark, sf_dir, "documents"))
+
+
+def op8_decontamination(spark, sf_dir):
+    return winnowing.report(winnowing.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
+def op10_source_mix(spark, sf_dir):
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_jaccard_join, op6_suffix_dedup, op8_decontamination, op10_source_mix)}
+ORACLE = {
+    "op4_jaccard_join": jaccard.ORACLE,
+    "op6_suffix_dedup": suffixes.ORACLE,
+    "op8_decontamination": winnowing.ORACLE,
+    "op10_source_mix": mixing.ORACLE,
+}
