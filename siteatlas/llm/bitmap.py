@@ -7,8 +7,10 @@ user removes later with an exact join.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build(rows: DataFrame, value: Column, log2_bits: int = 24) -> np.ndarray:
@@ -29,3 +31,14 @@ def build(rows: DataFrame, value: Column, log2_bits: int = 24) -> np.ndarray:
 def contains(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     bit = values >> np.uint64(64 - (len(bitmap).bit_length() - 1 + 6))
     return (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def test(spark: SparkSession, bitmap: np.ndarray, values: Column) -> Column:
+    """Whether a column of 64-bit hashes may be among the bitmap's members. Only this column goes to Python."""
+    sent = spark.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf(T.BooleanType())
+    def tested(column: pa.Array) -> pa.Array:
+        return pa.array(contains(sent.value, column.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return tested(values)

@@ -15,7 +15,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     joined = both.join(least, "a")
     if large:
-        out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        return joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b"))

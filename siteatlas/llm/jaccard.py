@@ -36,7 +36,8 @@ GROUP_SIZE = 48  # documents in a group, about
 GROUP_TOKENS = 20_000  # a larger set is a group of its own
 QUERY_BLOCK = 64
 LEAD = 20  # one in so many tokens must be shared among the leading ones
-COUNT_BITS = 18  # the table of token counts has 2^18 cells, whatever the data
+COUNT_BITS = 20  # the table of token counts has 2^20 cells, whatever the data
+PARTS = 16  # a set's tokens are also counted by the last bits of their hash
 _SLICES = 64
 _CLASS = 54  # a token: 4 bits of frequency class above 54 bits of hash
 _MAX_CLASS = 15
@@ -81,7 +82,7 @@ def _signatures(k: int):
         for batch in batches:
             n, a, b = (np.zeros(batch.num_rows, np.uint64) for _ in range(3))
             for first, tokens, bounds in _sets(batch.column(1), k, None):
-                counts += np.bincount((tokens >> np.uint64(_CLASS - COUNT_BITS)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
+                np.add.at(counts, tokens >> np.uint64(_CLASS - COUNT_BITS), np.uint32(1))
                 size = np.diff(bounds)
                 rows, full = slice(first, first + len(size)), np.flatnonzero(size)
                 n[rows] = size
@@ -93,7 +94,7 @@ def _signatures(k: int):
                 schema=schema,
             )
         if counts.any():
-            parts = np.split(counts, _SLICES)
+            parts = np.split(np.minimum(counts, 0xFFFF).astype(np.uint16), _SLICES)
             none = pa.nulls(_SLICES, pa.int64())
             yield pa.record_batch([none, none, none, none, pa.array(range(_SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], schema=schema)
 
@@ -101,7 +102,9 @@ def _signatures(k: int):
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()], axis=0, dtype=np.uint64)
+    total = np.zeros((1 << COUNT_BITS) // _SLICES, np.uint64)
+    for part in table["counts"]:
+        total += np.frombuffer(part.as_buffer(), np.uint16)
     return pa.table({"slice": pa.array([table["slice"][0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
@@ -110,9 +113,9 @@ def _classes(rows: DataFrame) -> np.ndarray:
     parts = rows.filter("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(_summed, "slice int, counts binary")
     cells = 1 << COUNT_BITS
     counts = np.zeros(cells)
-    for row in parts.toLocalIterator():
-        step = cells // _SLICES
-        counts[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(bytes(row["counts"]), np.uint64)
+    step = cells // _SLICES
+    for row in parts.toArrow().to_pylist():  # one row a slice: 2^COUNT_BITS numbers in all
+        counts[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(row["counts"], np.uint64)
     mean = max(1.0, counts.mean())
     return np.clip(np.floor(np.log2(np.maximum(counts, 1) / mean)), 0, _MAX_CLASS).astype(np.uint64)
 
@@ -170,11 +173,14 @@ def _full(k: int, classes, wanted):
             batch = batch.take(pa.array(keep))
             for first, tokens, bounds in _sets(batch.column(1), k, classes.value):
                 packed = [tokens[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.record_batch([batch.column(0).slice(first, len(packed)), pa.array(packed, pa.binary())], names=["id", "tokens"])
+                part = words.owner(bounds) * PARTS + (tokens % np.uint64(PARTS)).astype(np.int64)
+                parts = np.bincount(part, minlength=len(packed) * PARTS).reshape(-1, PARTS).astype(np.int32)
+                yield pa.record_batch([batch.column(0).slice(first, len(packed)), pa.array(packed, pa.binary()), *parts.T.copy()], names=["id", "tokens", *_PART_NAMES])
 
-    return over, "id long, tokens binary"
+    return over, "id long, tokens binary, " + ", ".join(f"{p} int" for p in _PART_NAMES)
 
 
+_PART_NAMES = [f"part{i}" for i in range(PARTS)]
 _OPEN_PAIRS = 1 << 22
 
 
@@ -283,12 +289,14 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     placed = best.select("id", "n", F.col("best.token").alias("own_token"), part.alias("part"), (F.col("n") <= GROUP_TOKENS).alias("small"))
     placed = placed.withColumn("grp", F.xxhash64("own_token", "part", "small"))
+    mates = placed.groupBy("grp").agg((F.count("*") > 1).alias("mates"))
+    placed = persist_reliably(placed.join(mates, "grp"))
     wanted = spark.sparkContext.broadcast(bitmap.build(placed, _mixed("id")))
     tokens = texts.mapInArrow(*_full(k, classes, wanted)).join(placed, "id").dropDuplicates(["id"])
-    tokens = persist_reliably(tokens.select("id", "n", "own_token", "part", "small", "grp", "tokens"))
+    tokens = persist_reliably(tokens)
 
     # groups on themselves, and the parts of a split group against its first part
-    own = tokens.select("grp", F.lit(0).cast("long").alias("block"), F.lit(False).alias("query"), "id", "tokens")
+    own = tokens.filter("mates").select("grp", F.lit(0).cast("long").alias("block"), F.lit(False).alias("query"), "id", "tokens")
     hubs = tokens.filter("small and part = 0").select("own_token", "grp", "id", "tokens")
     parts = tokens.filter("small and part > 0").select("own_token", F.col("part").alias("block")).distinct()
     hub_members = hubs.join(parts, "own_token").select("grp", "block", F.lit(False).alias("query"), "id", "tokens")
@@ -306,25 +314,34 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "comp", F.coalesce("comp", F.struct(F.lit(-1).cast("long").alias("less"), F.col("id").alias("component")))
     )
     open_tokens = known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("token")
-    unsettled = persist_reliably(known.join(open_tokens, "token").join(tokens.select("id", "grp"), "id").select("token", "id", "n", "comp", "grp"))
-    matrix = unsettled.groupBy("token", "grp").agg(F.min("comp").alias("least"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    asks = unsettled.select("token", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("grp").alias("q_grp"))
+    unsettled = known.join(open_tokens, "token").join(tokens.select("id", "grp", *_PART_NAMES), "id")
+    unsettled = persist_reliably(unsettled.select("token", "id", "n", "comp", "grp", *_PART_NAMES))
+    boxes = [f(p).alias(f"{f.__name__}_{p}") for p in _PART_NAMES for f in (F.min, F.max)]
+    matrix = unsettled.groupBy("token", "grp").agg(F.min("comp").alias("least"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), *boxes)
+    asks = unsettled.select("token", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("grp").alias("q_grp"), *_PART_NAMES)
     fits = (F.col("n_max") * 100 >= F.col("q_n") * percent) & (F.col("q_n") * 100 >= F.col("n_min") * percent)
+    # sets over the threshold differ in few tokens, so in every part by few
+    differ = " + ".join(f"greatest(0, min_{p} - {p}, {p} - max_{p})" for p in _PART_NAMES)
+    fits &= F.expr(f"({differ}) * {100 + percent} <= (q_n + n_max) * {100 - percent}")
     pairs = asks.join(matrix, "token").filter((F.col("q_comp") > F.col("least")) & (F.col("q_grp") != F.col("grp")) & fits)
     q_least = F.expr(f"least(({percent} * q_n + 99) div 100 div {LEAD} + 1, q_n)")
     pairs = pairs.groupBy("grp", "q", "q_n").agg(F.count("*").alias("have")).filter(F.col("have") >= q_least)
     pairs = persist_reliably(pairs.select("grp", "q"))
-    blocks = pairs.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks"))
-    members = tokens.select("grp", "id", "tokens").join(blocks, "grp")
+    blocks = persist_reliably(pairs.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")))
+    # bitmaps keep sets that are not asked for out of the joins
+    members = tokens.filter(bitmap.test(spark, bitmap.build(blocks, F.col("grp")), F.col("grp"))).select("grp", "id", "tokens").join(blocks, "grp")
     members = members.select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("query"), "id", "tokens")
     asking = pairs.join(blocks, "grp").select("grp", F.pmod(F.xxhash64("q"), "blocks").alias("block"), F.lit(True).alias("query"), F.col("q").alias("id"))
-    asking = asking.join(tokens.select("id", "tokens"), "id").select("grp", "block", "query", "id", "tokens")
+    q_hash = F.xxhash64("q")
+    asked_for = tokens.filter(bitmap.test(spark, bitmap.build(pairs, q_hash), F.xxhash64("id"))).select("id", "tokens")
+    asking = asking.join(asked_for, "id").select("grp", "block", "query", "id", "tokens")
     second = members.unionAll(asking).groupBy("grp", "block").applyInArrow(*_open_asked(percent))
 
     mapping = full.join(same, ["sig_a", "sig_b", "n"]).select("id", "rep").distinct()
     several = mapping.groupBy("id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x <> y").select("id")
     several = mapping.join(several, "id").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    found = graph.components(first.unionAll(second).unionAll(several))
+    stars = settled.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    found = graph.components(stars.unionAll(second).unionAll(several))
 
     component = F.coalesce("component", "rep", "id")
     out = rows.join(same.drop("copies"), ["sig_a", "sig_b", "n"], "left")

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siteatlas.llm import words
 from siteatlas.session import persist_reliably
@@ -22,7 +23,7 @@ BITS = 12  # of the hash, for each histogram
 LEVELS = 5
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def word_count(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Words between ASCII white space; 0 for null."""
     for array in texts:

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siteatlas.llm import bitmap, words
 from siteatlas.session import persist_reliably
@@ -60,8 +61,8 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
     """Counts of all n-grams of a one-column frame of texts."""
     parts = texts.mapInArrow(_counted, "slice int, counts binary").groupBy("slice").applyInArrow(_summed, "slice int, counts binary")
     counts, step = np.zeros(BUCKETS, np.int64), BUCKETS // _SLICES
-    for row in parts.toLocalIterator():
-        counts[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(bytes(row["counts"]), np.int64)
+    for row in parts.toArrow().to_pylist():
+        counts[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(row["counts"], np.int64)
     return counts
 
 
@@ -89,7 +90,7 @@ def gumbel(id_col: Column, seed: int) -> Column:
     return -F.log(-F.log(unit))
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def _ordered(values: pa.Array) -> pa.Array:
     """Longs in the order of the doubles."""
     bits = (values.to_numpy(zero_copy_only=False) + 0.0).view(np.int64)
@@ -132,14 +133,9 @@ def resample(
     ids = target_ids.toDF("id").select(F.col("id").cast("long").alias("id")).filter("id is not null").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     raw = bucket_counts(texts.select("text"))
-    bits = spark.sparkContext.broadcast(bitmap.build(ids, F.xxhash64("id"), 22))
-
-    @F.arrow_udf("boolean")
-    def maybe(keys: pa.Array) -> pa.Array:
-        return pa.array(bitmap.contains(bits.value, keys.to_numpy(zero_copy_only=False).view(np.uint64)))
-
     # only texts that may be targets are joined
-    targets = texts.filter("id is not null").filter(maybe(F.xxhash64("id"))).join(ids, "id", "left_semi").select("text")
+    maybe = bitmap.test(spark, bitmap.build(ids, F.xxhash64("id"), 22), F.xxhash64("id"))
+    targets = texts.filter("id is not null").filter(maybe).join(ids, "id", "left_semi").select("text")
     ratio = spark.sparkContext.broadcast(log_ratio(bucket_counts(targets), raw))
     rows = texts.select("id", _scored(ratio)("text").alias("s")).select("id", "s.*")
     rows = rows.withColumn("sample_key", F.col("log_weight") + gumbel(F.col("id"), seed))

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siteatlas.llm import bitmap, words
 from siteatlas.session import persist_reliably
@@ -123,8 +124,8 @@ def _classes(rows: DataFrame) -> np.ndarray:
     parts = rows.filter("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(_summed, "slice int, counts binary")
     counts = np.zeros(1 << COUNT_BITS)
     step = len(counts) // _SLICES
-    for row in parts.toLocalIterator():
-        counts[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(bytes(row["counts"]), np.uint64)
+    for row in parts.toArrow().to_pylist():
+        counts[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(row["counts"], np.uint64)
     mean = max(1.0, counts.mean())
     return np.clip(np.floor(np.log2(np.maximum(counts, 1) / mean)), 0, (1 << _CLASS) - 1).astype(np.uint64)
 
@@ -457,7 +458,7 @@ def _cut(data: bytes, spans) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _kept(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for text, spans in texts:
         pairs = zip(text.to_pylist(), spans.to_pylist(), strict=True)
@@ -466,13 +467,8 @@ def _kept(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 def _maybe(spans: DataFrame, spark):
     """A test of the key for documents that lose bytes; others may pass it too."""
-    bits = spark.sparkContext.broadcast(bitmap.build(spans, F.xxhash64("id", "h"), 24))
-
-    @F.arrow_udf("boolean")
-    def test(keys: pa.Array) -> pa.Array:
-        return pa.array(bitmap.contains(bits.value, keys.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    return test(F.xxhash64("id", "h"))
+    key = F.xxhash64("id", "h")
+    return bitmap.test(spark, bitmap.build(spans, key), key)
 
 
 def kept_texts(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -481,7 +477,7 @@ def kept_texts(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
     return texts.join(spans, ["id", "h"]).select("id", "h", "spans", _kept("text", "spans").alias("kept"))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _kept_string(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for text, spans in texts:
         pairs = zip(text.to_pylist(), spans.to_pylist(), strict=True)
