@@ -179,7 +179,7 @@ def _pieces(classes, repeated, length: int):
                     first = found.setdefault(piece, this)
                     if first is this:
                         held += len(piece) + 150
-                    else:
+                    elif first != this:  # the same place is a repeated row
                         if this < first:
                             found[piece], this = this, first
                         held += 100
@@ -358,6 +358,8 @@ def _removed(length: int):
                         out, carried, carried_anchor = shard(held, carried, carried_anchor, False)
                         yield rows(out)
                         held, size = [], 0
+                if group and group[-1][:5] == row[:5]:  # a repeated row
+                    continue
                 group.append(row)
                 size += len(row[5])
                 if size > 4 * SHARD_BYTES:  # within one anchor's pieces

@@ -1,0 +1,95 @@
+"""The join against all pairs on small tables, graphs against union-find."""
+
+import random
+import re
+
+import pytest
+
+from siteatlas.llm import graph, jaccard
+
+SCHEMA = "doc_id long, text string, token string, grp int"
+
+
+def brute(rows, k, percent):
+    def shingles(text):
+        found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        if len(found) < k:
+            return {tuple(found)} if found else set()
+        return {tuple(found[i : i + k]) for i in range(len(found) - k + 1)}
+
+    sets = [(i, shingles(t)) for i, t in rows]
+    parent = {i: i for i, _ in sets if i is not None}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if i is not None and j is not None and a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    return sorted(((i, len(s), None if i is None else root(i)) for i, s in sets), key=str)
+
+
+def run(spark, rows, **options):
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)
+    return sorted((tuple(r) for r in jaccard.components(docs, **options).collect()), key=str)
+
+
+def texts(seed, families, members, size, edits):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    out = []
+    for _ in range(families):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(3, size))]
+        for _ in range(members):
+            copy = list(base)
+            for _ in range(rng.randint(0, edits)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            out.append(" ".join(copy))
+    rng.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("k,percent,seed", [(3, 90, 1), (5, 80, 2)])
+def test_equals_all_pairs(spark, k, percent, seed):
+    rows = texts(seed, families=25, members=8, size=120, edits=5)
+    assert run(spark, rows, k=k, percent=percent) == brute(rows, k, percent)
+
+
+def test_split_groups_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP_SIZE", 5)
+    monkeypatch.setattr(jaccard, "QUERY_BLOCK", 3)
+    rows = texts(5, families=3, members=70, size=150, edits=6)
+    assert run(spark, rows) == brute(rows, 3, 90)
+
+
+def test_edge_cases(spark):
+    long = " ".join(f"n{i}" for i in range(30_000))
+    rows = [
+        (1, None), (2, ""), (3, " \t"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "one  two\n"), (8, "two one"), (9, "É"), (10, "é"),
+        (11, "a b c"), (12, "a b c"), (12, "a b c"), (None, "a b c"), (20, long), (19, long + " tail"), (30, "x y z q"), (30, "p q r s"), (31, "p q r s"),
+    ]
+    found = run(spark, rows)
+    expected = brute(rows, 3, 90)
+    # rows of one id count as linked: 30 joins what either of its texts is linked with
+    assert found == expected
+    assert (31, 2, 30) in found and (None, 1, None) in found and (7, 1, 6) in found and (8, 1, 8) in found
+
+
+def test_empty_table(spark):
+    assert run(spark, []) == []
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7)]
+    found = {r.id: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {v: v for e in edges for v in e}
+    for _ in range(400):
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    linked = {v for a, b in edges if a != b for v in (a, b)}
+    assert found == {v: parent[v] for v in linked}
