@@ -4,9 +4,9 @@ A byte goes if it lies in a ``length``-byte string that also starts earlier (in
 
 Which strings could repeat is decided first, without loss: every string has one *anchor*, the least k-gram inside it (in an order
 that puts frequent k-grams last, so that what follows a very common line is told apart by its own bytes). Equal strings have equal
-anchors, so strings whose anchor occurs once in the corpus cannot repeat. The rest is cut into *pieces*, the runs of strings
-with one anchor, and pieces are dealt by anchor, so all equal strings meet. Pieces of the same bytes are merged before they are
-sent, the first stays.
+anchors, and every string holds its anchor with half of the remaining bytes on one side of it, so strings for which this longer
+gram occurs once in the corpus cannot repeat. The rest is cut into *pieces*, the runs of strings with one anchor, and pieces
+are dealt by anchor, so all equal strings meet. Pieces of the same bytes are merged before they are sent, the first stays.
 
 A task reads its pieces in the order of (anchor, document, start) and makes shards of bounded size. A shard's suffix array is
 built by Larsson-Sadakane refinement (sort by 8 bytes, then double the depth and sort only groups that are still equal), common
@@ -53,10 +53,12 @@ def _segments(texts: pa.Array, length: int) -> Iterator[tuple[words.Texts, int]]
             yield words.Texts(part, np.array([0, len(part)]), batch.first), base
 
 
-def _kgrams(data: np.ndarray) -> np.ndarray:
-    h = words.prefix_hash(data)
-    n = max(len(data) - K + 1, 0)
-    return (h[K:] - h[:-K])[:n] * _inverses(n)
+def _grams_from(h: np.ndarray, low: np.ndarray | int, size: int) -> np.ndarray:
+    """Hashes of the ``size`` bytes from ``low``, with the prefix hashes of the text; all of them if low is 0."""
+    if isinstance(low, int):
+        n = max(len(h) - size, 0)
+        return (h[size : size + n] - h[:n]) * _inverses(n)
+    return (h[low + size] - h[low]) * _inverses(len(h))[low]
 
 
 _INVERSE_TABLE = np.empty(0, np.uint64)
@@ -70,12 +72,15 @@ def _inverses(n: int) -> np.ndarray:
 
 
 def _runs(texts: words.Texts, classes: np.ndarray, length: int):
-    """Runs of strings with one anchor: text, first start, number of starts, and the anchor's hash."""
-    grams = _kgrams(texts.data)
+    """Runs of strings with one anchor: text, first start, number of starts, the anchor's hash, how many of the first strings hold the
+    anchor with half of the rest on its left, and the hashes of this left gram and of the right one, which the others hold."""
+    h = words.prefix_hash(texts.data)
+    grams = _grams_from(h, 0, K)
+    none = (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64), np.empty(0, np.int64)) + (np.empty(0, np.uint64),) * 2
     span = length - K + 1  # k-grams in a string
     n = len(grams) - span + 1
     if n <= 0:
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
+        return none
     low = np.uint64(SEGMENT_BITS)
     order = classes[grams >> np.uint64(64 - COUNT_BITS)] << np.uint64(64 - _CLASS)
     order |= (grams >> (low + np.uint64(_CLASS))) << low
@@ -90,9 +95,15 @@ def _runs(texts: words.Texts, classes: np.ndarray, length: int):
     start = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count - texts.offsets[:-1], count)
     at = len(grams) - 1 - (order[start] & np.uint64((1 << SEGMENT_BITS) - 1)).astype(np.int64)
     if not len(at):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
+        return none
     new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])]))
-    return doc[new], start[new], np.diff(np.append(new, len(at))), grams[at[new]]
+    doc, start, count, at = doc[new], start[new], np.diff(np.append(new, len(at))), at[new]
+    half = (length - K) // 2
+    left = np.clip(at - half - start + 1, 0, count)  # strings with at least half of the rest before the anchor
+    last = len(texts.data) - (length - half)
+    left_gram = words.mix(_grams_from(h, np.maximum(at - half, 0), K + half))
+    right_gram = words.mix(_grams_from(h, np.minimum(at, last), length - half) + np.uint64(1))
+    return doc, start, count, grams[at], left, left_gram, right_gram
 
 
 def _counted(length: int):
@@ -103,7 +114,7 @@ def _counted(length: int):
         counts = np.zeros(1 << COUNT_BITS, np.uint32)
         for batch in batches:
             for texts, _ in _segments(batch.column(5), length):
-                cell = (_kgrams(texts.data) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+                cell = (_grams_from(words.prefix_hash(texts.data), 0, K) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
                 counts += np.bincount(cell, minlength=len(counts)).astype(np.uint32)
             n = batch.num_rows
             yield pa.record_batch([*batch.columns[:5], pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=[*names, "slice", "counts"])
@@ -130,25 +141,26 @@ def _classes(rows: DataFrame) -> np.ndarray:
     return np.clip(np.floor(np.log2(np.maximum(counts, 1) / mean)), 0, (1 << _CLASS) - 1).astype(np.uint64)
 
 
-def _anchors(classes, length: int):
-    """Per text the hashes of its anchors, each at most twice."""
+_KEPT_BITS = 48  # of a gram's hash, when grams are counted
+
+
+def _held_grams(classes, length: int):
+    """The hashes of all left and right grams that strings hold, each at most twice a text."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, _ in _segments(batch.column(2), length):
-                doc, _, _, hashes = _runs(texts, classes.value, length)
-                order = np.lexsort((hashes, doc))
-                doc, hashes = doc[order], hashes[order]
+            for texts, _ in _segments(batch.column(0), length):
+                doc, _, count, _, left, left_gram, right_gram = _runs(texts, classes.value, length)
+                some = np.concatenate([left > 0, left < count])
+                grams, doc = np.concatenate([left_gram, right_gram])[some], np.concatenate([doc, doc])[some]
+                order = np.lexsort((doc, grams))
+                doc, grams = doc[order], grams[order]
                 third = np.zeros(len(doc), bool)
-                third[2:] = (doc[2:] == doc[:-2]) & (hashes[2:] == hashes[:-2])
-                doc, hashes = doc[~third], hashes[~third]
-                offsets = np.searchsorted(doc, np.arange(texts.n + 1)).astype(np.int32)
-                yield pa.record_batch(
-                    [*(c.slice(texts.first, texts.n) for c in batch.columns[:2]), pa.ListArray.from_arrays(offsets, hashes.view(np.int64))],
-                    names=["id", "h", "anchors"],
-                )
+                third[2:] = (doc[2:] == doc[:-2]) & (grams[2:] == grams[:-2])
+                grams, counts = np.unique(grams[~third] >> np.uint64(64 - _KEPT_BITS), return_counts=True)
+                yield pa.record_batch([grams.view(np.int64), counts], names=["gram", "n"])
 
-    return over, "id long, h long, anchors array<long>"
+    return over, "gram long, n long"
 
 
 _PIECE = "anchor long, id long, h long, low long, high long, piece binary"
@@ -168,8 +180,11 @@ def _pieces(classes, repeated, length: int):
         for batch in batches:
             ids, hs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for texts, base in _segments(batch.column(2), length):
-                doc, start, count, hashes = _runs(texts, classes.value, length)
-                keep = np.flatnonzero(bitmap.contains(repeated.value, hashes))
+                doc, start, count, hashes, left, left_gram, right_gram = _runs(texts, classes.value, length)
+                low = np.where(bitmap.contains(repeated.value, left_gram), 0, left)
+                high = np.where(bitmap.contains(repeated.value, right_gram), count, left)
+                start, count = start + low, high - low
+                keep = np.flatnonzero(count > 0)
                 raw = texts.data.tobytes() if len(keep) else b""
                 in_text = start[keep] - texts.offsets[doc[keep]] + base
                 rows = zip((doc[keep] + texts.first).tolist(), start[keep].tolist(), count[keep].tolist(), in_text.tolist(), hashes.view(np.int64)[keep].tolist(), strict=True)
@@ -433,10 +448,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     texts = docs.select(*_keys(id_col, text_col))
     long = texts.filter(F.octet_length("text") >= length)
-    anchors = long.mapInArrow(*_anchors(classes, length)).filter("size(anchors) > 0")
-    anchors = anchors.join(firsts, ["id", "h"], "left_semi").select(F.explode("anchors").alias("anchor"))
-    repeated = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    repeated = spark.sparkContext.broadcast(bitmap.build(repeated, F.col("anchor"), BITMAP_BITS))
+    # later copies of a text are not counted; only texts that may be such are joined
+    copies = narrow.join(first, "whole").filter(F.struct("id", "h") != F.col("first")).select("id", "h")
+    maybe = _maybe(copies, spark)
+    single = long.filter(~maybe).select("text").unionAll(long.filter(maybe).join(firsts, ["id", "h"], "left_semi").select("text"))
+    grams = single.mapInArrow(*_held_grams(classes, length)).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1")
+    repeated = bitmap.build(grams, F.shiftleft("gram", 64 - _KEPT_BITS), BITMAP_BITS)
+    repeated = spark.sparkContext.broadcast(repeated)
 
     pieces = long.mapInArrow(*_pieces(classes, repeated, length))
     dealt = pieces.repartition("anchor").sortWithinPartitions("anchor", "id", "h", "low")
