@@ -29,7 +29,7 @@ from siteatlas.llm import bitmap, words
 from siteatlas.session import persist_reliably
 
 K = 32
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 SEGMENT_BITS = 18
 COUNT_BITS = 18  # the table of k-gram counts has 2^18 cells, whatever the data
 _SLICES = 64
