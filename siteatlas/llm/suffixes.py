@@ -358,22 +358,28 @@ def _removed(length: int):
         return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["id", "h", "low", "high"])
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, group, size, carried, carried_anchor = [], [], 0, [], None
-        # held: pieces of anchors that have company, for the next shard; group: the pieces of the anchor now read
+        held, group, seen, size, carried, carried_anchor = [], [], {}, 0, [], None
+        # held: pieces of anchors that have company, for the next shard; group, seen: the pieces of the anchor now read
         for batch in batches:
             passed = batch.filter(batch.column(5).is_null())
             if passed.num_rows:
                 yield pa.record_batch(passed.columns[1:5], names=["id", "h", "low", "high"])
+            again = []
             for row in zip(*(c.to_pylist() for c in batch.filter(batch.column(5).is_valid()).columns), strict=True):
                 if group and group[-1][0] != row[0]:
                     if len(group) > 1 or group[0][0] == carried_anchor:
                         held += group
-                    group = []
+                    else:
+                        size -= len(group[0][5])
+                    group, seen = [], {}
                     if size > SHARD_BYTES and held:
                         out, carried, carried_anchor = shard(held, carried, carried_anchor, False)
                         yield rows(out)
                         held, size = [], 0
-                if group and group[-1][:5] == row[:5]:  # a repeated row
+                first = seen.setdefault(row[5], row)
+                if first is not row:
+                    if first[1:4] != row[1:4]:  # else a repeated row
+                        again.append(row[1:5])
                     continue
                 group.append(row)
                 size += len(row[5])
@@ -381,6 +387,7 @@ def _removed(length: int):
                     out, carried, carried_anchor = shard(held + group, carried, carried_anchor, True)
                     yield rows(out)
                     held, group, size = [], [], 0
+            yield rows(again)
         if len(group) > 1 or group and group[0][0] == carried_anchor:
             held += group
         if held:
