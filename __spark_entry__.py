@@ -16,10 +16,10 @@ from siteatlas import fixtures as fx  # noqa: E402
 from siteatlas.functions import text  # noqa: E402
 from siteatlas.operators import details, links, markers, ordering, prices, reconcile, reports  # noqa: E402
 from siteatlas.plans import catalogs  # noqa: E402
-from siteatlas.schema import STORE_FIELDS  # noqa: E402
+from siteatlas.schema import ORDER_FIELDS, STORE_FIELDS  # noqa: E402
 from siteatlas.session import new_work_dir  # noqa: E402
 from siteatlas.sources import catalog, seeds  # noqa: E402
-from siteatlas.sources.captures import of_kind  # noqa: E402
+from siteatlas.sources.captures import of_kind, only_latest  # noqa: E402
 from siteatlas.streaming import incremental  # noqa: E402
 
 # The text operators and the pipeline built on them; the library works without them.
@@ -67,7 +67,8 @@ def _new(spark, sf_dir):
 
 
 def _daily(spark, sf_dir):
-    return catalogs.daily_catalog(fx.captures(spark, sf_dir), fx.seeds(spark, sf_dir), SPEC)
+    captures = fx.captures(spark, sf_dir, "index", "sitemap", "search", "price")
+    return catalogs.daily_catalog(captures, fx.seeds(spark, sf_dir), SPEC)
 
 
 # ---- links -----------------------------------------------------------------------------------------
@@ -86,22 +87,28 @@ def page_link_counts(spark, sf_dir):
 
 
 def state_pages(spark, sf_dir):
-    return links.state_pages(fx.captures(spark, sf_dir, "index"), SPEC)
+    return links.with_page_rank(links.state_pages(fx.captures(spark, sf_dir, "index"), SPEC))
+
+
+def _show_page_rank(rows, spark, sf_dir):
+    return links.show_page_rank(rows, state_pages(spark, sf_dir))
 
 
 def facility_links_loose(spark, sf_dir):
     found = links.facility_links(_state_links(spark, sf_dir), SPEC)
-    return links.first_label_per_url(found).drop("pos")
+    shown = _show_page_rank(links.first_label_per_url(found), spark, sf_dir)
+    return shown.select("url", "label", "page_rank")
 
 
 def link_stores(spark, sf_dir):
     found = reconcile.first_page_wins(links.link_stores(_state_links(spark, sf_dir), SPEC))
-    return found.select("store_id", "address", "city", "state", "url", "page_rank")
+    shown = _show_page_rank(found, spark, sf_dir)
+    return shown.select("store_id", "address", "city", "state", "url", "page_rank")
 
 
 def facilities_per_page(spark, sf_dir):
     captures = fx.captures(spark, sf_dir, "index", "sitemap")
-    pages = links.state_pages(captures, SPEC).select("url", "page_rank")
+    pages = links.with_page_rank(links.state_pages(captures, SPEC)).select("url", "page_rank")
     found = links.facility_links(links.state_page_links(captures, pages), SPEC)
     return reports.facilities_per_page(pages, found)
 
@@ -123,7 +130,7 @@ def marker_stores(spark, sf_dir):
     captures = fx.captures(spark, sf_dir, "index", "sitemap")
     pages = links.state_pages(captures, SPEC)
     found = markers.stores_on_pages(captures, "sitemap", pages, SPEC, catalogs.SITEMAP, strict=False)
-    return found.select("page_rank", "pos", *STORE_FIELDS)
+    return _show_page_rank(found, spark, sf_dir).select("page_rank", "pos", *STORE_FIELDS)
 
 
 def marker_rejects(spark, sf_dir):
@@ -132,14 +139,15 @@ def marker_rejects(spark, sf_dir):
 
 
 def first_wins_stores(spark, sf_dir):
-    return _discovered(spark, sf_dir).select("source_rank", "page_rank", *STORE_FIELDS)
+    shown = _show_page_rank(_discovered(spark, sf_dir), spark, sf_dir)
+    return shown.select("source_rank", "page_rank", *STORE_FIELDS)
 
 
 def new_per_state_page(spark, sf_dir):
     captures = fx.captures(spark, sf_dir, "index", "sitemap")
-    pages = links.state_pages(captures, SPEC)
+    pages = links.with_page_rank(links.state_pages(captures, SPEC))
     found = markers.stores_on_pages(captures, "sitemap", pages, SPEC, catalogs.SITEMAP, strict=False)
-    return reports.new_per_page(pages.drop("url"), reconcile.first_wins(found))
+    return reports.new_per_page(pages, reconcile.first_wins(found)).drop("url")
 
 
 def seed_distinct(spark, sf_dir):
@@ -153,7 +161,8 @@ def status_gate_errors(spark, sf_dir):
 
 def sweep_errors(spark, sf_dir):
     pages = seeds.search_pages(fx.seeds(spark, sf_dir), SPEC).select("url")
-    return reports.error_count(fx.captures(spark, sf_dir, "search").select("url", "status").join(pages, "url"))
+    captures = fx.captures(spark, sf_dir, "search").select("url", "status", "fetched_at", "capture_id")
+    return reports.error_count(captures.join(pages, "url"))
 
 
 def lenient_status_stores(spark, sf_dir):
@@ -169,8 +178,8 @@ def new_stores(spark, sf_dir):
 
 
 def new_per_seed_running(spark, sf_dir):
-    pages = seeds.search_pages(fx.seeds(spark, sf_dir), SPEC).select("zip", "page_rank")
-    return reports.with_running_total(reports.new_per_page(pages, _new(spark, sf_dir)))
+    pages = seeds.search_pages(fx.seeds(spark, sf_dir), SPEC)
+    return reports.with_running_total(reports.new_per_page(pages, _new(spark, sf_dir)).drop("url"))
 
 
 def catalog_merge(spark, sf_dir):
@@ -179,9 +188,16 @@ def catalog_merge(spark, sf_dir):
     return merged.select(*STORE_FIELDS, F.size("units").cast("long").alias("n_units"))
 
 
+def nothing_new_merge(spark, sf_dir):
+    """The known catalog holds every customer, so it is returned as it is."""
+    captures, known = fx.captures(spark, sf_dir, "search", "price"), fx.partly_enriched(spark, sf_dir)
+    merged = catalogs.gap_catalog(captures, fx.seeds(spark, sf_dir), known, SPEC)
+    return merged.select("store_id", F.size("units").cast("long").alias("n_units"))
+
+
 def new_store_listing(spark, sf_dir):
-    units = prices.price_units(fx.captures(spark, sf_dir, "price"))
-    return reports.new_store_listing(prices.attach_units(_new(spark, sf_dir), units))
+    entries = prices.price_entries(fx.captures(spark, sf_dir, "price"))
+    return reports.new_store_listing(prices.attach_newest_units(_new(spark, sf_dir), entries))
 
 
 # ---- prices and reports --------------------------------------------------------------------------------
@@ -203,8 +219,14 @@ def id_batches(spark, sf_dir):
 
 
 def stores_with_units(spark, sf_dir):
-    found = prices.with_pricing(_daily(spark, sf_dir))
-    return found.select("store_id", "address", F.size("units").cast("long").alias("n_units"))
+    """Only counts leave the payloads."""
+    found = prices.attach_summary(_discovered(spark, sf_dir), prices.price_summary(fx.captures(spark, sf_dir, "price")))
+    return found.filter("summary.n_units > 0").select("store_id", "address", "summary.n_units")
+
+
+def catalog_in_order(spark, sf_dir):
+    stores = _discovered(spark, sf_dir)
+    return ordering.dense_index(stores, list(ORDER_FIELDS), "position").select("position", "store_id")
 
 
 def cheapest_unit(spark, sf_dir):
@@ -238,8 +260,9 @@ def coverage(spark, sf_dir):
 
 
 def facility_details(spark, sf_dir):
-    pages = of_kind(fx.captures(spark, sf_dir, "facility"), "facility")
-    return details.facility_details(pages, SPEC, "url")
+    captures = fx.captures(spark, sf_dir, "facility")
+    found = details.facility_details(of_kind(captures, "facility"), SPEC, "url", "capture_id")
+    return only_latest(found, captures).drop("capture_id")
 
 
 def enrich_merge(spark, sf_dir):
@@ -253,7 +276,9 @@ def facility_address(spark, sf_dir):
 
 
 def facility_page_address(spark, sf_dir):
-    return details.facility_addresses(of_kind(fx.captures(spark, sf_dir, "facility"), "facility"), "url")
+    captures = fx.captures(spark, sf_dir, "facility")
+    found = details.facility_addresses(of_kind(captures, "facility"), "url", "capture_id")
+    return only_latest(found, captures).drop("capture_id")
 
 
 def catalog_roundtrip(spark, sf_dir):
@@ -264,6 +289,22 @@ def catalog_roundtrip(spark, sf_dir):
     return catalog.with_missing_fields(again, STORE_FIELDS)
 
 
+def catalog_from_array(spark, sf_dir):
+    """Catalog files that each hold one JSON array, of at most 1000 customers."""
+    stores = fx.partly_enriched(spark, sf_dir)
+    path = new_work_dir(spark, "arrays")
+    part = F.expr("CAST(store_id AS BIGINT) div 1000").alias("part")
+    array = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*stores.columns))), ",\n"), F.lit("]"))
+    stores.groupBy(part).agg(array.alias("value")).write.partitionBy("part").text(path)
+    return catalog.read_catalog(spark, f"{path}/*", "json", stores.schema)
+
+
+def seeds_from_file(spark, sf_dir):
+    path = new_work_dir(spark, "seeds")
+    fx.seeds(spark, sf_dir).write.csv(path)
+    return seeds.distinct_seeds(seeds.read_seeds(spark, path))
+
+
 # ---- streaming -------------------------------------------------------------------------------------------
 
 
@@ -298,7 +339,7 @@ def stream_enrich(spark, sf_dir):
 
     early = F.col("url") < SPEC.base_url + "/self-storage-m"
     _in_two_runs(spark, captures.filter(early), captures.filter(~early), run)
-    return incremental.read_enriched(spark, stores, output).select(*STORE_FIELDS)
+    return incremental.read_enriched(spark, stores, output, SPEC.base_url).select(*STORE_FIELDS)
 
 
 _QUERIES = (
@@ -339,6 +380,10 @@ _QUERIES = (
     facility_address,
     facility_page_address,
     catalog_roundtrip,
+    catalog_from_array,
+    seeds_from_file,
+    catalog_in_order,
+    nothing_new_merge,
     stream_new_stores,
     stream_enrich,
 )

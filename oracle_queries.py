@@ -57,7 +57,7 @@ _SEARCH = f"""seed AS (
   SELECT DISTINCT seed AS seed_rank,
     lpad(CAST(seed AS VARCHAR), greatest(5, length(CAST(seed AS VARCHAR)))::INTEGER, '0') AS seed_zip FROM st),
 on_search_all AS (
-  SELECT st.*, 0 AS copy, seed AS place, street AS shown_street FROM st WHERE k % 3 = 0 OR k % 5 = 0
+  SELECT st.*, 0 AS copy, seed AS place, street AS shown_street FROM st
   UNION ALL SELECT st.*, 1, alt_seed, 'ALT ' || k FROM st WHERE k % 6 = 0),
 on_search AS (
   SELECT *, seed_rank AS page_rank, row_number() OVER (PARTITION BY place ORDER BY k, copy) - 1 AS pos,
@@ -110,11 +110,11 @@ unit AS (
     CASE WHEN o_orderkey % 17 = 0 THEN 0.0 WHEN o_orderkey % 16 = 5 THEN NULL
          WHEN o_orderkey % 4 = 1 THEN CAST(floor(o_totalprice / 100000) AS DOUBLE)
          ELSE o_totalprice END AS price,
-    o_orderkey % 19 <> 0 AND o_orderstatus = 'O' AS available,
+    o_orderkey % 19 <> 0 AND (o_orderkey % 13 = 0 OR o_orderstatus = 'O') AS available,
     CASE WHEN o_orderkey % 23 = 0 THEN 0 ELSE o_orderkey % 5 + CASE WHEN p % 41 = 40 THEN 1 ELSE 0 END END AS count,
     CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'P' || (o_orderkey % 3) END AS promo,
     '' AS promo2
-  FROM offer JOIN priced USING (k)),
+  FROM offer JOIN priced USING (k) WHERE NOT (k % 20 = 11 AND p % 3 = 2)),
 answered AS (
   SELECT store_id FROM priced UNION ALL
   SELECT DISTINCT 'U' || (c_custkey // 20) FROM customer
@@ -296,6 +296,16 @@ SELECT store_id, CASE WHEN k % 3 = 0 THEN CAST(100000 + k AS VARCHAR) END AS sit
   CASE WHEN k % 6 = 0 THEN 'old' END AS zip, CASE WHEN k % 3 = 1 THEN 'old-' || k END AS phone,
   CASE WHEN k % 23 = 0 THEN '{BASE}' ELSE url END AS url, '' AS lat, '' AS lng
 FROM st""",
+    "catalog_from_array": f"""WITH {_ST}
+SELECT store_id, CASE WHEN k % 3 = 0 THEN CAST(100000 + k AS VARCHAR) END AS site_number, street AS address, city, state,
+  CASE WHEN k % 6 = 0 THEN 'old' END AS zip, CASE WHEN k % 3 = 1 THEN 'old-' || k END AS phone,
+  CASE WHEN k % 23 = 0 THEN '{BASE}' ELSE url END AS url
+FROM st""",
+    "seeds_from_file": f"WITH {_ST}, {_SEARCH} SELECT seed_zip AS zip, seed_rank FROM seed",
+    "catalog_in_order": f"""WITH {_DISCOVERED}
+SELECT row_number() OVER (ORDER BY source_rank, page_rank, k, copy) - 1 AS position, store_id FROM discovered""",
+    "nothing_new_merge": f"""WITH {_ST}
+SELECT store_id, CAST(NULL AS BIGINT) AS n_units FROM st""",
     "stream_new_stores": _NEW_STORES,
     "stream_enrich": _ENRICHED,
 }

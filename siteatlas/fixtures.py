@@ -23,7 +23,7 @@ SPEC = SiteSpec(
     price_template=BASE + "/prices?sites={}",
     marker_class="siteMarker",
 )
-RESENT = 1_000_000_000  # added to the rank of a payload that is sent again
+RESENT = 1_000_000_000  # added to the key of a payload that is sent again by a later run, whose ranks start anew
 
 # Columns of a store, from customer.
 STORE_COLUMNS = {
@@ -96,7 +96,8 @@ UNIT_JSON = """concat('{"name":"', o_orderpriority, '"',
          when o_orderkey % 16 = 5 then ''
          when o_orderkey % 4 = 1 then concat(',"saleprice":', floor(o_totalprice / 100000))
          else concat(',"saleprice":', o_totalprice) end,
-    if(o_orderkey % 19 = 0, '', concat(',"availability":', o_orderstatus = 'O')),
+    case when o_orderkey % 19 = 0 then '' when o_orderkey % 13 = 0 then if(o_orderkey % 2 = 0, ',"availability":"false"', ',"availability":"0"')
+         else concat(',"availability":', o_orderstatus = 'O') end,
     if(o_orderkey % 23 = 0, '', concat(',"count":', o_orderkey % 5 + bump)),
     ',"promotionName":', if(o_orderkey % 3 = 0, 'null', concat('"P', o_orderkey % 3, '"')), '}')"""
 
@@ -133,14 +134,9 @@ def _grouped(rows: DataFrame, *keys: str) -> DataFrame:
     """Spread rows by key over the session's shuffle partitions.
 
     Reading the documents costs far more than their size suggests, so the number of partitions is
-    not left to be reduced by size. A session that kept Spark's default of 200 has not been sized
-    for its data; two partitions per core are used then.
+    not left to be reduced by size.
     """
-    spark = rows.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if partitions == 200:
-        partitions = 2 * spark.sparkContext.defaultParallelism
-    return rows.repartition(partitions, *keys)
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def _page(rows: DataFrame, html: str, head: str, *keys: str) -> DataFrame:
@@ -167,6 +163,15 @@ def _captures(rows: DataFrame, kind: str, key: str, url: str, status: str, page_
     )
 
 
+def _with_history(captures: DataFrame, when: str, body: str) -> DataFrame:
+    """Where ``when`` holds for the capture id, the page was also captured earlier, successfully and with another ``body``."""
+    names = [field.name for field in CAPTURES]
+    earlier = {"capture_id": "-1 - capture_id", "status": "200", "body": body, "fetched_at": "timestamp_seconds(-1)"}
+    both = [", ".join(f"{values.get(n, n)} AS {n}" for n in names) for values in ({}, earlier)]
+    rows = captures.selectExpr(f"inline(if({when}, array(struct({both[0]}), struct({both[1]})), array(struct({both[0]}))))")
+    return rows.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in CAPTURES])
+
+
 def _with_marker(shown: DataFrame) -> DataFrame:
     return shown.selectExpr("*", f"{MARKER_JSON} AS marker_json").selectExpr("*", f"{MARKER_HTML} AS marker_html")
 
@@ -197,7 +202,8 @@ def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         if(place = 3, concat('<a href="', path, '">again</a>'), ''))"""
     head = '<html><a href="/about">About</a><a name="site-map-states-">top</a>'
     rows = pages.selectExpr("b", "place AS k", "0 AS copy", "place", "path")
-    return _captures(_page(rows, link, head, "b"), "index", "b", f"concat('{BASE}/index/', b)", "200")
+    pages = _captures(_page(rows, link, head, "b"), "index", "b", f"concat('{BASE}/index/', b)", "200")
+    return _with_history(pages, "capture_id % 2 = 0", "concat(body, '<a href=\"/site-map-states-gone\">gone</a>')")
 
 
 def state_page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +212,9 @@ def state_page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _page(
         _with_marker(_state_page_places(spark, sf_dir)), item, '<html><a href="/">Home</a><ul>', "b", "place", "path"
     )
-    return _captures(pages, "sitemap", "(b * 25 + place)", f"concat('{BASE}', path)", "if(place = 11, 404, 200)")
+    found = _captures(pages, "sitemap", "(b * 25 + place)", f"concat('{BASE}', path)", "if(place = 11, 404, 200)")
+    gone = "<a href=\"/self-storage-zz-gone/12345.html\">Self Storage near 1 Gone St in Gone</a>"
+    return _with_history(found, "capture_id % 4 = 1", f"concat('{gone}', replace(body, ' Main St', ' Past Rd'))")
 
 
 def _zip(seed: str) -> str:
@@ -220,16 +228,18 @@ def search_page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("true", "seed", "street"),
         ("k % 6 = 0", "alt_seed", "concat('ALT ', k)"),
     )
-    item = "if(copy = 1 or k % 3 = 0 or k % 5 = 0, marker_html, null)"
-    pages = _page(_with_marker(shown), item, "<html><p>Results<p>", "place")
+    pages = _page(_with_marker(shown), "marker_html", "<html><p>Results<p>", "place")
     url = f"concat('{BASE}/find?near=', {_zip('place')})"
-    return _captures(pages, "search", "place", url, "if(place % 13 = 0, 500, 200)")
+    found = _captures(pages, "search", "place", url, "if(place % 13 = 0, 500, 200)")
+    return _with_history(found, "capture_id % 3 = 1", "replace(replace(body, ' Main St', ' Past Rd'), 'ALT ', 'OLD ')")
 
 
 def facility_page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stores = _with_marker(customers(spark, sf_dir).withColumnRenamed("street", "shown_street"))
-    pages = _grouped(stores.selectExpr("k", "link", f"{FACILITY_HTML} AS body"), "k")
-    return _captures(pages, "facility", "k", f"concat('{BASE}', link)", "if(k % 8 = 5, 500, 200)")
+    spread = _grouped(customers(spark, sf_dir), "k").withColumnRenamed("street", "shown_street")
+    pages = _with_marker(spread).selectExpr("k", "link", f"{FACILITY_HTML} AS body")
+    found = _captures(pages, "facility", "k", f"concat('{BASE}', link)", "if(k % 8 = 5, 500, 200)")
+    earlier = "<a href=\"tel:gone\">call</a><i itemprop=\"streetAddress\">1 Gone St</i>"
+    return _with_history(found, "status = 200 AND capture_id % 9 = 4", f"'{earlier}'")
 
 
 def price_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,7 +266,8 @@ def price_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         return f"""concat(
             if(k % 20 = 7 and p % 3 = 1, concat('{{"storeID":"', store_id, '","info":[]}},'), ''),
             '{{"storeID":', if(k % 2 = 1, store_id, concat('"', store_id, '"')), ',"info":',
-            if(k % 20 = 0 and p % 37 = 36, 'null', concat('[', {units}, ']')), '}}')"""
+            case when k % 20 = 0 and p % 37 = 36 then 'null' when k % 20 = 11 and p % 3 = 2 then if(p % 2 = 0, '{{}}', '""')
+                 else concat('[', {units}, ']') end, '}}')"""
 
     def payload(json):
         listed = f"array_join(transform(array_sort(collect_list(struct(k, {json} AS j))), x -> x.j), ',')"
@@ -286,7 +297,7 @@ def price_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
                       array(struct(p AS rank, first AS body))))""",
     )
     return _captures(
-        sent, "price", "rank", f"concat('{BASE}/prices?sites=batch-', p)", "if(p % 29 = 28, 503, 200)", "rank"
+        sent, "price", "rank", f"concat('{BASE}/prices?sites=batch-', p)", "if(p % 29 = 28, 503, 200)", f"if(rank >= {RESENT}, 0, rank)"
     )
 
 
@@ -299,8 +310,17 @@ _RENDER = {
 }
 
 
-def captures(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
-    return union_all(*[_RENDER[kind](spark, sf_dir) for kind in kinds or _RENDER])
+class Captures(dict):
+    """Captures by kind, as ``of_kind`` reads them."""
+
+    def union(self) -> DataFrame:
+        return union_all(*self.values())
+
+
+def captures(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame | Captures:
+    """One kind as a table, several (or all, if none is named) by kind."""
+    found = Captures({kind: _RENDER[kind](spark, sf_dir) for kind in kinds or _RENDER})
+    return found[kinds[0]] if len(kinds) == 1 else found
 
 
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

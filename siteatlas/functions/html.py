@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from siteatlas import spec as S
 
-# Fixed values of HTML: elements without an end tag, and elements whose text is not page text.
+# The elements that lenient page parsers in common use take as having no end tag (HTML's own and
+# historic ones), and elements whose text is not page text.
 VOID = frozenset(
-    "area base basefont bgsound br col command embed frame hr image img input isindex keygen link "
-    "menuitem meta nextid param source spacer track wbr".split()
+    {"area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img", "input"}
+    | {"isindex", "keygen", "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track", "wbr"}
 )
-NOT_TEXT = frozenset("rp rt script style template".split())
+NOT_TEXT = frozenset({"rp", "rt", "script", "style", "template"})
 
 
 class _Page(HTMLParser):
@@ -37,13 +38,16 @@ class _Page(HTMLParser):
         self.data = []
 
     def read(self, body):
-        try:
-            self.feed(body)
-            self.close()
-        except AssertionError:  # markup the parser rejects: keep what was read before it
-            pass
+        self.feed(body)
+        self.close()
         self._end_text()
 
+    def parse_html_declaration(self, i):
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:  # a declaration the parser does not know is a comment up to its ">", and the page goes on
+            return self.parse_bogus_comment(i)
+
     def _end_text(self):
         if self.data:
             text = "".join(self.data).strip()

@@ -11,10 +11,6 @@ from siteatlas.spec import SiteSpec
 
 DETAIL_FIELDS = ("site_number", "phone", "zip", "lat", "lng")
 
-# Up to this size the list of wanted urls is sent to the page scan.
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 _FOUND_MARKER = f"""struct(
   {json.parsed('_found.marker', 'title mlat mlng content')} AS m,
   try_parse_json(_found.marker) AS typed)"""
@@ -96,25 +92,29 @@ def facility_addresses(pages: DataFrame, *keep: str) -> DataFrame:
     return found.selectExpr(*keep, f"coalesce(_found.text, {_JSON_LD_STREET}) AS address")
 
 
-def _lookup_key(wanted: Column, own_id: str) -> Column:
+_SALTS = 64
+
+
+def _lookup_key(wanted: Column, own_id: str, base_url: str | None = None) -> Column:
     """The url where a page is wanted, else a key that no url equals.
 
-    A null key would send all other rows to one task; the record's own id spreads them.
+    A null key would send all other rows to one task; the record's own id spreads them. Unfinished stores share the bare
+    ``base_url``, so they look it up under one of a few salted keys.
     """
-    return F.when(wanted & F.col("url").isNotNull(), F.col("url")).otherwise(F.concat(F.lit("\u0000"), own_id))
+    url = F.col("url")
+    if base_url is not None:
+        salted = F.concat(url, F.lit("\u0000"), F.pmod(F.xxhash64(own_id), F.lit(_SALTS)).cast("string"))
+        url = F.when(url == base_url, salted).otherwise(url)
+    return F.when(wanted & F.col("url").isNotNull(), url).otherwise(F.concat(F.lit("\u0000"), own_id))
 
 
-def only_wanted(pages: DataFrame, urls: DataFrame) -> DataFrame:
-    """Keep pages of the wanted urls where that is cheap: a filter in front of the HTML pass.
-
-    A short list, by measured size, goes to the scan. With a long one most pages are wanted anyway, so all are read in
-    place and the narrow result is joined later; shuffling bodies would cost more than reading them.
-    """
-    wanted = urls.select("url").filter("url IS NOT NULL").distinct()
-    size = wanted.agg(F.sum(F.octet_length("url") + 16).alias("bytes")).first()["bytes"] or 0
-    if size > MAX_BROADCAST_BYTES:
-        return pages
-    return pages.join(F.broadcast(wanted), "url", "left_semi")
+def _by_lookup_key(details: DataFrame, base_url: str | None) -> DataFrame:
+    """Rows by url as rows by ``_wanted``: the base url's row, if there is one, under each salted key."""
+    if base_url is None:
+        return details.withColumnRenamed("url", "_wanted")
+    salts = ", ".join(f"concat(url, '\\u0000', '{i}')" for i in range(_SALTS))
+    keys = F.when(F.col("url") == base_url, F.expr(f"array({salts})")).otherwise(F.array("url"))
+    return details.withColumn("_wanted", F.explode(keys)).drop("url")
 
 
 def latest_per_url(pages: DataFrame, *fields: str) -> DataFrame:
@@ -130,28 +130,48 @@ def needs_details(stores: DataFrame) -> DataFrame:
     return stores.filter(~text.truthy_text(F.col("site_number")))
 
 
-def details_by_url(captures: DataFrame, todo: DataFrame, spec: SiteSpec) -> DataFrame:
-    """(url, page_ok, details) for the facility pages of the stores to do."""
-    pages = only_wanted(of_kind(captures, "facility", strict=False), todo)
-    fields = ("url", "status", "capture_id", "fetched_at")
-    details = facility_details(pages, spec, *fields)
-    found = details.select(
+def page_details(pages: DataFrame, spec: SiteSpec) -> DataFrame:
+    """(url, capture_id, fetched_at, page_ok, details) of facility pages: narrow rows, read where the page was scanned."""
+    found = facility_details(pages, spec, "url", "capture_id", "fetched_at", "status")
+    return found.select(
         "url",
         "capture_id",
         "fetched_at",
-        (F.col("status") < 400).alias("page_ok"),
+        F.coalesce(F.col("status") < 400, F.lit(False)).alias("page_ok"),
         F.struct(*DETAIL_FIELDS).alias("details"),
     )
-    return latest_per_url(found, "page_ok", "details")
 
 
-def merge_details(stores: DataFrame, details: DataFrame) -> DataFrame:
+def details_by_url(captures: DataFrame, spec: SiteSpec) -> DataFrame:
+    """(url, page_ok, details) of the latest capture of every facility page.
+
+    All pages are read in place, whatever stores want them: the result does not depend on how long the list of wanted
+    pages is, the stores are planned once, and no page body is shuffled to save reading it.
+    """
+    return latest_per_url(page_details(of_kind(captures, "facility", strict=False), spec), "page_ok", "details")
+
+
+def details_until_done(found: DataFrame) -> DataFrame:
+    """(url, page_ok, details) after enriching with every capture in the order they were made.
+
+    Each readable page overwrites what the ones before it said, and the first that gives a site number is the last that is asked
+    for. So the outcome does not depend on how the captures were cut into batches.
+    """
+    at = F.struct("fetched_at", "capture_id")
+    done = F.col("page_ok") & text.truthy_text(F.col("details.site_number"))
+    first_done = F.min_by(F.when(done, F.col("details")), F.when(done, at))
+    last_read = F.max_by(F.when(F.col("page_ok"), F.col("details")), F.when(F.col("page_ok"), at))
+    merged = found.groupBy("url").agg(F.coalesce(first_done, last_read).alias("details"))
+    return merged.select("url", F.col("details").isNotNull().alias("page_ok"), "details")
+
+
+def merge_details(stores: DataFrame, details: DataFrame, base_url: str | None = None) -> DataFrame:
     """Stores already done are unchanged, readable pages overwrite (even with null), others keep."""
     missing = [name for name in DETAIL_FIELDS if name not in stores.columns]
     stores = stores.withColumns({name: F.lit(None).cast("string") for name in missing})
     todo = ~text.truthy_text(F.col("site_number"))
-    joined = stores.withColumn("_wanted", _lookup_key(todo, "store_id")).join(
-        details.withColumnRenamed("url", "_wanted"), "_wanted", "left"
+    joined = stores.withColumn("_wanted", _lookup_key(todo, "store_id", base_url)).join(
+        _by_lookup_key(details, base_url), "_wanted", "left"
     )
     overwrite = F.coalesce(F.col("page_ok"), F.lit(False))
     return joined.select(
@@ -164,15 +184,15 @@ def merge_details(stores: DataFrame, details: DataFrame) -> DataFrame:
 
 def enrich(stores: DataFrame, captures: DataFrame, spec: SiteSpec) -> DataFrame:
     """Fill the detail fields of stores without a site number from their facility pages."""
-    return merge_details(stores, details_by_url(captures, needs_details(stores), spec))
+    return merge_details(stores, details_by_url(captures, spec), spec.base_url)
 
 
 def fill_addresses(locations: DataFrame, captures: DataFrame) -> DataFrame:
-    """Look up the address of locations that have none; unreadable pages leave it empty."""
+    """Look up the address of locations that have none; a page whose latest capture is unreadable leaves it empty."""
     empty = F.col("address") == ""
-    pages = only_wanted(of_kind(captures, "facility"), locations.filter(empty))
-    found = latest_per_url(facility_addresses(pages, "url", "capture_id", "fetched_at"), "address")
-    wanted = found.select(F.col("url").alias("_wanted"), F.struct("address").alias("_found"))
+    pages = of_kind(captures, "facility", strict=False)
+    found = latest_per_url(facility_addresses(pages, "url", "capture_id", "fetched_at", "status"), "address", "status")
+    wanted = found.filter("status < 400").select(F.col("url").alias("_wanted"), F.struct("address").alias("_found"))
     joined = locations.withColumn("_wanted", _lookup_key(empty, "store_number")).join(wanted, "_wanted", "left")
     looked_up = F.when(F.col("_found").isNull(), F.lit("")).otherwise(F.col("_found.address"))
     return joined.withColumn("address", F.when(empty, looked_up).otherwise(F.col("address"))).select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siteatlas.functions import html, text
 from siteatlas.operators.ordering import dense_index
-from siteatlas.sources.captures import of_kind
+from siteatlas.sources.captures import latest_versions, of_kind
 from siteatlas.spec import SiteSpec
 
 
@@ -36,19 +36,38 @@ def distinct_absolute_links(links: DataFrame, base_url: str) -> DataFrame:
 
 
 def state_pages(captures: DataFrame, spec: SiteSpec) -> DataFrame:
-    """(url, page_rank, state_name) of the state pages the index links to, ranked by url from 1."""
-    links = page_links(of_kind(captures, "index"), "capture_id")
+    """(url, state_name) of the state pages the index links to. Their order is the order of their urls.
+
+    Without the index nothing can be found, so an index page whose latest capture failed is an error, raised when the plan runs.
+    """
+    index = of_kind(captures, "index", strict=False)
+    failed = F.raise_error(F.concat(F.lit("index page failed: "), "url")).cast("boolean")
+    read = latest_versions(index, "status").filter(F.when(F.col("status") < 400, F.lit(True)).otherwise(failed))
+    links = page_links(index, "capture_id").join(read.select("capture_id"), "capture_id", "left_semi")
     urls = distinct_absolute_links(links.filter(F.contains("href", F.lit(spec.state_page_token))), spec.base_url)
-    return dense_index(urls, ["url"], "_place").select(
-        "url",
-        (F.col("_place") + 1).alias("page_rank"),
-        text.state_name(F.col("url"), spec.state_page_token).alias("state_name"),
-    )
+    return urls.select("url", text.state_name(F.col("url"), spec.state_page_token).alias("state_name"))
+
+
+def with_page_rank(pages: DataFrame) -> DataFrame:
+    """State pages with their place in the order of urls, from 1. For output; it numbers globally, so it runs a job."""
+    ranked = dense_index(pages, ["url"], "_place")
+    return ranked.select(*pages.columns, (F.col("_place") + 1).alias("page_rank"))
 
 
-def on_pages(rows: DataFrame, pages: DataFrame) -> DataFrame:
-    """Rows found on the given pages only, with the page's rank. ``rows`` are already free of bodies."""
-    return rows.drop("page_rank").join(pages.select("url", "page_rank"), "url")
+def show_page_rank(rows: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Rows found on state pages or others: ``page_rank`` becomes the place of the state page where it is one."""
+    places = ranked.select(F.col("url").alias("page_url"), F.col("page_rank").alias("_place"))
+    return rows.join(places, "page_url", "left").withColumn("page_rank", F.coalesce("_place", "page_rank")).drop("_place")
+
+
+def on_pages(rows: DataFrame, pages: DataFrame, captures: DataFrame) -> DataFrame:
+    """Rows off the latest captures of the given pages, with ``page_rank`` (0 for pages that have none).
+
+    ``rows`` hold ``page_url`` and ``capture_id`` and are already free of bodies.
+    """
+    rank = F.col("page_rank") if "page_rank" in pages.columns else F.lit(0).cast("long").alias("page_rank")
+    wanted = pages.select("url", rank).join(latest_versions(captures), "url").withColumnRenamed("url", "page_url")
+    return rows.join(wanted, ["page_url", "capture_id"]).drop("capture_id")
 
 
 def parse_facility_url(href, spec: SiteSpec) -> dict:
@@ -61,15 +80,16 @@ def parse_facility_url(href, spec: SiteSpec) -> dict:
 
 
 def state_page_links(captures: DataFrame, pages: DataFrame) -> DataFrame:
-    """Links on the state pages: page_rank, pos, href, text. Failed pages contribute nothing."""
-    links = page_links(of_kind(captures, "sitemap"), "url")
-    return on_pages(links, pages).select("page_rank", "pos", "href", "text")
+    """Links on the state pages: page_rank, page_url, pos, href, text. Failed pages contribute nothing."""
+    links = page_links(of_kind(captures, "sitemap").withColumnRenamed("url", "page_url"), "page_url", "capture_id")
+    found = on_pages(links, pages, of_kind(captures, "sitemap", strict=False))
+    return found.select("page_rank", "page_url", "pos", "href", "text")
 
 
 def facility_links(links: DataFrame, spec: SiteSpec) -> DataFrame:
     """Facility links in the wide sense: the state part may have any length."""
     return links.filter(F.col("href").rlike("(?dU)" + spec.facility_link)).select(
-        "page_rank", "pos", text.absolute_url(F.col("href"), spec.base_url).alias("url"), F.col("text").alias("label")
+        "page_rank", "page_url", "pos", text.absolute_url(F.col("href"), spec.base_url).alias("url"), F.col("text").alias("label")
     )
 
 
@@ -77,8 +97,8 @@ def first_label_per_url(links: DataFrame) -> DataFrame:
     """Each url once with the label, page and place it was first seen at."""
     return (
         links.groupBy("url")
-        .agg(F.min(F.struct("page_rank", "pos", "label")).alias("_first"))
-        .select("url", "_first.label", "_first.page_rank", "_first.pos")
+        .agg(F.min(F.struct("page_rank", "page_url", "pos", "label")).alias("_first"))
+        .select("url", "_first.label", "_first.page_rank", "_first.page_url", "_first.pos")
     )
 
 
@@ -95,6 +115,7 @@ def locations_from_links(links: DataFrame, spec: SiteSpec) -> DataFrame:
             "state",
             "url",
             "page_rank",
+            "page_url",
             "pos",
         )
     )
@@ -113,6 +134,7 @@ def link_stores(links: DataFrame, spec: SiteSpec) -> DataFrame:
             text.absolute_url(F.col("href"), spec.base_url).alias("url"),
             F.lit(0).alias("source_rank"),
             "page_rank",
+            "page_url",
             "pos",
         )
     )

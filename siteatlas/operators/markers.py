@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteatlas.functions import html, json, text
-from siteatlas.sources.captures import of_kind
+from siteatlas.operators.links import on_pages
+from siteatlas.sources.captures import of_kind, only_latest
 from siteatlas.spec import SiteSpec
 
 # Each marker is parsed once: m is the marker, c its content; v holds values and keys what is there.
@@ -72,9 +73,9 @@ def page_markers(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
 
 
 def marker_rejects(pages: DataFrame, spec: SiteSpec) -> DataFrame:
-    """Markers that cannot become a store, and why: capture_id, pos, reason, raw."""
+    """Markers of the latest captures that cannot become a store, and why: capture_id, pos, reason, raw."""
     rejected = page_markers(pages, spec, "capture_id").filter("reason IS NOT NULL")
-    return rejected.select("capture_id", "pos", "reason", "raw")
+    return only_latest(rejected, pages).select("capture_id", "pos", "reason", "raw")
 
 
 def page_stores(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
@@ -96,12 +97,12 @@ def page_stores(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
 def stores_on_pages(
     captures: DataFrame, kind: str, pages: DataFrame, spec: SiteSpec, source_rank: int, strict: bool
 ) -> DataFrame:
-    """Stores on the captured pages of one kind that are listed in ``pages``, with discovery order.
+    """Stores on the latest captures of those pages of one kind that are listed in ``pages``, with discovery order.
 
     Markers are read and decoded where the page was scanned; only then does the narrow result meet
     the page list, so no page body crosses the network.
     """
     pages_read = of_kind(captures, kind, strict).withColumnRenamed("url", "page_url")
-    ranked = pages.select(F.col("url").alias("page_url"), "page_rank")
-    stores = page_stores(pages_read, spec, "page_url").join(ranked, "page_url").drop("page_url")
-    return stores.withColumn("source_rank", F.lit(source_rank))
+    stores = page_stores(pages_read, spec, "page_url", "capture_id")
+    found = on_pages(stores, pages, of_kind(captures, kind, strict=False))
+    return found.withColumn("source_rank", F.lit(source_rank))

@@ -32,15 +32,16 @@ def first_wins(stores: DataFrame) -> DataFrame:
 def first_page_wins(stores: DataFrame) -> DataFrame:
     """Each store from the first page that lists it; repeats on that page all stay.
 
-    The inner group is bounded by one page, the outer one keeps a single such group per store.
+    The inner group is bounded by one page, as only its latest capture counts; the outer one keeps a single such group per store.
     """
-    fields = [c for c in stores.columns if c not in ("store_id", "page_rank")]
+    page = ("page_rank", "page_url")
+    fields = [c for c in stores.columns if c not in ("store_id", *page)]
     return (
-        stores.groupBy("store_id", "page_rank")
+        stores.groupBy("store_id", *page)
         .agg(F.collect_list(F.struct(*fields)).alias("_rows"))
         .groupBy("store_id")
-        .agg(F.min_by(F.struct("page_rank", "_rows"), "page_rank").alias("_first"))
-        .select("store_id", "_first.page_rank", F.inline("_first._rows"))
+        .agg(F.min_by(F.struct(*page, "_rows"), F.struct(*page)).alias("_first"))
+        .select("store_id", "_first.page_rank", "_first.page_url", F.inline("_first._rows"))
     )
 
 
@@ -53,6 +54,15 @@ def not_known(stores: DataFrame, known: DataFrame) -> DataFrame:
     return stores.join(known.select("store_id").distinct(), "store_id", "left_anti")
 
 
+def not_known_few(stores: DataFrame, known: DataFrame) -> DataFrame:
+    """As ``not_known``, for few stores and a large catalog: the catalog is reduced to the candidates' ids first.
+
+    A short list of candidates is sent to the catalog's scan (by Spark's own size check) instead of shuffling the catalog.
+    """
+    hits = known.select("store_id").join(stores.select("store_id"), "store_id", "left_semi")
+    return not_known(stores, hits)
+
+
 def append_new(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Catalog plus new stores; the existing rows are kept as they are, repeats included."""
     names = [c for c in (*STORE_FIELDS, "units") if c in existing.columns or c in new.columns]

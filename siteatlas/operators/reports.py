@@ -9,7 +9,7 @@ from siteatlas.functions import text
 from siteatlas.operators.ordering import running_total
 from siteatlas.operators.prices import unit_summary
 from siteatlas.schema import ORDER_FIELDS
-from siteatlas.sources.captures import errors
+from siteatlas.sources.captures import errors, latest_versions
 
 
 def _field(df: DataFrame, name: str) -> Column:
@@ -128,9 +128,13 @@ def coverage(stores: DataFrame) -> DataFrame:
 
 
 def new_per_page(pages: DataFrame, winners: DataFrame) -> DataFrame:
-    """How many stores each page was the first to show, pages with none included."""
-    counts = winners.groupBy("page_rank").agg(F.count("*").alias("_n"))
-    return pages.join(counts, "page_rank", "left").withColumn("new_stores", F.coalesce("_n", F.lit(0))).drop("_n")
+    """How many stores each page (by ``url``) was the first to show, pages with none included."""
+    return _counted(pages, winners, "new_stores")
+
+
+def _counted(pages: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    counts = rows.groupBy(F.col("page_url").alias("url")).agg(F.count("*").alias("_n"))
+    return pages.join(counts, "url", "left").withColumn(name, F.coalesce("_n", F.lit(0))).drop("_n")
 
 
 def with_running_total(per_page: DataFrame) -> DataFrame:
@@ -139,16 +143,16 @@ def with_running_total(per_page: DataFrame) -> DataFrame:
 
 
 def facilities_per_page(pages: DataFrame, links: DataFrame) -> DataFrame:
-    """Facility links on each page before deduplication."""
-    counts = links.groupBy("page_rank").agg(F.count("*").alias("_n"))
-    return pages.join(counts, "page_rank", "left").withColumn("facilities", F.coalesce("_n", F.lit(0))).drop("_n")
+    """Facility links on each page (by ``url``) before deduplication."""
+    return _counted(pages, links, "facilities")
 
 
 def error_count(captures: DataFrame) -> DataFrame:
-    return captures.agg(F.count_if(F.col("status") >= 400).alias("errors"))
+    """Pages whose latest capture failed."""
+    return latest_versions(captures, "status").agg(F.count_if(F.col("status") >= 400).alias("errors"))
 
 
 def first_errors(captures: DataFrame, pages: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` failing pages along the page order."""
-    failed = errors(captures).select("url", "status")
+    """The first ``n`` pages along the page order whose latest capture failed."""
+    failed = errors(latest_versions(captures, "status")).select("url", "status")
     return failed.join(pages, "url").orderBy("page_rank").limit(n)

@@ -1,4 +1,4 @@
-"""Whole builds: each is one lazy plan from captures to a catalog or report."""
+"""Whole builds: each is one lazy plan from captures to a catalog or report; building it starts no job."""
 
 from __future__ import annotations
 
@@ -46,7 +46,7 @@ def found_new(captures: DataFrame, seeds: DataFrame, known: DataFrame, spec: Sit
 
 def gap_catalog(captures: DataFrame, seeds: DataFrame, known: DataFrame, spec: SiteSpec) -> DataFrame:
     """Known catalog plus the missing stores, priced. Nothing new gives the known catalog."""
-    priced = prices.attach_units(found_new(captures, seeds, known, spec), prices.price_units(captures))
+    priced = prices.attach_newest_units(found_new(captures, seeds, known, spec), prices.price_entries(captures))
     return reconcile.append_new(known, priced)
 
 

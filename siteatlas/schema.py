@@ -48,8 +48,9 @@ STORES = T.StructType(
     [T.StructField(name, T.StringType()) for name in STORE_FIELDS] + [T.StructField("units", UNITS)]
 )
 
-# The three columns that define discovery order: source, page inside the source, place on the page.
-ORDER_FIELDS = ("source_rank", "page_rank", "pos")
+# The columns that define discovery order: source, page inside the source, place on the page. Search pages go by the rank of
+# their seed; state pages share a rank and go by their url.
+ORDER_FIELDS = ("source_rank", "page_rank", "page_url", "pos")
 
 SEEDS = T.StructType(
     [T.StructField("seed_rank", T.LongType()), T.StructField("zip", T.StringType())]

@@ -1,8 +1,9 @@
 """The same builds over captures as they land: file streams with an idempotent batch sink.
 
 First-wins order inside a batch needs a ranking that a stream itself refuses, so every batch is
-processed as an ordinary table. Each batch writes its own ``batch_id=`` folder and reads only those
-of earlier batches; a batch that is run again after a failure replaces what it wrote before.
+processed as an ordinary table. Each batch writes its own ``batch_id=`` folder; a batch that is run again after a failure
+replaces what it wrote before. First-wins between batches is decided when the output is read, so the result is the same
+however the captures were cut into batches, also when a lost checkpoint makes all of them run again.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 
 from siteatlas.operators import details, reconcile
 from siteatlas.plans import catalogs
-from siteatlas.schema import CAPTURES, STORE_FIELDS
+from siteatlas.schema import CAPTURES, ORDER_FIELDS, STORE_FIELDS
+from siteatlas.session import persist_reliably
 from siteatlas.sources.captures import of_kind
 from siteatlas.spec import SiteSpec
 
@@ -24,6 +26,7 @@ _FOUND = T.StructType(
     + [
         T.StructField("source_rank", T.IntegerType()),
         T.StructField("page_rank", T.LongType()),
+        T.StructField("page_url", T.StringType()),
         T.StructField("pos", T.IntegerType()),
         T.StructField("batch_id", T.LongType()),
     ]
@@ -85,52 +88,44 @@ def find_new_stores(
     _prepare(captures.sparkSession, output, _FOUND)
 
     def on_batch(landed: DataFrame, batch_id: int) -> None:
-        spark = landed.sparkSession
-        earlier = _batches(spark, output, _FOUND).filter(F.col("batch_id") < batch_id)
-        seen = known.select("store_id").unionByName(earlier.select("store_id"))
-        new = reconcile.not_known(reconcile.first_wins(catalogs.sweep(landed, seeds, spec)), seen)
-        _write_batch(new, output, batch_id)
+        # The candidates are used twice, so the batch's pages are read once and the narrow result is kept.
+        found = persist_reliably(reconcile.first_wins(catalogs.sweep(landed, seeds, spec)))
+        new = reconcile.not_known_few(found, known)
+        earlier = _batches(landed.sparkSession, output, _FOUND).filter(F.col("batch_id") < batch_id)
+        earlier = earlier.join(found.select("store_id"), "store_id", "left_semi")
+        order = F.struct(*ORDER_FIELDS)
+        earlier = earlier.groupBy("store_id").agg(F.min(order).alias("_before"))
+        better = new.join(earlier, "store_id", "left").filter(F.col("_before").isNull() | (order < F.col("_before")))
+        _write_batch(better.select(*[f.name for f in _FOUND if f.name != "batch_id"]), output, batch_id)
 
     _run(captures, checkpoint, on_batch)
 
 
 def read_new_stores(spark: SparkSession, output: str) -> DataFrame:
-    return _batches(spark, output, _FOUND).drop("batch_id")
+    """Every store found so far once, as first in discovery order."""
+    return reconcile.first_wins(_batches(spark, output, _FOUND).drop("batch_id"))
 
 
 def collect_details(
     captures: DataFrame, stores: DataFrame, spec: SiteSpec, output: str, checkpoint: str
 ) -> None:
-    """Read the facility pages landed since the last run, skipping stores already done.
+    """Read the facility pages landed since the last run; what is written are narrow rows of stores the catalog has open.
 
-    Progress is saved per batch, so an interrupted run resumes after the last finished batch.
+    Progress is saved per batch, so an interrupted run resumes after the last finished batch. Pages that land after a store
+    was done are told apart when the output is read.
     """
 
     _prepare(captures.sparkSession, output, _DETAILS)
+    todo = details.needs_details(stores).select("url").filter("url IS NOT NULL").distinct()
 
     def on_batch(landed: DataFrame, batch_id: int) -> None:
-        spark = landed.sparkSession
-        earlier = _batches(spark, output, _DETAILS).filter(F.col("batch_id") < batch_id)
-        now_done = details.latest_per_url(earlier, "page_ok", "details")
-        todo = details.needs_details(details.merge_details(stores, now_done))
-        pages = details.only_wanted(of_kind(landed, "facility", strict=False), todo)
-        found = details.facility_details(pages, spec, "url", "capture_id", "fetched_at", "status")
-        _write_batch(
-            found.select(
-                "url",
-                "capture_id",
-                "fetched_at",
-                (F.col("status") < 400).alias("page_ok"),
-                F.struct(*details.DETAIL_FIELDS).alias("details"),
-            ),
-            output,
-            batch_id,
-        )
+        found = details.page_details(of_kind(landed, "facility", strict=False), spec)
+        _write_batch(found.join(todo, "url", "left_semi"), output, batch_id)
 
     _run(captures, checkpoint, on_batch)
 
 
-def read_enriched(spark: SparkSession, stores: DataFrame, output: str) -> DataFrame:
-    """The catalog with all details collected so far."""
-    collected = _batches(spark, output, _DETAILS)
-    return details.merge_details(stores, details.latest_per_url(collected, "page_ok", "details"))
+def read_enriched(spark: SparkSession, stores: DataFrame, output: str, base_url: str | None = None) -> DataFrame:
+    """The catalog with all details collected so far: a store is done with the first page that gave its site number."""
+    collected = _batches(spark, output, _DETAILS).drop("batch_id").distinct()
+    return details.merge_details(stores, details.details_until_done(collected), base_url)

@@ -81,12 +81,7 @@ def test_address_cascade(make_captures):
     assert {r.url: r.address for r in rows} == {f"u{i}": a for i, (_, a) in enumerate(ADDRESS_CASES)}
 
 
-@pytest.fixture(params=[details.MAX_BROADCAST_BYTES, 0], ids=["short list", "long list"])
-def list_limit(request, monkeypatch):
-    monkeypatch.setattr(details, "MAX_BROADCAST_BYTES", request.param)
-
-
-def test_merge(make_captures, spark, spec, list_limit):
+def test_merge(make_captures, spark, spec):
     captures = make_captures(
         ("facility", "ok", marker(MARKER)),
         ("facility", "empty", "<p>"),
@@ -113,9 +108,35 @@ def test_latest_capture_of_a_page_counts(make_captures, spark, spec):
     assert got == {"1": "777", "2": None}
 
 
-def test_fill_addresses(make_captures, spark, list_limit):
+def test_fill_addresses(make_captures, spark):
     captures = make_captures(("facility", "u", "<p class=address>new</p>"), ("facility", "v", "<p class=address>x</p>", 500))
     rows = [("1", "", "u"), ("2", "own", "u"), ("3", "", "v"), ("4", "", "w")]
     locations = spark.createDataFrame(rows, "store_number string, address string, url string")
     got = {r.store_number: r.address for r in details.fill_addresses(locations, captures).collect()}
     assert got == {"1": "new", "2": "own", "3": "", "4": ""}
+
+
+def test_a_page_that_fails_now_leaves_the_address_empty(make_captures, spark):
+    captures = make_captures(("facility", "u", "<p class=address>old</p>"), ("facility", "u", "", 500))
+    locations = spark.createDataFrame([("1", "", "u")], "store_number string, address string, url string")
+    assert details.fill_addresses(locations, captures).first().address == ""
+
+
+def test_stores_at_the_base_url_are_spread_and_still_find_its_page(make_captures, spark, spec):
+    captures = make_captures(("facility", spec.base_url, marker(MARKER)))
+    rows = [(str(i), None, spec.base_url) for i in range(300)]
+    stores = spark.createDataFrame(rows, "store_id string, site_number string, url string")
+    merged = details.enrich(stores, captures, spec)
+    assert {(r.site_number, r.phone) for r in merged.collect()} == {FOUND[:2]} and merged.count() == 300
+    without = details.enrich(stores, make_captures(("facility", "other", marker(MARKER))), spec)
+    assert without.filter("site_number IS NULL").count() == 300
+
+
+def test_details_until_done(make_captures, spec):
+    """The outcome of enriching day by day, whatever the batches were."""
+    pages = make_captures(
+        ("facility", "found", SITE), ("facility", "found", "<p>"), ("facility", "later", "<a href='tel:1'>"), ("facility", "later", "<a href='tel:2'>"),
+        ("facility", "later", "", 500), ("facility", "never", SITE, 404),
+    )
+    got = {r.url: (r.page_ok, r.details) for r in details.details_until_done(details.page_details(pages, spec)).collect()}
+    assert got["found"][1].site_number == "777" and got["later"][1].phone == "2" and got["never"] == (False, None)

@@ -120,3 +120,11 @@ def test_address_scripts(spark):
     body = "<script type='application/ld+json'>{\"a\":\"<b>\"}</script><script>no</script><script type='application/ld+json'></script>"
     (found,) = read(spark, html.address, body)
     assert found.json_ld == ['{"a":"<b>"}', ""]
+
+
+def test_a_page_with_an_unknown_declaration_is_read_to_its_end(spark):
+    from siteatlas.operators import links
+
+    pages = spark.createDataFrame([(1, "<a href=1>x</a><![foo x]><a href=2>y</a>"), (2, "<![if IE]><a href=3>z</a><![endif]><![CDATA[q]]><a href=4>")], "id int, body string")
+    found = links.page_links(pages, "id").orderBy("id", "pos").collect()
+    assert [(r.id, r.href) for r in found] == [(1, "1"), (1, "2"), (2, "3"), (2, "4")]

@@ -106,3 +106,32 @@ def test_status_and_page_list(make_captures, spec, spark):
 
     assert found(strict=True) == [("7", 1, 3, 0)]
     assert found(strict=False) == [("7", 1, 3, 0), ("8", 1, 4, 0)]
+
+
+def test_only_the_latest_capture_of_a_page_shows_stores(make_captures, spark, spec):
+    from siteatlas.operators import links, reconcile
+
+    def page(store):
+        return f"""<input class=siteMarker value='{{"storeID":"{store}","title":"t","content":{{"storeAddress":"{store}","plpLink":"/x"}}}}'>"""
+
+    captures = make_captures(("search", "a", page("old")), ("search", "a", page("new")), ("search", "b", page("was")), ("search", "b", "", 500))
+    pages = spark.createDataFrame([("a", 3), ("b", 4)], "url string, page_rank long")
+    for table in (captures, captures.repartition(5)):
+        rows = markers.stores_on_pages(table, "search", pages, spec, 1, strict=True).collect()
+        assert [(r.store_id, r.page_rank) for r in rows] == [("new", 3)]
+
+    link = "<a href='/self-storage-tx-{}/12345.html'>Self Storage near {} in X</a>"
+    captures = make_captures(
+        ("index", "i", "<a href='/site-map-states-tx'>"), ("sitemap", spec.base_url + "/site-map-states-tx", link.format("old", 1)),
+        ("sitemap", spec.base_url + "/site-map-states-tx", link.format("new", 2)),
+    )
+    found = links.link_stores(links.state_page_links(captures, links.state_pages(captures, spec)), spec)
+    assert [(r.address, r.city) for r in reconcile.first_page_wins(found).collect()] == [("2", "New")]
+
+
+def test_a_failed_index_is_an_error(make_captures, spec):
+    from siteatlas.operators import links
+
+    captures = make_captures(("index", "i", "<a href='/site-map-states-tx'>"), ("index", "i", "", 503))
+    with pytest.raises(Exception, match="index page failed: i"):
+        links.state_pages(captures, spec).collect()

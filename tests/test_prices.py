@@ -41,6 +41,10 @@ UNIT_CASES = [
     ({"availability": ""}, unit()),
     ({"availability": []}, unit()),
     ({"availability": "yes"}, unit(available=True)),
+    ({"availability": "false"}, unit(available=True)),
+    ({"availability": "0"}, unit(available=True)),
+    ({"availability": "{}"}, unit(available=True)),
+    ({"availability": {}}, unit()),
 ]
 
 
@@ -157,3 +161,24 @@ def test_reports_from_units_and_from_summaries_agree(make_captures, spark):
     assert [tuple(u) for u in units] == [(None, "a", 45.0, "Yes", 2), (None, "b", 46.0, "Yes", 1)]
     counts = reports.coverage(with_units.withColumn("phone", F.lit(""))).first()
     assert counts.asDict() == {"total": 2, "with_pricing": 1, "with_site_number": 1, "with_phone": 0, "remaining": 1}
+
+
+@pytest.mark.parametrize("empty", [{}, "", []])
+def test_empty_info_is_no_unit_and_voids_nothing(make_captures, empty):
+    body = payload({"storeID": "1", "info": empty}, {"storeID": "2", "info": [{"name": "a"}]})
+    assert [(s, len(units)) for _, s, units in entries(make_captures, body)] == [("1", 0), ("2", 1)]
+
+
+@pytest.mark.parametrize("bad", [{"a": 1}, "x", "{}", 5, None])
+def test_other_info_voids_the_payload(make_captures, bad):
+    body = payload({"storeID": "1", "info": bad}, {"storeID": "2", "info": [{"name": "a"}]})
+    assert entries(make_captures, body) == []
+
+
+def test_newest_units_of_few_stores_equal_those_of_all(make_captures, spark):
+    captures = make_captures(*[("price", f"u{i}", payload({"storeID": i % 3, "info": [{"name": str(i)}]}), 200, 9 - i) for i in range(9)])
+    stores = spark.createDataFrame([("0", "a"), ("2", "b"), ("7", "c")], "store_id string, city string")
+    few = prices.attach_newest_units(stores, prices.price_entries(captures))
+    full = prices.attach_units(stores, prices.price_units(captures))
+    pick = lambda frame: sorted((r.store_id, r.city, [u["size"] for u in r.units]) for r in frame.collect())
+    assert pick(few) == pick(full) == [("0", "a", ["0"]), ("2", "b", ["2"]), ("7", "c", [])]
