@@ -9,7 +9,7 @@ How the matrix is built and searched at scale:
 * Texts with equal token sets are one *class*, found by an aggregate, so exact copies never meet each other.
 * All tokens have one global order, rare before frequent (by a fixed-size table of counts over all documents). Two
   sets over the threshold share ``l`` tokens among the first ``n - ceil(t n) + l`` of each, so only those *leading* tokens
-  become matrix cells (token, group), with ``l`` a twentieth of the set. A document with too few shared leading tokens has no
+  become matrix cells (token, group), with ``l`` a tenth of the set. A document with too few shared leading tokens has no
   partner, and a group with too few of a query's is not opened.
 * A document joins the group of its most shared leading token; a group that would exceed ``GROUP_SIZE`` is split by
   hash. Groups are opened on themselves, then split groups against the first part of their token, and what is connected by
@@ -35,8 +35,9 @@ from siteatlas.session import persist_reliably
 GROUP_SIZE = 48  # documents in a group, about
 GROUP_TOKENS = 20_000  # a larger set is a group of its own
 QUERY_BLOCK = 64
-LEAD = 20  # one in so many tokens must be shared among the leading ones
+LEAD = 10  # one in so many tokens must be shared among the leading ones
 COUNT_BITS = 20  # the table of token counts has 2^20 cells, whatever the data
+SHARED_BITS = 26  # of the bitmap of shared leading tokens
 PARTS = 16  # a set's tokens are also counted by the last bits of their hash
 _SLICES = 64
 _CLASS = 54  # a token: 4 bits of frequency class above 54 bits of hash
@@ -161,6 +162,17 @@ def _lookup(bits):
     return over, "id long, n long, token long"
 
 
+def _packed(names: list[str], to: str) -> list:
+    """Sixteen small numbers as two longs, a byte each; what is larger counts as 255, which only loosens a bound."""
+    byte = lambda name, at: f"shiftleft(CAST(least({name}, 255) AS BIGINT), {8 * (at % 8)})"
+    half = lambda low: " | ".join(byte(name, at) for at, name in enumerate(names) if low <= at < low + 8)
+    return [F.expr(half(0)).alias(f"{to}0"), F.expr(half(8)).alias(f"{to}1")]
+
+
+def _unpacked(name: str, at: int) -> str:
+    return f"(shiftright({name}{at // 8}, {8 * (at % 8)}) & 255)"
+
+
 def _full(k: int, classes, wanted):
     """All tokens of the texts whose id may be wanted."""
 
@@ -275,19 +287,20 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         leading.select("id", F.explode("lead").alias("token")).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     )
     # _lookup tests mixed tokens: tokens in order are not spread evenly
-    bits = spark.sparkContext.broadcast(bitmap.build(shared, _mixed("token")))
+    bits = spark.sparkContext.broadcast(bitmap.build(shared, _mixed("token"), SHARED_BITS))
     least = F.expr(f"({percent} * n + 99) div 100 div {LEAD} + 1")  # a partner has at least the needed size
-    cells = leading.mapInArrow(*_lookup(bits)).join(shared.select("token"), "token")
+    cells = persist_reliably(leading.mapInArrow(*_lookup(bits)).join(shared.select("token"), "token"))
     able = cells.groupBy("id", "n").agg(F.count("*").alias("have")).filter(F.col("have") >= F.least(least, "n")).select("id")
-    cells = persist_reliably(cells).join(able, "id", "left_semi")
+    cells = cells.join(able, "id", "left_semi")
     again = cells.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     cells = persist_reliably(cells.join(again, "token").select("token", "id", "n", "df"))
 
-    best = cells.groupBy("id", "n").agg(F.max(F.struct("df", "token")).alias("best"))
-    part = F.when(F.col("n") > GROUP_TOKENS, F.col("id")).otherwise(
-        F.pmod(F.xxhash64("id"), F.ceil(F.col("best.df") / GROUP_SIZE))
-    )
-    placed = best.select("id", "n", F.col("best.token").alias("own_token"), part.alias("part"), (F.col("n") <= GROUP_TOKENS).alias("small"))
+    best = cells.groupBy("id", "n").agg(F.max(F.struct("df", "token")).alias("best"), F.count("*").alias("have"))
+    best = best.filter(F.col("have") >= F.least(least, "n"))
+    parts = F.ceil(F.col("best.df") / GROUP_SIZE)
+    part = F.when(F.col("n") > GROUP_TOKENS, F.col("id")).otherwise(F.pmod(F.xxhash64("id"), parts))
+    small = F.col("n") <= GROUP_TOKENS
+    placed = best.select("id", "n", F.col("best.token").alias("own_token"), part.alias("part"), small.alias("small"), (small & (parts > 1)).alias("split"))
     placed = placed.withColumn("grp", F.xxhash64("own_token", "part", "small"))
     mates = placed.groupBy("grp").agg((F.count("*") > 1).alias("mates"))
     placed = persist_reliably(placed.join(mates, "grp"))
@@ -297,11 +310,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # groups on themselves, and the parts of a split group against its first part
     own = tokens.filter("mates").select("grp", F.lit(0).cast("long").alias("block"), F.lit(False).alias("query"), "id", "tokens")
-    hubs = tokens.filter("small and part = 0").select("own_token", "grp", "id", "tokens")
-    parts = tokens.filter("small and part > 0").select("own_token", F.col("part").alias("block")).distinct()
+    hubs = tokens.filter("split and part = 0").select("own_token", "grp", "id", "tokens")
+    parts = tokens.filter("split and part > 0").select("own_token", F.col("part").alias("block")).distinct()
     hub_members = hubs.join(parts, "own_token").select("grp", "block", F.lit(False).alias("query"), "id", "tokens")
     hub_groups = hubs.select("own_token", "grp").distinct()
-    hub_queries = tokens.filter("small and part > 0").drop("grp").join(hub_groups, "own_token")
+    hub_queries = tokens.filter("split and part > 0").drop("grp").join(hub_groups, "own_token")
     hub_queries = hub_queries.select("grp", F.col("part").alias("block"), F.lit(True).alias("query"), "id", "tokens")
     first = own.unionAll(hub_members).unionAll(hub_queries)
     first = persist_reliably(first.groupBy("grp", "block").applyInArrow(*_open(percent)))
@@ -310,23 +323,35 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # what is not connected yet, from the smaller component to the larger
     sizes = settled.groupBy("component").agg(F.count("*").alias("size"))
     of = settled.join(sizes, "component").select("id", F.struct((-F.col("size")).alias("less"), "component").alias("comp"))
-    known = cells.join(of, "id", "left").withColumn(
-        "comp", F.coalesce("comp", F.struct(F.lit(-1).cast("long").alias("less"), F.col("id").alias("component")))
-    )
+    alone = F.struct(F.lit(-1).cast("long").alias("less"), F.col("id").alias("component"))
+    known = cells.drop("df").join(of, "id", "left").withColumn("comp", F.coalesce("comp", alone))
     open_tokens = known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("token")
-    unsettled = known.join(open_tokens, "token").join(tokens.select("id", "grp", *_PART_NAMES), "id")
-    unsettled = persist_reliably(unsettled.select("token", "id", "n", "comp", "grp", *_PART_NAMES))
-    boxes = [f(p).alias(f"{f.__name__}_{p}") for p in _PART_NAMES for f in (F.min, F.max)]
-    matrix = unsettled.groupBy("token", "grp").agg(F.min("comp").alias("least"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), *boxes)
-    asks = unsettled.select("token", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("grp").alias("q_grp"), *_PART_NAMES)
-    fits = (F.col("n_max") * 100 >= F.col("q_n") * percent) & (F.col("q_n") * 100 >= F.col("n_min") * percent)
+    profiles = tokens.select("id", "grp", "own_token", *_packed(_PART_NAMES, "q"))
+    boxes = tokens.groupBy("grp").agg(*[f(p).alias(f"{f.__name__}_{p}") for p in _PART_NAMES for f in (F.min, F.max)])
+    boxes = boxes.select("grp", *_packed([f"min_{p}" for p in _PART_NAMES], "low"), *_packed([f"max_{p}" for p in _PART_NAMES], "high"))
+    unsettled = persist_reliably(known.join(open_tokens, "token").join(profiles, "id"))
+    asks = unsettled.select(
+        "token", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("own_token").alias("q_own"), F.col("grp").alias("q_grp"), "q0", "q1"
+    )
+    extent = [F.min("comp").alias("least"), F.min("n").alias("n_min"), F.max("n").alias("n_max")]
+    fits = (F.col("q_comp") > F.col("least")) & (F.col("q_grp") != F.col("grp"))
+    fits &= (F.col("n_max") * 100 >= F.col("q_n") * percent) & (F.col("q_n") * 100 >= F.col("n_min") * percent)
     # sets over the threshold differ in few tokens, so in every part by few
-    differ = " + ".join(f"greatest(0, min_{p} - {p}, {p} - max_{p})" for p in _PART_NAMES)
+    differ = " + ".join(f"greatest(0, {_unpacked('low', k)} - {_unpacked('q', k)}, {_unpacked('q', k)} - {_unpacked('high', k)})" for k in range(PARTS))
     fits &= F.expr(f"({differ}) * {100 + percent} <= (q_n + n_max) * {100 - percent}")
-    pairs = asks.join(matrix, "token").filter((F.col("q_comp") > F.col("least")) & (F.col("q_grp") != F.col("grp")) & fits)
+    matrix = unsettled.groupBy("token", "grp", "own_token").agg(*extent).join(boxes, "grp")
+    pairs = asks.join(matrix, "token").filter(fits & (F.col("q_own") != F.col("own_token")))
     q_least = F.expr(f"least(({percent} * q_n + 99) div 100 div {LEAD} + 1, q_n)")
-    pairs = pairs.groupBy("grp", "q", "q_n").agg(F.count("*").alias("have")).filter(F.col("have") >= q_least)
-    pairs = persist_reliably(pairs.select("grp", "q"))
+    asked = ["grp", "q", "q_n", "q0", "q1"]
+    pairs = pairs.groupBy(*asked).agg(F.count("*").alias("have")).filter(F.col("have") >= q_least).select(*asked)
+    # the groups of one token meet through that token alone, not through all that they share
+    groups = unsettled.filter("token = own_token").groupBy("own_token", "grp").agg(*extent).join(boxes, "grp")
+    kin = asks.filter("token = q_own").join(groups, F.col("q_own") == F.col("own_token")).filter(fits).select(*asked)
+    # the same bound with each member, before any set is sent
+    members = tokens.select(F.col("grp").alias("m_grp"), F.col("n").alias("m_n"), *_packed(_PART_NAMES, "m"))
+    apart = " + ".join(f"abs({_unpacked('m', k)} - {_unpacked('q', k)})" for k in range(PARTS))
+    near = F.expr(f"grp = m_grp AND ({apart}) * {100 + percent} <= (q_n + m_n) * {100 - percent}")
+    pairs = persist_reliably(pairs.unionAll(kin).join(members, near, "left_semi").select("grp", "q"))
     blocks = persist_reliably(pairs.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")))
     # bitmaps keep sets that are not asked for out of the joins
     members = tokens.filter(bitmap.test(spark, bitmap.build(blocks, F.col("grp")), F.col("grp"))).select("grp", "id", "tokens").join(blocks, "grp")
