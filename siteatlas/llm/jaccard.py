@@ -36,6 +36,7 @@ GROUP_SIZE = 48  # documents in a group, about
 GROUP_TOKENS = 20_000  # a larger set is a group of its own
 QUERY_BLOCK = 64
 LEAD = 10  # one in so many tokens must be shared among the leading ones
+PAIR_LEAD = 40  # the same where documents meet groups, by fewer leading tokens
 COUNT_BITS = 20  # the table of token counts has 2^20 cells, whatever the data
 SHARED_BITS = 26  # of the bitmap of shared leading tokens
 PARTS = 16  # a set's tokens are also counted by the last bits of their hash
@@ -155,11 +156,13 @@ def _lookup(bits):
             lead = batch.column(2)
             tokens = lead.flatten().to_numpy(zero_copy_only=False)
             row = lead.value_parent_indices().to_numpy(zero_copy_only=False)
+            at = np.arange(len(row)) - np.searchsorted(row, row)
             keep = bitmap.contains(bits.value, words.mix(tokens.view(np.uint64)))
             row = pa.array(row[keep])
-            yield pa.record_batch([batch.column(0).take(row), batch.column(1).take(row), tokens[keep]], names=["id", "n", "token"])
+            columns = [batch.column(0).take(row), batch.column(1).take(row), tokens[keep], at[keep].astype(np.int32)]
+            yield pa.record_batch(columns, names=["id", "n", "token", "at"])
 
-    return over, "id long, n long, token long"
+    return over, "id long, n long, token long, at int"
 
 
 def _packed(names: list[str], to: str) -> list:
@@ -293,7 +296,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     able = cells.groupBy("id", "n").agg(F.count("*").alias("have")).filter(F.col("have") >= F.least(least, "n")).select("id")
     cells = cells.join(able, "id", "left_semi")
     again = cells.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    cells = persist_reliably(cells.join(again, "token").select("token", "id", "n", "df"))
+    cells = persist_reliably(cells.join(again, "token").select("token", "id", "n", "at", "df"))
 
     best = cells.groupBy("id", "n").agg(F.max(F.struct("df", "token")).alias("best"), F.count("*").alias("have"))
     best = best.filter(F.col("have") >= F.least(least, "n"))
@@ -330,8 +333,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     boxes = tokens.groupBy("grp").agg(*[f(p).alias(f"{f.__name__}_{p}") for p in _PART_NAMES for f in (F.min, F.max)])
     boxes = boxes.select("grp", *_packed([f"min_{p}" for p in _PART_NAMES], "low"), *_packed([f"max_{p}" for p in _PART_NAMES], "high"))
     unsettled = persist_reliably(known.join(open_tokens, "token").join(profiles, "id"))
-    asks = unsettled.select(
-        "token", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("own_token").alias("q_own"), F.col("grp").alias("q_grp"), "q0", "q1"
+    unsettled_asks = unsettled.select(
+        "token", "at", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("own_token").alias("q_own"), F.col("grp").alias("q_grp"), "q0", "q1"
     )
     extent = [F.min("comp").alias("least"), F.min("n").alias("n_min"), F.max("n").alias("n_max")]
     fits = (F.col("q_comp") > F.col("least")) & (F.col("q_grp") != F.col("grp"))
@@ -339,14 +342,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # sets over the threshold differ in few tokens, so in every part by few
     differ = " + ".join(f"greatest(0, {_unpacked('low', k)} - {_unpacked('q', k)}, {_unpacked('q', k)} - {_unpacked('high', k)})" for k in range(PARTS))
     fits &= F.expr(f"({differ}) * {100 + percent} <= (q_n + n_max) * {100 - percent}")
-    matrix = unsettled.groupBy("token", "grp", "own_token").agg(*extent).join(boxes, "grp")
+    # two sets over the threshold also share a few of still fewer leading tokens
+    leads = f"at < {{n}} - ({percent} * {{n}} + 99) div 100 + {{n}} div {PAIR_LEAD} + 1"
+    asks = unsettled_asks.filter(leads.format(n="q_n"))
+    matrix = unsettled.filter(leads.format(n="n")).groupBy("token", "grp", "own_token").agg(*extent).join(boxes, "grp")
     pairs = asks.join(matrix, "token").filter(fits & (F.col("q_own") != F.col("own_token")))
-    q_least = F.expr(f"least(({percent} * q_n + 99) div 100 div {LEAD} + 1, q_n)")
+    q_least = F.expr(f"least(({percent} * q_n + 99) div 100 div {PAIR_LEAD} + 1, q_n)")
     asked = ["grp", "q", "q_n", "q0", "q1"]
     pairs = pairs.groupBy(*asked).agg(F.count("*").alias("have")).filter(F.col("have") >= q_least).select(*asked)
     # the groups of one token meet through that token alone, not through all that they share
     groups = unsettled.filter("token = own_token").groupBy("own_token", "grp").agg(*extent).join(boxes, "grp")
-    kin = asks.filter("token = q_own").join(groups, F.col("q_own") == F.col("own_token")).filter(fits).select(*asked)
+    kin = unsettled_asks.filter("token = q_own").join(groups, F.col("q_own") == F.col("own_token")).filter(fits).select(*asked)
     # the same bound with each member, before any set is sent
     members = tokens.select(F.col("grp").alias("m_grp"), F.col("n").alias("m_n"), *_packed(_PART_NAMES, "m"))
     apart = " + ".join(f"abs({_unpacked('m', k)} - {_unpacked('q', k)})" for k in range(PARTS))
