@@ -274,6 +274,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     space; a text of fewer words is one shingle. Tokens are compared by 54-bit hashes.
     """
     spark = docs.sparkSession
+    words.bound_arrow_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = persist_reliably(texts.mapInArrow(*_signatures(k)))
     classes = spark.sparkContext.broadcast(_classes(rows))

@@ -105,6 +105,7 @@ def _kind(n: int):
 
 def train(texts: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """The filter of all rows with a text and a language. The number of languages is taken to be small."""
+    words.bound_arrow_batches(texts.sparkSession)
     rows = texts.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("text is not null and lang is not null")
     languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())

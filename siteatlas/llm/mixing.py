@@ -120,6 +120,7 @@ def mix(
     have one hash and are taken together. The result depends on ids, sizes and the seed only. Extra columns are not read.
     With a ``prefix`` the result is all of ``docs`` with columns of these names behind the prefix.
     """
+    words.bound_arrow_batches(docs.sparkSession)
     rows = persist_reliably(_sized(docs, id_col, text_col, source_col, seed))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     limits = _thresholds(rows, persist_reliably(source_targets(sizes, share, weights, max_epochs)))

@@ -145,6 +145,7 @@ def count_tokens(docs: DataFrame, vocabulary: Iterable[bytes], columns=("doc_id"
     Words are runs of anything but ASCII white space, case matters. A word in which some byte starts no token is one unknown token.
     Null and empty texts have none. Words are told apart by 64-bit hashes.
     """
+    words.bound_arrow_batches(docs.sparkSession)
     machine = docs.sparkSession.sparkContext.broadcast(automaton(vocabulary))
     texts = docs.select(F.col(text_col).cast("string").alias("__text"), *columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields[1:])

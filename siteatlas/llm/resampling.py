@@ -130,6 +130,7 @@ def resample(
     ratio of 1). Null ids share one random draw and are never targets. Without targets the target model is even.
     """
     spark = docs.sparkSession
+    words.bound_arrow_batches(spark)
     ids = target_ids.toDF("id").select(F.col("id").cast("long").alias("id")).filter("id is not null").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     raw = bucket_counts(texts.select("text"))

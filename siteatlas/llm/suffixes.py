@@ -447,6 +447,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     different texts follow each other by a hash of the text. Only the id and text columns are read.
     """
     spark = docs.sparkSession
+    words.bound_arrow_batches(spark)
     narrow = _narrow(docs, id_col, text_col, length)
     classes = spark.sparkContext.broadcast(_classes(narrow))
     narrow = narrow.filter("slice is null").drop("slice", "counts")

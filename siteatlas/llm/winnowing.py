@@ -171,6 +171,7 @@ def find(
     words occur nowhere; rows with null or repeated ids are judged each by its own text.
     """
     spark = docs.sparkSession
+    words.bound_arrow_batches(spark)
     prints = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"))
     prints = prints.filter("item is not null").mapInArrow(*_item_prints(k, window))
     prints = persist_reliably(prints.groupBy("fp", "m", "around").agg(F.collect_set("item").alias("items")))

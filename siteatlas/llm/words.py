@@ -8,11 +8,13 @@ memory is bounded by the longest text and not by the number of rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 BATCH_BYTES = 1 << 20
 
@@ -21,6 +23,20 @@ _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _LOW = 1 << 16
 
 
+ARROW_BYTES = 8 << 20
+
+
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """Let the session send at most ``ARROW_BYTES`` of texts to Python at a time, unless it is set to less already.
+
+    Both sides hold a batch more than once, and executors keep several Python workers.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(name))
+    if not now or not 0 < int(now[1]) <= ARROW_BYTES:
+        spark.conf.set(name, f"{ARROW_BYTES}b")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = x.astype(np.uint64, copy=True)
