@@ -45,7 +45,23 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/siteatlas/{name}-{uuid.uuid4().hex}"
 
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def persist_reliably(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and cut its lineage; survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and cut its lineage; survives the loss of executors.
+
+    What the plan shuffled is not read again after that, so its files go at once instead of with the driver's next
+    garbage collection. Spark reads this setting when a DataFrame is built, hence the ``select``; the session gets its own value back.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(_SHUFFLE_CLEANUP, before)
