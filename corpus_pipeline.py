@@ -9,14 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteatlas.llm import jaccard, language, mixing, suffixes, winnowing
-from siteatlas.session import new_work_dir
+from siteatlas.llm import bitmap, jaccard, language, mixing, suffixes, winnowing
+from siteatlas.session import new_work_dir, persist_reliably
 
 #: A text of this many characters must reach this share of known n-grams; shorter ones only need a letter.
 JUDGED_CHARS = 200
 LEAST_SCORE = 0.2
 
 
+def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows whose key is in ``gone``. Only rows that a bitmap of fixed size lets through are shuffled for the join."""
+    gone = persist_reliably(gone.select(key).distinct())
+    hashed = F.xxhash64(key)
+    maybe = bitmap.test(docs.sparkSession, bitmap.build(gone, hashed), hashed)
+    return docs.filter(~maybe).unionByName(docs.filter(maybe).join(gone, key, "left_anti").select(*docs.columns))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: without a letter, or long and of unknown n-grams, they go."""
     found = docs.withColumn("__found", language.column(spark, language.learn(docs), F.col("text")))
@@ -28,8 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of every group of linked documents."""
     found = jaccard.components(docs, k=5, percent=80)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return _without(docs, found.filter("doc_id <> component_id"), "doc_id")
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +49,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that share no ten consecutive words with a benchmark item."""
     keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = winnowing.find(keyed, items, id_col="__key").filter("size(spans) > 0").select("__key").distinct()
-    return keyed.join(hit, "__key", "left_anti").select(*docs.columns)
+    hit = winnowing.find(keyed, items, id_col="__key").filter("size(spans) > 0")
+    return _without(keyed, hit, "__key").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from siteatlas.session import persist_reliably
 
 BITS = 12  # of the hash, for each histogram
 LEVELS = 5
+BROADCAST_BYTES = 8 << 20  # a table of sources up to this size is sent to all tasks
 
 
 @F.arrow_udf(T.LongType())
@@ -56,6 +57,12 @@ def source_targets(sizes: DataFrame, share: float, weights: Sequence[int], max_e
     return s.select("source", "source_size", "target")
 
 
+def _sent(sources: DataFrame) -> DataFrame:
+    """A table with one row per source, to be broadcast if its size allows; beyond that Spark joins by a shuffle and splits hot sources."""
+    size = sources.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + 100)).first()[0] or 0
+    return F.broadcast(sources) if size <= BROADCAST_BYTES else sources
+
+
 def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source: ``passes`` over all of it, then documents with a hash below ``bound`` (or at it, if ``at_bound``)."""
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -66,7 +73,7 @@ def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     for level in range(1, LEVELS + 1):
         width -= BITS
         # only rows in the bucket where the budget ends go on
-        r, e = rows.alias("r"), edge.alias("e")
+        r, e = rows.alias("r"), _sent(edge).alias("e")
         inside = F.col("r.source").eqNullSafe(F.col("e.source")) & (F.shiftright("r.hash", width + BITS) == F.col("e.prefix"))
         sums = (
             r.join(e, inside)
@@ -95,7 +102,7 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: s
 
 
 def _copied(rows: DataFrame, limits: DataFrame) -> DataFrame:
-    limits = limits.withColumnRenamed("source", "of")
+    limits = _sent(limits).withColumnRenamed("source", "of")
     extra = (F.col("hash") < F.col("bound")) | ((F.col("hash") == F.col("bound")) & F.col("at_bound"))
     out = rows.join(limits, F.col("source").eqNullSafe(F.col("of")), "left")
     return out.withColumn("copies", F.col("passes") + F.when(extra, 1).otherwise(0)).withColumn("taken", F.col("copies") * F.col("size"))
