@@ -153,6 +153,14 @@ def test_mix(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mix_is_the_same_without_broadcast(spark, monkeypatch):
+    rows = [(i, "w " * (i % 7), ["a", "b", None][i % 3]) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sent = mixing.mix(docs).collect()
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", -1)
+    assert sorted(sent, key=lambda r: r.doc_id) == sorted(mixing.mix(docs).collect(), key=lambda r: r.doc_id)
+
+
 # ---- token counts --------------------------------------------------------------------------------------
 
 
