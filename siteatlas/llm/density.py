@@ -3,7 +3,8 @@
 For every element of the page's tree: characters per tag, scaled down by the share of its characters and tags that are links. An element's
 density sum adds the densities of its children and of its own text. The element with the largest sum holds the article; the
 least density on the way from it to the body is the threshold, and in every subtree that reaches it the element with the largest sum is
-content. Elements that are never article text (menus, forms, scripts, ...) leave the tree first.
+content. Elements that are never article text (menus, scripts, ...) leave the tree first. Forms, and elements with a class or id that names
+what is not the article, leave it unless they hold the article or most of the page's text (``_leave_out``).
 """
 
 from __future__ import annotations
@@ -38,10 +39,10 @@ ENDS = {
 ENDS_P = BLOCK - {"body", "html", "caption", "tbody", "thead", "tfoot", "tr", "td", "th", "option", "legend"}
 # Elements, roles and words of class or id that mark what is not the article.
 NOT_ARTICLE = frozenset(
-    {"aside", "button", "dialog", "footer", "form", "head", "header", "iframe", "input", "menu", "nav", "noembed", "noframes", "noscript", "script", "select"}
+    {"aside", "button", "dialog", "footer", "head", "header", "iframe", "input", "menu", "nav", "noembed", "noframes", "noscript", "script", "select"}
     | {"style", "svg", "template", "textarea", "title", "xmp"}
 )
-NOT_ARTICLE_ROLES = frozenset({"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search"})
+NOT_ARTICLE_ROLES = frozenset({"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "menu", "menubar", "navigation", "search"})
 NOT_ARTICLE_WORDS = frozenset(
     {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie"}
     | {"cookies", "disqus", "footer", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo"}
@@ -56,30 +57,32 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "skip", "chars", "tags", "link_chars", "links", "own", "density", "total", "content")
+    __slots__ = ("tag", "parent", "children", "skip", "names", "chars", "tags", "link_chars", "links", "own", "density", "total", "content")
 
-    def __init__(self, tag: str, parent, skip: bool):
-        self.tag, self.parent, self.skip = tag, parent, skip
+    def __init__(self, tag: str, parent, skip: bool, names: frozenset = frozenset()):
+        self.tag, self.parent, self.skip, self.names = tag, parent, skip, names
         self.children = []  # nodes and strings, in page order
         self.chars = self.tags = self.link_chars = self.links = self.own = 0
         self.density = self.total = 0.0
         self.content = False
 
 
-def _not_article(tag: str, attributes: str) -> bool:
+def _not_article(tag: str, attributes: str) -> tuple[bool, frozenset]:
+    """Whether the element is never article text; and what in its tag, role, class and id says that it may not be, plurals as singulars."""
     if tag in NOT_ARTICLE:
-        return True
-    if not attributes or tag in ("html", "body") or tag in ARTICLE:
-        return False
+        return True, frozenset()
+    found = {"form"} if tag == "form" else set()
+    if not attributes or tag in ("html", "body"):
+        return False, frozenset(found)
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "role" and value in NOT_ARTICLE_ROLES:
-            return True
-        if name in ("class", "id") and not NOT_ARTICLE_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+        if tag not in ARTICLE and (name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in NOT_ARTICLE_ROLES):
+            return True, frozenset()
+        if name == "role" and value == "form":
+            found.add("form")
+        if name in ("class", "id"):
+            found.update(word.removesuffix("s") for word in NOT_ARTICLE_WORDS.intersection(_WORD.findall(value)))
+    return False, frozenset(found)
 
 
 def parse(html: str) -> _Node:
@@ -133,7 +136,8 @@ def parse(html: str) -> _Node:
         if tag in ENDS:
             close(*ENDS[tag])
         parent = open_[-1]
-        node = _Node(tag, parent, parent.skip or _not_article(tag, attributes))
+        never, names = _not_article(tag, attributes)
+        node = _Node(tag, parent, parent.skip or never, names)
         parent.children.append(node)
         if tag in VOID:
             continue
@@ -144,18 +148,66 @@ def parse(html: str) -> _Node:
     return root
 
 
-def _measure(root: _Node) -> list[_Node]:
-    """Sums over subtrees, children first; returns the elements in page order."""
+def _in_order(root: _Node) -> list[_Node]:
+    """The elements that are not left out, in page order."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
-        if node.skip:
-            continue
-        order.append(node)
-        stack.extend(c for c in reversed(node.children) if not isinstance(c, str))
+        if not node.skip:
+            order.append(node)
+            stack.extend(c for c in reversed(node.children) if isinstance(c, _Node))
+    return order
+
+
+def _leave_out(root: _Node) -> None:
+    """Decode and count the text, and leave out the elements whose names say that they are not the article.
+
+    One that encloses an article or main element with text stays: it is a wrapper, whatever its name says. An article that bears the same
+    name, a comment among comments, does not count; nor does one in an element that is itself left out. One with more than half of the
+    characters outside links of the article or main around it, or else of the page, stays too, but beside an article or main that no such
+    element encloses it is an advertisement or the like, however long. If nothing but links would remain, all stay.
+    """
+    order = _in_order(root)
+    plain, holds = {}, {}  # of every subtree: characters outside links, the names of each of its articles
     for node in reversed(order):
         node.children = [c if isinstance(c, _Node) else unescape(c) for c in node.children]
         node.own = sum(len(_SPACE.sub("", c)) for c in node.children if isinstance(c, str))
+        inner = [c for c in node.children if isinstance(c, _Node) and not c.skip]
+        plain[node] = 0 if node.tag == "a" else node.own + sum(plain[c] for c in inner)
+    named = [n for n in order if n.names and n.tag not in ARTICLE]
+    if not named:
+        return
+    scope, clear = {}, {}  # the innermost article or main around an element; whether no name is on the way to it
+    for node in order:
+        up = node.parent
+        scope[node] = up if up is not None and up.tag in ARTICLE else scope.get(up)
+        clear[node] = not node.names and clear.get(up, True)
+    page = None if any(clear[n] and n.tag in ARTICLE and plain[n] for n in order) else root
+    gone = set()
+    for node in reversed(order):
+        inner = [c for c in node.children if isinstance(c, _Node) and not c.skip and c not in gone]
+        holds[node] = frozenset().union(*(holds[c] for c in inner))
+        if node.tag in ARTICLE:
+            if plain[node]:
+                holds[node] |= {node.names if node.tag == "article" else frozenset()}
+        elif node.names and all(names & node.names for names in holds[node]):
+            around = scope[node] or page
+            if around is None or 2 * plain[node] <= plain[around]:
+                gone.add(node)
+    left = {}
+    for node in reversed(order):
+        inner = [c for c in node.children if isinstance(c, _Node) and not c.skip and c not in gone]
+        left[node] = 0 if node.tag == "a" else node.own + sum(left[c] for c in inner)
+    if left[root] or not plain[root]:
+        for node in gone:
+            node.skip = True
+
+
+def _measure(root: _Node) -> list[_Node]:
+    """Sums over subtrees, children first; returns the elements in page order."""
+    _leave_out(root)
+    order = _in_order(root)
+    for node in reversed(order):
         node.chars += node.own
         if node.tag == "a":
             node.link_chars = node.chars

@@ -240,6 +240,40 @@ def test_broken_pages(html, text):
     assert density.extract(html) == text
 
 
+WRAPPED = """<body><header>Top</header>{0}<div class="sidebar"><p>Beside it all stands this.</p></div>
+<div id="comments"><ol><li class="comment"><article class="comment-body"><p>Reader says a lot about it.</p></article></ol></div><footer>End</footer>{1}</body>"""
+STORY = "<{0}><h1>Head</h1><p>First paragraph of the story, rather long.</p><form><input name=q>Search</form><p>Second one goes on for a while, too.</p></{0}>"
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+@pytest.mark.parametrize(
+    "start,end",
+    [
+        ('<div class="content-sidebar-wrap">', "</div>"), ('<div class="has-sidebar">', "</div>"), ('<section id="no-ads">', "</section>"), ('<div class="comments-open">', "</div>"),
+        ('<form method="post" action="page.aspx">', "</form>"), ('<form role="form"><div class="has-sidebar no-ads">', "</div></form>"), ('<form class="search">', ""),
+    ],
+)
+@pytest.mark.parametrize("whole", [True, False])
+def test_wrappers_with_odd_names_stay(tag, start, end, whole):
+    story = STORY.format(tag)
+    page = start + WRAPPED.format(story, "") + end if whole else WRAPPED.format(start + story + (end or "</form>"), "")
+    assert density.extract(page) == "Head\nFirst paragraph of the story, rather long.\nSecond one goes on for a while, too."
+
+
+def test_what_is_left_out_beside_wrappers():
+    long = "<p>" + "Many other words stand here, more than in the article. " * 9 + "</p>"
+    # a short article in a wrapper, and long elements outside it that hold no more than half of the text each
+    page = f'<body><div class="related">{long}</div><div class="has-sidebar"><article><p>A short one.</p></article></div><div class="promo">{long}</div></body>'
+    assert density.extract(page) == "A short one."
+    # beside an article or main, but not within it, a longer element goes
+    assert density.extract(f'<body><div class="ad">{long}</div><main><h1>The title</h1></main></body>') == "The title"
+    assert density.extract(f'<body><main><h1>The title</h1><div class="has-sidebar">{long}</div></main><div class="ad">{long * 2}</div></body>').count("Many") == 9
+    # nothing would remain: density alone decides
+    assert density.extract(f'<body><div class="has-sidebar">{long}</div><div class="no-ads">{long}</div></body>').count("Many") == 18
+    # links do not make an element the larger part
+    assert density.extract('<body><p>The text of it.</p><div class="related">' + '<a href="/x">Another page of ours</a>' * 9 + "</div></body>") == "The text of it."
+
+
 def test_pages_table(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "v", deep), (3, "w", "<p>" + "word " * 100_000)]
