@@ -163,18 +163,20 @@ def find(
     k: int = 5,
     window: int = 10,
 ) -> DataFrame:
-    """(id_col, n_words, spans, items), one row per row of ``docs``.
+    """(id_col, n_words, spans, items, n_items), one row per row of ``docs``.
 
     ``spans`` are the maximal runs [low, high) of words inside occurrences of item windows (``window`` consecutive words,
-    or all words of a shorter item), ``items`` the sorted distinct ids, as strings, of items with an occurring window. A-Z are
+    or all words of a shorter item), ``items`` the sorted distinct ids, as strings, of items with an occurring window.
+    Items without an id count like others for ``spans`` and together as one for ``n_items``; in ``items`` they have no entry. A-Z are
     folded, words are ASCII letters, digits and non-ASCII characters. Null and empty texts have no words; items without
     words occur nowhere; rows with null or repeated ids are judged each by its own text.
     """
     spark = docs.sparkSession
     words.bound_arrow_batches(spark)
     prints = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"))
-    prints = prints.filter("item is not null").mapInArrow(*_item_prints(k, window))
-    prints = persist_reliably(prints.groupBy("fp", "m", "around").agg(F.collect_set("item").alias("items")))
+    prints = prints.mapInArrow(*_item_prints(k, window))
+    unnamed = F.when(F.bool_or(F.col("item").isNull()), F.expr("array(CAST(NULL AS string))")).otherwise(F.expr("CAST(array() AS array<string>)"))
+    prints = persist_reliably(prints.groupBy("fp", "m", "around").agg(F.concat(F.collect_set("item"), unnamed).alias("items")))
     sizes = sorted(row["m"] for row in prints.select("m").distinct().collect() if row["m"])  # fewer than `window` values
     bits = spark.sparkContext.broadcast(bitmap.build(prints, F.col("fp"), BITMAP_BITS))
 
@@ -186,7 +188,8 @@ def find(
     met = met.select("row", "m", "at", "around", "theirs", "items").mapInArrow(*_extended(k, window))
     met = persist_reliably(met)
     spans = met.select("row", "low", "high").distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"))
-    of = met.select("row", F.explode("items").alias("item")).distinct().groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    of = met.select("row", F.explode("items").alias("item")).distinct().groupBy("row")
+    of = of.agg(F.sort_array(F.collect_list("item")).alias("items"), F.count("*").alias("n_items"))  # lists leave the null out
     empty = "CAST(array() AS array<struct<low:bigint,high:bigint>>)"
     merged = F.expr(
         f"""aggregate(spans, {empty}, (done, s) -> CASE
@@ -200,6 +203,7 @@ def find(
         "n_words",
         F.coalesce("spans", F.expr(empty)).alias("spans"),
         F.coalesce("items", F.expr("CAST(array() AS array<string>)")).alias("items"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
     )
 
 
@@ -210,7 +214,7 @@ def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         id_col,
         "n_words",
         n_hit.alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
+        "n_items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )

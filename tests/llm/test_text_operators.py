@@ -104,6 +104,19 @@ def test_window_edge_cases(spark):
     assert winnowed(spark, [], items) == []
 
 
+def test_items_without_an_id_count(spark):
+    duck = pytest.importorskip("duckdb").connect()
+    ten = [" ".join(f"{c}{i}" for i in range(10)) for c in "abc"]
+    items = [(1, ten[0]), (None, ten[1]), (None, "x y"), (None, ten[2]), (2, ten[2])]
+    docs = [(1, f"so {ten[0]} and {ten[1]}"), (2, f"only {ten[1]} here"), (3, "the x  Y"), (4, f"{ten[2]} x y"), (5, "none of it"), (6, ten[1] + " x y")]
+    want = [(i, n, hit, spans, [x for x in of if x != "None"]) for i, n, hit, spans, of in contaminated(docs, items)]
+    assert winnowed(spark, docs, items) == want and [r[2] for r in want] == [20, 10, 2, 12, 0, 12]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(tuple(r) for r in winnowing.report(winnowing.find(d, b)).collect())
+    documents, benchmark = d.toArrow(), b.toArrow()  # noqa: F841 (read by the SQL)
+    assert found == sorted(duck.execute(winnowing.ORACLE).fetchall())
+
+
 # ---- mixing --------------------------------------------------------------------------------------------
 
 
