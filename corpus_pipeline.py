@@ -33,10 +33,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter(known & ~(judged & (F.col("__found.score") < LEAST_SCORE))).select(*docs.columns)
 
 
+def _once(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with one of the rows of equal key and text, the first by its columns as JSON."""
+    copy = F.xxhash64(key, "text")
+    copies = persist_reliably(docs.groupBy(copy.alias("copy")).agg(F.count("*").alias("n")).filter("n > 1").select("copy"))
+    if copies.isEmpty():
+        return docs
+    maybe = bitmap.test(docs.sparkSession, bitmap.build(copies, F.col("copy")), copy)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = docs.filter(maybe).groupBy(copy.alias("copy")).agg(F.min_by(row, F.to_json(row)).alias("row"))
+    return docs.filter(~maybe).unionByName(first.select("row.*"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of every group of linked documents."""
-    found = jaccard.components(docs, k=5, percent=80)
-    return _without(docs, found.filter("doc_id <> component_id"), "doc_id")
+    """One document, the one with the smallest id, of every group of linked documents, and one of its repeated rows.
+
+    Rows of one id and different texts stay or go together. A row without an id gets one of 2^62 and more from its text, for this stage only.
+    """
+    surrogate = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), surrogate))
+    found = jaccard.components(keyed, id_col="__key", k=5, percent=80)
+    return _without(_once(keyed, "__key"), found.filter("__key <> component_id"), "__key").select(*docs.columns)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,3 +76,17 @@ def test_nulls_and_extra_columns(spark, planted):
         docs = stage(spark, docs, path)
         assert docs.columns[:6] == ["doc_id", "text", "lang", "source", "n_chars", "hash"], name
         docs.collect()
+
+
+def test_one_row_of_repeated_ones_and_of_null_ids(spark, planted):
+    path, rows, _ = planted
+    near = rows[4].split()
+    near[50] = "changed"
+    odd = [(7, rows[1], "xx", "b", 5), (7, rows[1], "xx", "a", 5), (7, rows[1], "xx", "a", 5), (9, rows[1], "xx", "a", 5)]  # repeated, and a copy
+    odd += [(None, rows[1], "xx", "a", 5), (None, rows[2], "xx", "a", 5), (None, rows[2], "xx", "a", 5)]  # copies without an id
+    odd += [(None, " ".join(near), "xx", "a", 5), (8, rows[4], "xx", "a", 5), (8, rows[5], "xx", "a", 5), (10, rows[6], "xx", None, None)]
+    docs = spark.createDataFrame(odd, SCHEMA)
+    found = corpus_pipeline.near_duplicates(spark, docs, path)
+    assert found.columns == docs.columns
+    expected = [odd[1], odd[5], odd[8], odd[9], odd[10]]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
