@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from siteatlas.llm import bitmap, jaccard, language, mixing, suffixes, winnowing
 from siteatlas.session import new_work_dir, persist_reliably
 
-#: A text of this many characters must reach this share of known n-grams; shorter ones only need a letter.
-JUDGED_CHARS = 200
+#: A text must reach this share of known n-grams; a short one only what a text that knows ``CLEAN_SHARE`` of them falls below by chance in
+#: one of about 700 cases, ``SIGMAS`` standard deviations: nothing up to 9 n-grams, the whole of it from 25.
 LEAST_SCORE = 0.2
+CLEAN_SHARE = 0.5
+SIGMAS = 3
 
 
 def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
@@ -26,11 +28,12 @@ def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: without a letter, or long and of unknown n-grams, they go."""
+    """Documents in a known language: without a letter, or of more unknown n-grams than their number explains, they go."""
     found = docs.withColumn("__found", language.column(spark, language.learn(docs), F.col("text")))
     known = F.col("__found.lang_pred") != "und"
-    judged = F.length("text") >= JUDGED_CHARS
-    return found.filter(known & ~(judged & (F.col("__found.score") < LEAST_SCORE))).select(*docs.columns)
+    chance = SIGMAS * F.sqrt(CLEAN_SHARE * (1 - CLEAN_SHARE) / F.greatest(F.col("__found.n_grams"), F.lit(1)))
+    least = F.least(F.lit(LEAST_SCORE), CLEAN_SHARE - chance)
+    return found.filter(known & (F.col("__found.score") >= least)).select(*docs.columns)
 
 
 def _once(docs: DataFrame, key: str) -> DataFrame:

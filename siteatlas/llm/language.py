@@ -127,17 +127,17 @@ def train(texts: DataFrame, text_col: str = "text", lang_col: str = "lang") -> L
 
 
 def column(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
-    """struct<lang_pred, score> of a text column; see ``predict``."""
+    """struct<lang_pred, score, n_grams> of a text column; see ``predict``. ``n_grams`` is how many n-grams the score is a share of."""
     broadcast = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    @F.arrow_udf("struct<lang_pred:string,score:double,n_grams:bigint>")
     def predicted(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = broadcast.value
         names = pa.array([*m.languages, "und"], pa.string())
         for column in columns:
             texts = pc.fill_null(column, "")
             lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
-            best, score = np.full(len(texts), len(m.languages)), np.zeros(len(texts))
+            best, score, counts = np.full(len(texts), len(m.languages)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             for first, hashes, bounds in _grams(texts) if m.languages else ():
                 masks = m.masks(hashes)
                 n = np.diff(bounds)
@@ -150,9 +150,9 @@ def column(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
                 most = found[np.arange(len(n)), top]
                 rows = slice(first, first + len(n))
                 best[rows] = np.where(most > 0, top, m.prior)
-                score[rows] = np.minimum(1.0, most / np.maximum(n, 1))
+                score[rows], counts[rows] = np.minimum(1.0, most / np.maximum(n, 1)), n
             best[~lettered], score[~lettered] = len(m.languages), 0
-            yield pa.StructArray.from_arrays([names.take(pa.array(best)), pa.array(score)], names=["lang_pred", "score"])
+            yield pa.StructArray.from_arrays([names.take(pa.array(best)), pa.array(score), pa.array(counts)], names=["lang_pred", "score", "n_grams"])
 
     return predicted(text.cast("string"))
 
@@ -164,7 +164,7 @@ def predict(docs: DataFrame, model: LanguageModel, columns: Sequence[str] = ("do
     the language with most training text and score 0; of equal languages the first by name.
     """
     found = docs.select(*columns, column(docs.sparkSession, model, F.col(text_col)).alias("__found"))
-    return found.select(*columns, "__found.*")
+    return found.select(*columns, "__found.lang_pred", "__found.score")
 
 
 def held_out(id_col: str = "doc_id"):

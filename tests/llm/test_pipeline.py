@@ -90,3 +90,17 @@ def test_one_row_of_repeated_ones_and_of_null_ids(spark, planted):
     assert found.columns == docs.columns
     expected = [odd[1], odd[5], odd[8], odd[9], odd[10]]
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_unlearned_languages_go(spark, planted):
+    path, rows, _ = planted
+    rng = random.Random(6)
+    foreign = lambda n: "".join(rng.choice("qrstuvwxyz") for _ in range(n))
+    odd = {100 + n: foreign(n) for n in (4, 13)} | {200 + n: foreign(n) for n in (14, 20, 29, 60, 199, 200, 400)}
+    odd |= {1000 + n: rows[3][:n] for n in (6, 13, 14, 20, 29, 60, 199, 200, 400)}
+    odd |= {2000: rows[3][:40] + " " + foreign(200), 2001: rows[3][:100] + " " + foreign(150), 2002: "12 34", 2003: "123 " * 60 + rows[3][:30]}
+    docs = [(i, t, "xx", "s", 1) for i, t in rows.items() if i < 20] + [(i, t, None, "s", 1) for i, t in odd.items()]
+    found = corpus_pipeline.language_id(spark, spark.createDataFrame(docs, SCHEMA), path)
+    gone = {i for i, *_ in docs} - {r.doc_id for r in found.collect()}
+    # 13 letters are 9 n-grams, too few to tell
+    assert gone == {214, 220, 229, 260, 399, 400, 600, 2000, 2002}
