@@ -1,12 +1,17 @@
 """The pipeline: what each stage does to planted rows, and the run as a whole."""
 
+import hashlib
 import random
+import re
 import shutil
+import zlib
 
 import pytest
 
 import corpus_pipeline
 from tests.conftest import SF
+from tests.llm.test_jaccard import brute as linked
+from tests.llm.test_text_operators import contaminated, targets
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -104,3 +109,102 @@ def test_unlearned_languages_go(spark, planted):
     gone = {i for i, *_ in docs} - {r.doc_id for r in found.collect()}
     # 13 letters are 9 n-grams, too few to tell
     assert gone == {214, 220, 229, 260, 399, 400, 600, 2000, 2002}
+
+
+# ---- the five stages in plain Python; documents are (doc_id, text, lang, source, n_chars), ids distinct -------------------------
+
+
+def plain_language(docs):
+    def grams(text):
+        data = re.sub(rb"[^a-z\x80-\xff]+", b" ", (text or "").lower().encode()).lstrip()
+        return [data[i : i + 5] for i in range(len(data) - 4)]
+
+    known = {}
+    for i, text, lang, *_ in docs:
+        if lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            known.setdefault(lang, set()).update(grams(text))  # so few that none is below the least share
+    out = []
+    for d in docs:
+        found = grams(d[1])
+        score = max(sum(g in k for g in found) for k in known.values()) / max(len(found), 1)
+        if re.search("[a-zA-Z]", d[1] or "") and score >= min(0.2, 0.5 - 1.5 / max(len(found), 1) ** 0.5):
+            out.append(d)
+    return out
+
+
+def plain_near(docs):
+    of = {i: root for i, _, root in linked([d[:2] for d in docs], 5, 80)}
+    return [d for d in docs if of[d[0]] == d[0]]
+
+
+def plain_repeated(docs, length=100):
+    seen, out = set(), []
+    for i, text, lang, source, _ in sorted(docs):
+        keep = [True] * len(text)
+        for at in range(len(text) - length + 1):
+            if text[at : at + length] in seen:
+                keep[at : at + length] = [False] * length
+            seen.add(text[at : at + length])
+        text = "".join(c for c, k in zip(text, keep, strict=True) if k)
+        out.append((i, text, lang, source, len(text)))
+    return out
+
+
+def plain_clean(docs, items):
+    hit = {i for i, _, n, *_ in contaminated([d[:2] for d in docs], items) if n}
+    return [d for d in docs if d[0] not in hit]
+
+
+def plain_mix(docs):
+    sizes, out = {}, []
+    for d in docs:
+        sizes[d[3]] = sizes.get(d[3], 0) + len(d[1].split())
+    for source, target in targets(sizes).items():
+        passes, budget = divmod(target, sizes[source]) if sizes[source] else (0, 0)
+        upto = 0
+        for d in sorted((d for d in docs if d[3] == source), key=lambda d: hashlib.md5(str(d[0]).encode()).hexdigest()[:15]):
+            before, upto = upto, upto + len(d[1].split())
+            more = budget > 0 and (upto < budget or before < budget and upto - budget <= budget - before)
+            if passes + more:
+                n = len(d[1].split())
+                out.append((*d, n, sizes[source], round(target, 6), int(passes + more), int(passes + more) * n))
+    return out
+
+
+def test_run_equals_plain_stages(spark, tmp_path):
+    rng = random.Random(12)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 8)))
+    words = {lang: [word(letters) for _ in range(500)] for lang, letters in {"aa": "abcdefghij", "bb": "ghijklmnop", "cc": "mnopqrstuv"}.items()}
+    say = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    passages = {lang: [say(lang, rng.randint(20, 50)) for _ in range(4)] for lang in words}
+    items = [(i, say(rng.choice("abc") * 2, rng.choice([4, 9, 12, 30]))) for i in range(12)] + [(None, say("aa", 15))]
+    docs = []
+    for i in rng.sample(range(10_000), 260):
+        lang = rng.choice("abc") * 2
+        text, kind = say(lang, rng.randint(3, 150)), rng.random()
+        if kind < 0.12 and docs:
+            _, text, lang, *_ = rng.choice(docs)
+        elif kind < 0.3 and docs:
+            text = (rng.choice(docs)[1] or "none").split()
+            for _ in range(rng.randint(1, 4)):
+                text[rng.randrange(len(text))] = rng.choice(words[lang])
+            text = " ".join(text)
+        elif kind < 0.5:
+            text += " " + rng.choice(passages[lang]) + " " + say(lang, 10)
+        elif kind < 0.6:
+            text += " " + rng.choice(items)[1] + ", " + say(lang, 5)
+        elif kind < 0.7:
+            text = rng.choice([None, "", "12 34", "xyz", "wxyz" * rng.randint(1, 80), "xw zy " * rng.randint(1, 9)])
+            lang = None
+        docs.append((i, text, lang, rng.choice(["s", "t", "t", "u", None]), len(text or "")))
+    path = str(tmp_path)
+    spark.createDataFrame(docs, SCHEMA).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+
+    want, left = docs, [len(docs)]
+    for stage in (plain_language, plain_near, plain_repeated, lambda d: plain_clean(d, items), plain_mix):
+        want = stage(want)
+        left.append(len(want))
+    assert left[0] > left[1] > left[2] == left[3] > left[4] > left[5] > 50  # every stage but the third drops documents
+    found = [(*r[:7], round(r.mix_target, 6), r.mix_copies, r.mix_taken) for r in corpus_pipeline.run(spark, path).collect()]
+    assert sorted(found, key=lambda d: d[0]) == sorted(want, key=lambda d: d[0])
