@@ -271,12 +271,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id_col, n_shingles, component_id) per row: documents linked where 100 |A and B| >= percent |A or B|.
 
     A and B are the sets of the distinct k-word shingles of the two texts, A-Z folded, words split at ASCII white
-    space; a text of fewer words is one shingle. Tokens are compared by 54-bit hashes.
+    space; a text of fewer words is one shingle. Tokens are compared by 54-bit hashes. Rows of one id count as linked, whatever their texts.
     """
     spark = docs.sparkSession
     words.bound_arrow_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = persist_reliably(texts.mapInArrow(*_signatures(k)))
+    signature = F.struct("sig_a", "sig_b", "n")
+    several = rows.filter("slice is null and id is not null").groupBy("id").agg(F.min(signature).alias("x"), F.max(signature).alias("y"))
+    several = persist_reliably(several.filter("x <> y").select("id"))
+    if not several.isEmpty():
+        return _by_text(texts, several, k, percent).toDF(id_col, "n_shingles", "component_id")
     classes = spark.sparkContext.broadcast(_classes(rows))
 
     rows = rows.filter("slice is null").select("id", "n", "sig_a", "sig_b")
@@ -369,11 +374,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     asking = asking.join(asked_for, "id").select("grp", "block", "query", "id", "tokens")
     second = members.unionAll(asking).groupBy("grp", "block").applyInArrow(*_open_asked(percent))
 
-    mapping = full.join(same, ["sig_a", "sig_b", "n"]).select("id", "rep").distinct()
-    several = mapping.groupBy("id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x <> y").select("id")
-    several = mapping.join(several, "id").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     stars = settled.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    found = graph.components(stars.unionAll(second).unionAll(several))
+    found = graph.components(stars.unionAll(second))
 
     component = F.coalesce("component", "rep", "id")
     out = rows.join(same.drop("copies"), ["sig_a", "sig_b", "n"], "left")
@@ -382,6 +384,21 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def _by_text(texts: DataFrame, several: DataFrame, k: int, percent: int) -> DataFrame:
+    """``components`` of (id, text) where the ids in ``several`` have different texts: each of these is a document of its own, linked with the id."""
+    several = several.select(F.col("id").alias("of"))
+    keyed = texts.join(several, F.col("id") == F.col("of"), "left")
+    keyed = persist_reliably(keyed.select("id", "text", F.when(F.col("of").isNotNull(), F.xxhash64("id", "text")).otherwise(F.col("id")).alias("node"), "of"))
+    aliases = persist_reliably(keyed.filter("of is not null").select("node", "of").distinct())
+    found = components(keyed, "node", "text", k, percent).join(aliases, "node", "left")
+    found = persist_reliably(found.select(F.coalesce("of", "node").alias("id"), F.col("n_shingles").alias("n"), F.col("component_id").alias("part"), "of"))
+    edges = found.filter("of is not null").select(F.col("of").alias("a"), F.col("part").alias("b"))
+    joined = graph.components(edges).withColumnRenamed("id", "part")
+    found = persist_reliably(found.join(joined, "part", "left").select("id", "n", F.coalesce("component", "part").alias("part")))
+    least = found.filter("part is not null").groupBy("part").agg(F.min("id").alias("least"))  # a part may bear the key of a text
+    return found.join(least, "part", "left").select("id", "n", "least")
+
+
 def _open_asked(percent: int):
     """As ``_open``, but a block that got no query opens nothing."""
     over, schema = _open(percent)

@@ -79,6 +79,18 @@ def test_edge_cases(spark):
     assert (31, 2, 30) in found and (None, 1, None) in found and (7, 1, 6) in found and (8, 1, 8) in found
 
 
+def test_near_links_of_every_text_of_an_id(spark):
+    rng = random.Random(8)
+    texts_ = [[f"{c}{rng.randrange(9999)}" for _ in range(60)] for c in "abcdef"]
+    a, b, c, d, e, f = (" ".join(t) for t in texts_)
+    near = lambda t: t + " tail"
+    rows = [(50, t) for t in (a, b, c, d, "", "  ")] + [(10 + i, near(t)) for i, t in enumerate((a, b, c, d))] + [(60, e), (61, near(e)), (61, f), (5, near(f)), (5, near(f)), (70, None)]
+    rows += [(80, e + " other"), (None, a), (90, "x"), (90, ""), (-3, "alone"), (2, near(c) + " end")]
+    found = run(spark, rows)
+    assert found == brute(rows, 3, 90)
+    assert {r[2] for r in found if r[0] in (50, 10, 11, 12, 13)} == {2} and {r[2] for r in found if r[0] in (60, 61, 5, 80)} == {5}
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
