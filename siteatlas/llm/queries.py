@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siteatlas.llm import chat, density, hnsw, jaccard, language, mixing, pieces, resampling, suffixes, whitening, winnowing
+from siteatlas.llm import chat, density, hnsw, jaccard, language, mixing, pieces, resampling, simhash, suffixes, whitening, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op10_source_mix(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_simhash_dedup(spark, sf_dir):
+    return simhash.components(_table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark, sf_dir):
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +79,7 @@ QUERIES = {
         op8_decontamination,
         op9_chat_format,
         op10_source_mix,
+        op11_simhash_dedup,
         op13_whitening,
     )
 }
