@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siteatlas.llm import chat, density, hnsw, jaccard, language, mixing, pieces, resampling, simhash, suffixes, whitening, winnowing
+from siteatlas.llm import chat, density, dualtree, hnsw, jaccard, language, mixing, pieces, resampling, simhash, suffixes, whitening, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op11_simhash_dedup(spark, sf_dir):
     return simhash.components(_table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark, sf_dir):
+    return dualtree.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_whitening(spark, sf_dir):
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +84,7 @@ QUERIES = {
         op9_chat_format,
         op10_source_mix,
         op11_simhash_dedup,
+        op12_ranked_search,
         op13_whitening,
     )
 }
@@ -89,4 +94,5 @@ ORACLE = {
     "op8_decontamination": winnowing.ORACLE,
     "op9_chat_format": chat.ORACLE,
     "op10_source_mix": mixing.ORACLE,
+    "op12_ranked_search": dualtree.ORACLE,
 }

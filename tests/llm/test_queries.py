@@ -23,5 +23,5 @@ def test_query(spark, duck, name):
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names}
     assert "pipeline" in names
