@@ -17,6 +17,7 @@ pieces fill more than one shard, the strings of the next shard are looked up by
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,7 @@ SEGMENT_BITS = 18
 COUNT_BITS = 18  # the table of k-gram counts has 2^18 cells, whatever the data
 _SLICES = 64
 _CLASS = 4  # bits of the frequency class at the top of a k-gram's order
+HOT_CLASS = 1  # of anchors that are common: in a cell with more than twice the mean count
 BITMAP_BITS = 26
 _MERGE_BYTES = 1 << 25
 
@@ -144,12 +146,15 @@ def _classes(rows: DataFrame) -> np.ndarray:
 _KEPT_BITS = 48  # of a gram's hash, when grams are counted
 
 
-def _held_grams(classes, length: int):
-    """The hashes of all left and right grams that strings hold, each at most twice a text."""
+def _held_grams(classes, length: int, left_out=None):
+    """The hashes of all left and right grams that strings hold, each at most twice a text. Texts whose key ``left_out`` may hold are passed over."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts, _ in _segments(batch.column(0), length):
+            if left_out is not None:
+                keys = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+                batch = batch.filter(pa.array(~bitmap.contains(left_out.value, keys)))
+            for texts, _ in _segments(batch.column(1), length):
                 doc, _, count, _, left, left_gram, right_gram = _runs(texts, classes.value, length)
                 some = np.concatenate([left > 0, left < count])
                 grams, doc = np.concatenate([left_gram, right_gram])[some], np.concatenate([doc, doc])[some]
@@ -166,60 +171,86 @@ def _held_grams(classes, length: int):
 _PIECE = "anchor long, id long, h long, low long, high long, piece binary"
 
 
+_WEIGHT = 190  # of a held piece beside its bytes: its entry and key in the table, and five numbers
+
+
+class _Merged:
+    """Distinct pieces with the place of each one's first; places of the others become removed ranges."""
+
+    def __init__(self):
+        self.at: dict[bytes, int] = {}
+        self.places = [array("q") for _ in range(5)]  # id, h, low, high, anchor
+        self.ranges = [array("q") for _ in range(4)]
+        self.weight = 0
+
+    def add(self, piece: bytes, this: tuple) -> None:
+        n = len(self.at)
+        at = self.at.setdefault(piece, n)
+        if at == n:
+            for column, value in zip(self.places, this, strict=True):
+                column.append(value)
+            self.weight += len(piece) + _WEIGHT
+            return
+        first = tuple(column[at] for column in self.places)
+        if first == this:  # a repeated row
+            return
+        if this < first:
+            for column, value in zip(self.places, this, strict=True):
+                column[at] = value
+            this = first
+        i, h, low, high = self.ranges
+        if i and i[-1] == this[0] and h[-1] == this[1] and high[-1] == this[2]:
+            high[-1] = this[3]
+            return
+        for column, value in zip(self.ranges, this[:4], strict=True):
+            column.append(value)
+        self.weight += 32
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        names = ["anchor", "id", "h", "low", "high", "piece"]
+        i, h, low, high, anchor = (np.array(column, np.int64) for column in self.places)
+        yield pa.record_batch([anchor, i, h, low, high, pa.array(list(self.at), pa.binary())], names=names)
+        i, h, low, high = (np.array(column, np.int64) for column in self.ranges)
+        yield pa.record_batch([i ^ (h << 1), i, h, low, high, pa.nulls(len(i), pa.binary())], names=names)
+
+
 def _pieces(classes, repeated, length: int):
-    """Pieces with an anchor that may repeat; of equal ones the first goes on, the others are removed ranges."""
+    """Pieces with an anchor that may repeat; of equal ones the first goes on, the others are removed ranges.
 
-    def merged(found: dict, ranges: list) -> Iterator[pa.RecordBatch]:
-        columns = list(zip(*((a, i, h, low, high, piece) for piece, (i, h, low, high, a) in found.items()), strict=True)) or [()] * 6
-        yield _piece_batch(columns)
-        if ranges:
-            yield _piece_batch([*zip(*((i ^ (h << 1), i, h, low, high) for i, h, low, high in ranges), strict=True), [None] * len(ranges)])
+    Pieces are dealt by their anchor. One whose anchor is common is cut in two, the strings that hold the left gram and those that hold the
+    right one, and dealt by these: equal strings share them as well, and a common line's surroundings go to different tasks.
+    """
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, ranges, held = {}, [], 0
+        merged = _Merged()
         for batch in batches:
             ids, hs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for texts, base in _segments(batch.column(2), length):
-                doc, start, count, hashes, left, left_gram, right_gram = _runs(texts, classes.value, length)
+                doc, start, count, anchor, left, left_gram, right_gram = _runs(texts, classes.value, length)
                 low = np.where(bitmap.contains(repeated.value, left_gram), 0, left)
                 high = np.where(bitmap.contains(repeated.value, right_gram), count, left)
+                common = classes.value[anchor >> np.uint64(64 - COUNT_BITS)] >= HOT_CLASS
+                key = np.where(common, np.where(high <= left, left_gram, right_gram), anchor)
+                both = common & (low < left) & (left < high)
+                cut = np.flatnonzero(both)
+                doc, start, key = np.append(doc, doc[cut]), np.append(start, start[cut]), np.append(key, left_gram[cut])
+                low, high = np.append(np.where(both, left, low), low[cut]), np.append(high, left[cut])
                 start, count = start + low, high - low
                 keep = np.flatnonzero(count > 0)
+                keep = keep[np.lexsort((start[keep], doc[keep]))]
                 raw = texts.data.tobytes() if len(keep) else b""
                 in_text = start[keep] - texts.offsets[doc[keep]] + base
-                rows = zip((doc[keep] + texts.first).tolist(), start[keep].tolist(), count[keep].tolist(), in_text.tolist(), hashes.view(np.int64)[keep].tolist(), strict=True)
-                for row, at, n, low, anchor in rows:
-                    piece = raw[at : at + n + length - 1]
-                    this = (ids[row], hs[row], low, low + n, anchor)
-                    first = found.setdefault(piece, this)
-                    if first is this:
-                        held += len(piece) + 150
-                    elif first != this:  # the same place is a repeated row
-                        if this < first:
-                            found[piece], this = this, first
-                        held += 100
-                        last = ranges[-1] if ranges else None
-                        if last and last[0] == this[0] and last[1] == this[1] and last[3] == this[2]:
-                            ranges[-1] = (*last[:3], this[3])
-                        else:
-                            ranges.append(this[:4])
-                if held > _MERGE_BYTES:
-                    yield from merged(found, ranges)
-                    found, ranges, held = {}, [], 0
-        yield from merged(found, ranges)
+                rows = zip((doc[keep] + texts.first).tolist(), start[keep].tolist(), count[keep].tolist(), in_text.tolist(), key.view(np.int64)[keep].tolist(), strict=True)
+                for row, at, n, low_, key_ in rows:
+                    merged.add(raw[at : at + n + length - 1], (ids[row], hs[row], low_, low_ + n, key_))
+                if merged.weight > _MERGE_BYTES:
+                    yield from merged.rows()
+                    merged = _Merged()
+        yield from merged.rows()
 
     return over, _PIECE
 
 
-def _piece_batch(columns) -> pa.RecordBatch:
-    anchor, i, h, low, high, piece = columns
-    wrap = lambda x: pa.array(np.array([v & (1 << 64) - 1 for v in x], np.uint64).view(np.int64))
-    return pa.record_batch(
-        [wrap(anchor), pa.array(i, pa.int64()), pa.array(h, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(piece, pa.binary())],
-        names=["anchor", "id", "h", "low", "high", "piece"],
-    )
-
-
 # ---- suffix arrays -----------------------------------------------------------------------------------
 
 
@@ -386,7 +417,7 @@ def _removed(length: int):
                 if size > 4 * SHARD_BYTES:  # within one anchor's pieces
                     out, carried, carried_anchor = shard(held + group, carried, carried_anchor, True)
                     yield rows(out)
-                    held, group, size = [], [], 0
+                    held, group, size, seen = [], [], 0, {}  # equal pieces of the next shard are found by search
             yield rows(again)
         if len(group) > 1 or group and group[0][0] == carried_anchor:
             held += group
@@ -456,13 +487,16 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     texts = docs.select(*_keys(id_col, text_col))
     long = texts.filter(F.octet_length("text") >= length)
-    # later copies of a text are not counted; only texts that may be such are joined
+    # later copies of a text are not counted; only texts that may be such are joined. No stage of this runs two Python functions.
     copies = narrow.join(first, "whole").filter(F.struct("id", "h") != F.col("first")).select("id", "h")
-    maybe = _maybe(copies, spark)
-    single = long.filter(~maybe).select("text").unionAll(long.filter(maybe).join(firsts, ["id", "h"], "left_semi").select("text"))
-    grams = single.mapInArrow(*_held_grams(classes, length)).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1")
-    repeated = bitmap.build(grams, F.shiftleft("gram", 64 - _KEPT_BITS), BITMAP_BITS)
-    repeated = spark.sparkContext.broadcast(repeated)
+    key = F.xxhash64("id", "h")
+    members = bitmap.build(copies, key)
+    sent = spark.sparkContext.broadcast(members)
+    grams = long.select(key, "text").mapInArrow(*_held_grams(classes, length, sent))
+    again = long.filter(bitmap.test(spark, members, key)).join(firsts, ["id", "h"], "left_semi").select(key, "text")
+    grams = grams.unionAll(again.mapInArrow(*_held_grams(classes, length))).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1")
+    repeated = spark.sparkContext.broadcast(bitmap.build(grams, F.shiftleft("gram", 64 - _KEPT_BITS), BITMAP_BITS))
+    sent.destroy()
 
     pieces = long.mapInArrow(*_pieces(classes, repeated, length))
     dealt = pieces.repartition("anchor").sortWithinPartitions("anchor", "id", "h", "low")
@@ -475,6 +509,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
             ELSE concat(done, array(s)) END)"""
     )
     spans = persist_reliably(spans.select("id", "h", merged.alias("spans")))
+    classes.destroy()
+    repeated.destroy()
     return narrow.join(first, "whole"), spans
 
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siteatlas.llm import suffixes
@@ -51,6 +52,11 @@ def test_equals_scan(spark):
     assert run(spark, shuffled) == brute(rows, 100)
 
 
+def pieces(rows):
+    names = ["anchor", "id", "h", "low", "high", "piece"]
+    return pa.record_batch([pa.array(c, pa.binary() if n == "piece" else pa.int64()) for n, c in zip(names, zip(*rows, strict=True), strict=True)], names=names)
+
+
 def test_small_shards_are_merged(spark, monkeypatch):
     # one very common line with different neighbours: an anchor whose pieces fill many shards
     rng = random.Random(4)
@@ -61,7 +67,7 @@ def test_small_shards_are_merged(spark, monkeypatch):
     text = [(int(rng.random() < 0.5), i, 0, 0, 0, t.encode()) for i, t in rows]
     text = sorted((a, i, h, low, len(t) - 99, t) for a, i, h, low, _, t in text if len(t) >= 100)
     monkeypatch.setattr(suffixes, "SHARD_BYTES", 200)
-    batches = [suffixes._piece_batch(list(zip(*text[at : at + 7]))) for at in range(0, len(text), 7)]
+    batches = [pieces(text[at : at + 7]) for at in range(0, len(text), 7)]
     removed = {(i, s) for b in over(iter(batches)) for i, _, low, high in zip(*(c.to_pylist() for c in b.columns)) for s in range(low, high)}
     expected = set()
     for anchor in (0, 1):
