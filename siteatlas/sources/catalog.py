@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siteatlas.schema import STORES
+from siteatlas.sources import published
+
+_FORMATS = {"parquet": ("parquet", {}), "jsonl": ("json", {"ignoreNullFields": False})}
 
 
 def read_catalog(
@@ -14,9 +17,11 @@ def read_catalog(
 ) -> DataFrame:
     """``file_format``: parquet, jsonl, or json for a file holding one JSON array.
 
-    A JSON array cannot be split and is read by one task, so it is only for import at the edge.
+    Of a published catalog (``write_catalog``) the state at this moment is read, whatever is published later. A JSON array cannot be
+    split and is read by one task, so it is only for import at the edge.
     """
     reader = spark.read.schema(schema)
+    path = current_path(spark, path)
     if file_format == "parquet":
         return reader.parquet(path)
     if file_format == "jsonl":
@@ -26,15 +31,28 @@ def read_catalog(
     raise ValueError(f"unknown catalog format {file_format!r}")
 
 
-def write_catalog(stores: DataFrame, path: str, file_format: str = "parquet", mode: str = "overwrite") -> None:
-    """All records with all keys: nulls are written as null, not left out."""
-    writer = stores.write.mode(mode)
-    if file_format == "parquet":
-        writer.parquet(path)
-    elif file_format == "jsonl":
-        writer.option("ignoreNullFields", False).json(path)
-    else:
+def write_catalog(stores: DataFrame, path: str, file_format: str = "parquet") -> int:
+    """Publish all records with all keys (nulls are written as null) as the catalog at ``path``; returns their number.
+
+    Readers see the old catalog or the new one, never a part: the records go to a folder of their own, are counted there, and only then does
+    the catalog's file name this folder. So ``stores`` may be read from ``path`` itself, and a write that fails changes nothing. If
+    another job has published meanwhile, this one raises. The folders of the two catalogs before stay for readers that still use them.
+    """
+    if file_format not in _FORMATS:
         raise ValueError(f"unknown catalog format {file_format!r}")
+    spark = stores.sparkSession
+    before = published.state(spark, path)
+    folder = published.new_folder("catalog")
+    spark_format, options = _FORMATS[file_format]
+    rows = published.write_folder(stores, path, folder, spark_format, **options)
+    published.switch(spark, path, before, {"folders": [folder], "format": file_format, "rows": rows})
+    return rows
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds the catalog's files: the published one, or ``path`` itself for files from elsewhere."""
+    state = published.state(spark, path) if not any(c in path for c in "*?{[") else None
+    return f"{path}/{state['folders'][0]}" if state else path
 
 
 def with_missing_fields(stores: DataFrame, names: tuple[str, ...]) -> DataFrame:

@@ -1,12 +1,15 @@
 """Catalog and seed files."""
 
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from siteatlas.operators import reconcile
 from siteatlas.schema import CAPTURES, STORES
 from siteatlas.session import new_work_dir, shared_dir
-from siteatlas.sources import captures, catalog, seeds
+from siteatlas.sources import captures, catalog, published, seeds
 
 UNIT = {"size": "5x5", "price_raw": "45.0", "price": 45.0, "available": True, "count": 2, "promo": "", "promo2": ""}
 RECORDS = [
@@ -27,7 +30,7 @@ def test_catalog_round_trip(spark, file_format):
     catalog.write_catalog(spark.createDataFrame(RECORDS, STORES), path, file_format)
     assert plain(catalog.read_catalog(spark, path, file_format)) == RECORDS
     if file_format == "jsonl":
-        lines = [json.loads(r.value) for r in spark.read.text(path).collect()]
+        lines = [json.loads(r.value) for r in spark.read.text(catalog.current_path(spark, path)).collect()]
         assert all(set(line) == set(RECORDS[0]) for line in lines)
 
 
@@ -67,3 +70,39 @@ def test_captures_table(spark, make_captures):
 def test_shared_dir_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or shared_dir(spark) == configured
+
+
+def test_catalog_written_over_the_one_it_was_read_from(spark):
+    path = new_work_dir(spark, "catalog")
+    catalog.write_catalog(spark.createDataFrame(RECORDS, STORES), path)
+    for n in range(3, 8):
+        known = catalog.read_catalog(spark, path)
+        one = spark.createDataFrame([{**RECORDS[0], "store_id": str(n)}], STORES)
+        assert catalog.write_catalog(reconcile.append_new(known, one), path) == n
+        assert plain(known)[0]["store_id"] == "007"  # a reader from before still sees its own state
+        assert catalog.read_catalog(spark, path).count() == n
+    folders = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("_catalog")]
+    assert len(folders) == 3  # the current one and two before
+
+
+def test_failed_write_leaves_the_old_catalog(spark):
+    path = new_work_dir(spark, "catalog")
+    catalog.write_catalog(spark.createDataFrame(RECORDS, STORES), path)
+    known = catalog.read_catalog(spark, path)
+    half = known.unionByName(known.repartition(3)).withColumn("city", F.when(F.col("store_id") == "8", F.raise_error(F.lit("broken"))).otherwise(F.col("city")))
+    with pytest.raises(Exception, match="broken"):
+        catalog.write_catalog(half, path)
+    assert plain(catalog.read_catalog(spark, path)) == RECORDS
+    assert catalog.write_catalog(known.filter("store_id = '8'"), path, "jsonl") == 1
+    assert plain(catalog.read_catalog(spark, path, "jsonl")) == RECORDS[1:]
+
+
+def test_two_writers_do_not_undo_each_other(spark):
+    path = new_work_dir(spark, "catalog")
+    stores = spark.createDataFrame(RECORDS, STORES)
+    catalog.write_catalog(stores, path)
+    before = published.state(spark, path)
+    catalog.write_catalog(stores, path)
+    with pytest.raises(published.PublishError):
+        published.switch(spark, path, before, {"folders": ["_late"]})
+    assert catalog.read_catalog(spark, path).count() == 2
