@@ -151,6 +151,10 @@ def details_by_url(captures: DataFrame, spec: SiteSpec) -> DataFrame:
     return latest_per_url(page_details(of_kind(captures, "facility", strict=False), spec), "page_ok", "details")
 
 
+def has_site_number(details: str) -> Column:
+    return text.truthy_text(F.col(details)["site_number"])
+
+
 def details_until_done(found: DataFrame) -> DataFrame:
     """(url, page_ok, details) after enriching with every capture in the order they were made.
 
@@ -158,7 +162,7 @@ def details_until_done(found: DataFrame) -> DataFrame:
     for. So the outcome does not depend on how the captures were cut into batches.
     """
     at = F.struct("fetched_at", "capture_id")
-    done = F.col("page_ok") & text.truthy_text(F.col("details.site_number"))
+    done = F.col("page_ok") & has_site_number("details")
     first_done = F.min_by(F.when(done, F.col("details")), F.when(done, at))
     last_read = F.max_by(F.when(F.col("page_ok"), F.col("details")), F.when(F.col("page_ok"), at))
     merged = found.groupBy("url").agg(F.coalesce(first_done, last_read).alias("details"))

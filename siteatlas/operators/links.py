@@ -38,14 +38,30 @@ def distinct_absolute_links(links: DataFrame, base_url: str) -> DataFrame:
 def state_pages(captures: DataFrame, spec: SiteSpec) -> DataFrame:
     """(url, state_name) of the state pages the index links to. Their order is the order of their urls.
 
-    Without the index nothing can be found, so an index page whose latest capture failed is an error, raised when the plan runs.
+    An error if the index failed or is absent, see ``with_index_check``.
     """
     index = of_kind(captures, "index", strict=False)
-    failed = F.raise_error(F.concat(F.lit("index page failed: "), "url")).cast("boolean")
-    read = latest_versions(index, "status").filter(F.when(F.col("status") < 400, F.lit(True)).otherwise(failed))
+    read = latest_versions(index, "status").filter("status < 400")
     links = page_links(index, "capture_id").join(read.select("capture_id"), "capture_id", "left_semi")
     urls = distinct_absolute_links(links.filter(F.contains("href", F.lit(spec.state_page_token))), spec.base_url)
-    return urls.select("url", text.state_name(F.col("url"), spec.state_page_token).alias("state_name"))
+    found = urls.select("url", text.state_name(F.col("url"), spec.state_page_token).alias("state_name"))
+    return with_index_check(found, captures)
+
+
+def with_index_check(rows: DataFrame, captures: DataFrame) -> DataFrame:
+    """The rows, and an error when the plan runs if an index page's latest capture failed or there is no index page at all.
+
+    Without the index nothing can be found. The check is a part of the union that has no rows, made from an aggregate that always has one.
+    A plan that finds another input empty drops what is joined with it, and a check inside with it; so builds put this on
+    the rows that their result is grouped from, behind all joins. The columns of that part fail like the part itself, so a filter that is moved in
+    front of the check cannot take it out. The columns are text or numbers.
+    """
+    pages = latest_versions(of_kind(captures, "index", strict=False), "status")
+    seen = pages.agg(F.count("*").alias("pages"), F.min(F.when(F.coalesce(F.col("status") < 400, F.lit(False)), F.lit(None)).otherwise(F.col("url"))).alias("failed"))
+    wrong = F.when(F.col("pages") == 0, F.lit("no index page was captured")).otherwise(F.concat(F.lit("index page failed: "), "failed"))
+    checked = F.when(wrong.isNotNull(), F.raise_error(wrong).cast("string"))
+    none = seen.select(*[checked.cast(f.dataType).alias(f.name) for f in rows.schema], checked.alias("_checked"))
+    return rows.unionByName(none.filter("_checked IS NOT NULL").drop("_checked"))
 
 
 def with_page_rank(pages: DataFrame) -> DataFrame:

@@ -25,7 +25,8 @@ def discovered(captures: DataFrame, seeds: DataFrame, spec: SiteSpec) -> DataFra
     """
     pages = links.state_pages(captures, spec)
     from_states = markers.stores_on_pages(captures, "sitemap", pages, spec, SITEMAP, strict=False)
-    return reconcile.first_wins(reconcile.union_all(from_states, sweep(captures, seeds, spec, strict=False)))
+    found = reconcile.union_all(from_states, sweep(captures, seeds, spec, strict=False))
+    return reconcile.first_wins(links.with_index_check(found, captures))
 
 
 def daily_catalog(captures: DataFrame, seeds: DataFrame, spec: SiteSpec) -> DataFrame:
@@ -54,21 +55,26 @@ def enriched_catalog(stores: DataFrame, captures: DataFrame, spec: SiteSpec) ->
     return details.enrich(stores, captures, spec)
 
 
+def _indexed_links(captures: DataFrame, spec: SiteSpec) -> DataFrame:
+    found = links.state_page_links(captures, links.state_pages(captures, spec))
+    return links.with_index_check(found, captures)
+
+
 def link_catalog(captures: DataFrame, spec: SiteSpec) -> DataFrame:
     """Stores read off the facility links of the state pages, first page wins, priced."""
-    found = links.state_page_links(captures, links.state_pages(captures, spec))
+    found = _indexed_links(captures, spec)
     stores = reconcile.first_page_wins(links.link_stores(found, spec))
     return prices.attach_units(stores, prices.price_units(captures))
 
 
 def link_locations_report(captures: DataFrame, spec: SiteSpec) -> DataFrame:
-    found = links.state_page_links(captures, links.state_pages(captures, spec))
+    found = _indexed_links(captures, spec)
     stores = reconcile.first_page_wins(links.link_stores(found, spec))
     return reports.locations_v1(prices.attach_summary(stores, prices.price_summary(captures)))
 
 
 def link_locations(captures: DataFrame, spec: SiteSpec, fetch_addresses: bool = False) -> DataFrame:
     """The link-only location list; ``fetch_addresses`` looks up missing ones on facility pages."""
-    found = links.state_page_links(captures, links.state_pages(captures, spec))
+    found = _indexed_links(captures, spec)
     locations = links.locations_from_links(links.first_label_per_url(links.facility_links(found, spec)), spec)
     return details.fill_addresses(locations, captures) if fetch_addresses else locations

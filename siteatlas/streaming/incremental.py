@@ -1,9 +1,9 @@
-"""The same builds over captures as they land: file streams with an idempotent batch sink.
+"""The same builds over captures as they land: file streams whose state is keyed by page.
 
-First-wins order inside a batch needs a ranking that a stream itself refuses, so every batch is
-processed as an ordinary table. Each batch writes its own ``batch_id=`` folder; a batch that is run again after a failure
-replaces what it wrote before. First-wins between batches is decided when the output is read, so the result is the same
-however the captures were cut into batches, also when a lost checkpoint makes all of them run again.
+Pages are captured again and again, and of a page only the latest capture counts. So what a batch keeps is one narrow row for each page that
+landed, with its time and what it showed; the state is the row of the latest capture of every page, whichever batch brought it, and a
+store that only an older capture showed is gone with it. The result is the same however the captures were cut into
+batches, also when a lost checkpoint makes all of them run again. Batches are kept as ``segments``.
 """
 
 from __future__ import annotations
@@ -16,19 +16,21 @@ from pyspark.sql import types as T
 
 from siteatlas.operators import details, reconcile
 from siteatlas.plans import catalogs
-from siteatlas.schema import CAPTURES, ORDER_FIELDS, STORE_FIELDS
+from siteatlas.schema import CAPTURES, STORE_FIELDS
 from siteatlas.session import persist_reliably
-from siteatlas.sources.captures import of_kind
+from siteatlas.sources.captures import latest_versions, of_kind
+from siteatlas.sources.seeds import search_pages
 from siteatlas.spec import SiteSpec
+from siteatlas.streaming.segments import Segments
 
-_FOUND = T.StructType(
-    [T.StructField(name, T.StringType()) for name in STORE_FIELDS]
-    + [
-        T.StructField("source_rank", T.IntegerType()),
-        T.StructField("page_rank", T.LongType()),
+_SHOWN = T.StructType([T.StructField("pos", T.IntegerType())] + [T.StructField(name, T.StringType()) for name in STORE_FIELDS])
+_PAGES = T.StructType(
+    [
         T.StructField("page_url", T.StringType()),
-        T.StructField("pos", T.IntegerType()),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("page_rank", T.LongType()),
+        T.StructField("fetched_at", T.TimestampType()),
+        T.StructField("capture_id", T.LongType()),
+        T.StructField("stores", T.ArrayType(_SHOWN)),
     ]
 )
 _DETAILS = T.StructType(
@@ -37,10 +39,7 @@ _DETAILS = T.StructType(
         T.StructField("capture_id", T.LongType()),
         T.StructField("fetched_at", T.TimestampType()),
         T.StructField("page_ok", T.BooleanType()),
-        T.StructField(
-            "details", T.StructType([T.StructField(n, T.StringType()) for n in details.DETAIL_FIELDS])
-        ),
-        T.StructField("batch_id", T.LongType()),
+        T.StructField("details", T.StructType([T.StructField(n, T.StringType()) for n in details.DETAIL_FIELDS])),
     ]
 )
 
@@ -52,19 +51,6 @@ def capture_stream(spark: SparkSession, path: str, max_files: int | None = None)
     return reader.parquet(path)
 
 
-def _batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
-
-
-def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def _prepare(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """An empty batch in front of all others, so that the output can always be read."""
-    _write_batch(spark.createDataFrame([], schema).drop("batch_id"), path, -1)
-
-
 def _run(captures: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> None:
     query = (
         captures.writeStream.foreachBatch(on_batch)
@@ -75,6 +61,16 @@ def _run(captures: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, in
     query.awaitTermination()
 
 
+def _latest_pages(pages: DataFrame) -> DataFrame:
+    """Of every page the row of its latest capture. A page may have come to another rank in the list of seeds; its latest row has the newest."""
+    last = pages.groupBy("page_url").agg(F.max_by(F.struct("page_rank", "fetched_at", "capture_id", "stores"), F.struct("fetched_at", "capture_id")).alias("_last"))
+    return last.select("page_url", "_last.*")
+
+
+def _found(spark: SparkSession, output: str) -> Segments:
+    return Segments(spark, output, _PAGES, _latest_pages)
+
+
 def find_new_stores(
     captures: DataFrame,
     seeds: DataFrame,
@@ -83,49 +79,64 @@ def find_new_stores(
     output: str,
     checkpoint: str,
 ) -> None:
-    """Process the search pages landed since the last run; add stores nobody knew to ``output``."""
-
-    _prepare(captures.sparkSession, output, _FOUND)
+    """Process the search pages landed since the last run: ``output`` keeps for every page the stores on its latest capture that nobody knew."""
+    state = _found(captures.sparkSession, output)
 
     def on_batch(landed: DataFrame, batch_id: int) -> None:
+        if state.has(checkpoint, batch_id):
+            return
         # The candidates are used twice, so the batch's pages are read once and the narrow result is kept.
-        found = persist_reliably(reconcile.first_wins(catalogs.sweep(landed, seeds, spec)))
+        found = persist_reliably(catalogs.sweep(landed, seeds, spec).select("page_url", "pos", *STORE_FIELDS))
         new = reconcile.not_known_few(found, known)
-        earlier = _batches(landed.sparkSession, output, _FOUND).filter(F.col("batch_id") < batch_id)
-        earlier = earlier.join(found.select("store_id"), "store_id", "left_semi")
-        order = F.struct(*ORDER_FIELDS)
-        earlier = earlier.groupBy("store_id").agg(F.min(order).alias("_before"))
-        better = new.join(earlier, "store_id", "left").filter(F.col("_before").isNull() | (order < F.col("_before")))
-        _write_batch(better.select(*[f.name for f in _FOUND if f.name != "batch_id"]), output, batch_id)
+        shown = new.groupBy("page_url").agg(F.sort_array(F.collect_list(F.struct("pos", *STORE_FIELDS))).alias("stores"))
+        pages = search_pages(seeds, spec).select("url", "page_rank").join(latest_versions(of_kind(landed, "search", strict=False), "fetched_at"), "url")
+        pages = pages.withColumnRenamed("url", "page_url").join(shown, "page_url", "left")
+        state.add(pages.withColumn("stores", F.coalesce("stores", F.array().cast(_PAGES["stores"].dataType))), checkpoint, batch_id)
 
     _run(captures, checkpoint, on_batch)
 
 
 def read_new_stores(spark: SparkSession, output: str) -> DataFrame:
-    """Every store found so far once, as first in discovery order."""
-    return reconcile.first_wins(_batches(spark, output, _FOUND).drop("batch_id"))
+    """Every store on the pages' latest captures once, as first in discovery order."""
+    shown = _found(spark, output).read().select("page_rank", "page_url", F.inline("stores"))
+    return reconcile.first_wins(shown.withColumn("source_rank", F.lit(catalogs.SEARCH)))
+
+
+def _deciding(rows: DataFrame) -> DataFrame:
+    """Of every page the captures that decide what it says: the first that gave a site number, and the last that could be read."""
+    at = F.struct("fetched_at", "capture_id")
+    row = F.struct("capture_id", "fetched_at", "page_ok", "details")
+    done = F.col("page_ok") & details.has_site_number("details")
+    first, last = F.min_by(F.when(done, row), F.when(done, at)), F.max_by(F.when(F.col("page_ok"), row), F.when(F.col("page_ok"), at))
+    kept = rows.groupBy("url").agg(F.array_distinct(F.array_compact(F.array(first, last))).alias("kept"))
+    return kept.select("url", F.inline("kept"))
+
+
+def _collected(spark: SparkSession, output: str) -> Segments:
+    return Segments(spark, output, _DETAILS, _deciding)
 
 
 def collect_details(
     captures: DataFrame, stores: DataFrame, spec: SiteSpec, output: str, checkpoint: str
 ) -> None:
-    """Read the facility pages landed since the last run; what is written are narrow rows of stores the catalog has open.
+    """Read the facility pages landed since the last run; what is kept are narrow rows of stores the catalog has open.
 
     Progress is saved per batch, so an interrupted run resumes after the last finished batch. Pages that land after a store
     was done are told apart when the output is read.
     """
-
-    _prepare(captures.sparkSession, output, _DETAILS)
+    state = _collected(captures.sparkSession, output)
     todo = details.needs_details(stores).select("url").filter("url IS NOT NULL").distinct()
 
     def on_batch(landed: DataFrame, batch_id: int) -> None:
+        if state.has(checkpoint, batch_id):
+            return
         found = details.page_details(of_kind(landed, "facility", strict=False), spec)
-        _write_batch(found.join(todo, "url", "left_semi"), output, batch_id)
+        state.add(found.join(todo, "url", "left_semi"), checkpoint, batch_id)
 
     _run(captures, checkpoint, on_batch)
 
 
 def read_enriched(spark: SparkSession, stores: DataFrame, output: str, base_url: str | None = None) -> DataFrame:
     """The catalog with all details collected so far: a store is done with the first page that gave its site number."""
-    collected = _batches(spark, output, _DETAILS).drop("batch_id").distinct()
+    collected = _collected(spark, output).read()
     return details.merge_details(stores, details.details_until_done(collected), base_url)

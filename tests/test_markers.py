@@ -135,3 +135,21 @@ def test_a_failed_index_is_an_error(make_captures, spec):
     captures = make_captures(("index", "i", "<a href='/site-map-states-tx'>"), ("index", "i", "", 503))
     with pytest.raises(Exception, match="index page failed: i"):
         links.state_pages(captures, spec).collect()
+
+
+@pytest.mark.parametrize("index", [[("index", "i", "", 503)], [], [("index", "i", "<a href='/site-map-states-tx'>"), ("index", "i", "", 404)]])
+def test_site_down_is_always_an_error(spark, make_captures, spec, index):
+    """Nothing but a failed index, or none: the empty inputs must not take the check out of the plan."""
+    from siteatlas.plans import catalogs
+
+    captures = make_captures(*index, ("price", "p", "{}", 500, 0))
+    zips = spark.createDataFrame([(0, "01001")], "seed_rank long, zip string")
+    for _ in range(2):
+        for build in (
+            lambda: catalogs.daily_locations_report(captures, zips, spec),
+            lambda: catalogs.daily_catalog(captures, zips, spec),
+            lambda: catalogs.link_locations_report(captures, spec),
+            lambda: catalogs.link_locations(captures, spec, fetch_addresses=True),
+        ):
+            with pytest.raises(Exception, match="index page failed: i" if index else "no index page"):
+                build().count()

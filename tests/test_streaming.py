@@ -1,11 +1,16 @@
 """Incremental builds: split input, repeated runs, repeated batches."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siteatlas import fixtures as fx
 from siteatlas.plans import catalogs
 from siteatlas.session import new_work_dir
-from siteatlas.streaming import incremental
+from siteatlas.sources import published
+from siteatlas.streaming import incremental, segments
 from tests.conftest import SF
 
 
@@ -29,9 +34,6 @@ def test_new_stores_over_many_small_batches(spark):
     incremental.find_new_stores(stream, seeds, known, fx.SPEC, output, checkpoint)
     expected = rows(catalogs.found_new(captures, seeds, known, fx.SPEC))
     assert rows(incremental.read_new_stores(spark, output)) == expected
-    batches = spark.read.option("basePath", output).parquet(output).select("batch_id").distinct().count()
-    assert batches >= 2
-
     # Nothing new landed: nothing changes.
     incremental.find_new_stores(incremental.capture_stream(spark, landing, 1), seeds, known, fx.SPEC, output, checkpoint)
     assert rows(incremental.read_new_stores(spark, output)) == expected
@@ -71,3 +73,57 @@ def test_enrichment_resumes_and_skips_what_is_done(spark):
     assert run() == before
     checkpoint = new_work_dir(spark, "checkpoint")
     assert run() == before
+
+
+def page(spec, zip_code, *store_ids):
+    markers = "".join(f"""<input class="{spec.marker_class}" value='{{"storeID":"{i}","content":{{"plpLink":"/s/{i}"}}}}'>""" for i in store_ids)
+    return "search", spec.search_template.format(zip_code), markers
+
+
+def test_a_page_captured_again_withdraws_what_it_no_longer_shows(spark, spec, make_captures):
+    """However the captures are cut into batches: as one batch, as the batch build."""
+    seeds = spark.createDataFrame([(0, "01"), (1, "02"), (2, "03")], "seed_rank long, zip string")
+    known = spark.createDataFrame([("9",)], "store_id string")
+    captures = make_captures(
+        page(spec, "01", "1", "5", "9"), page(spec, "02", "1", "3"), page(spec, "03", "7"), page(spec, "01", "2"), page(spec, "03", "8"), (*page(spec, "02")[:2], "", 500), page(spec, "02", "3", "4", "4")
+    ).withColumn("fetched_at", F.timestamp_seconds(F.col("capture_id")))
+    expected = rows(catalogs.found_new(captures, seeds, known, spec))
+    assert [r[0] for r in expected] == ["2", "3", "4", "8"]
+    for cut in ([7], [1] * 7, [3, 4], [4, 2, 1], "backwards"):
+        landing, output, checkpoint = (new_work_dir(spark, n) for n in ("landing", "found", "checkpoint"))
+        parts = [1] * 7 if cut == "backwards" else cut
+        low = 0
+        for size in parts:
+            ids = range(low, low + size)
+            ids = [6 - i for i in ids] if cut == "backwards" else list(ids)
+            captures.filter(F.col("capture_id").isin(ids)).coalesce(1).write.mode("append").parquet(landing)
+            low += size
+            incremental.find_new_stores(incremental.capture_stream(spark, landing), seeds, known, spec, output, checkpoint)
+        assert rows(incremental.read_new_stores(spark, output)) == expected, cut
+        folders = published.state(spark, output)["folders"]
+        assert len(folders) < 4 + len(parts) // 4
+
+
+def test_segments_are_merged_and_a_batch_counts_once(spark):
+    path = new_work_dir(spark, "segments")
+    newest = lambda d: d.groupBy("k").agg(F.max("v").alias("v"))
+    state = segments.Segments(spark, path, T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())]), newest)
+    assert state.read().count() == 0
+    for batch in range(22):
+        made = spark.range(5).select(F.col("id").alias("k"), F.lit(batch).cast("long").alias("v"))
+        state.add(made, "a", batch)
+        state.add(made.withColumn("v", F.lit(99).cast("long")), "a", batch)  # the same batch again
+        now = published.state(spark, path)
+        assert len(now["segments"]) <= 2 * (segments.FAN - 1) + 1
+    assert sorted(map(tuple, state.read().collect())) == [(k, 21) for k in range(5)]
+    on_disk = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith(("_batch", "_level"))]
+    assert len(on_disk) <= 12
+
+
+def test_a_failed_batch_changes_nothing(spark):
+    path = new_work_dir(spark, "segments")
+    state = segments.Segments(spark, path, T.StructType([T.StructField("k", T.LongType())]), lambda d: d.distinct())
+    state.add(spark.range(3).withColumnRenamed("id", "k"), "a", 0)
+    with pytest.raises(Exception, match="broken"):
+        state.add(spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("k")), "a", 1)
+    assert state.read().count() == 3 and not state.has("a", 1)
