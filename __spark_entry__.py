@@ -18,9 +18,9 @@ from siteatlas.operators import details, links, markers, ordering, prices, recon
 from siteatlas.plans import catalogs  # noqa: E402
 from siteatlas.schema import ORDER_FIELDS, STORE_FIELDS  # noqa: E402
 from siteatlas.session import new_work_dir  # noqa: E402
-from siteatlas.sources import catalog, seeds  # noqa: E402
+from siteatlas.sources import catalog, runs, seeds  # noqa: E402
 from siteatlas.sources.captures import of_kind, only_latest  # noqa: E402
-from siteatlas.streaming import incremental  # noqa: E402
+from siteatlas.streaming import incremental, price_state  # noqa: E402
 
 # The text operators and the pipeline built on them; the library works without them.
 LLM = []
@@ -289,6 +289,16 @@ def catalog_roundtrip(spark, sf_dir):
     return catalog.with_missing_fields(again, STORE_FIELDS)
 
 
+def catalog_publish(spark, sf_dir):
+    """The known catalog, the gap build read off it and written over it, then read again."""
+    path = new_work_dir(spark, "published")
+    catalog.write_catalog(fx.known_catalog(spark, sf_dir), path)
+    known = catalog.read_catalog(spark, path, schema=fx.known_catalog(spark, sf_dir).schema)
+    merged = catalogs.gap_catalog(fx.captures(spark, sf_dir, "search", "price"), fx.seeds(spark, sf_dir), known, SPEC)
+    catalog.write_catalog(merged, path)
+    return catalog.read_catalog(spark, path).select(*STORE_FIELDS, F.size("units").cast("long").alias("n_units"))
+
+
 def catalog_from_array(spark, sf_dir):
     """Catalog files that each hold one JSON array, of at most 1000 customers."""
     stores = fx.partly_enriched(spark, sf_dir)
@@ -305,6 +315,44 @@ def seeds_from_file(spark, sf_dir):
     return seeds.distinct_seeds(seeds.read_seeds(spark, path))
 
 
+def seeds_from_list(spark, sf_dir):
+    """A plain list of zips in the order of their ranks, as several files."""
+    path = new_work_dir(spark, "list")
+    fx.seeds(spark, sf_dir).repartitionByRange(3, "seed_rank").sortWithinPartitions("seed_rank").select("zip").write.text(path)
+    return seeds.distinct_seeds(seeds.read_seed_list(spark, path))
+
+
+# ---- runs ------------------------------------------------------------------------------------------------
+
+
+def _landed(spark, sf_dir):
+    """The fixture's captures as two runs: what was captured before, then the latest."""
+    path, before = new_work_dir(spark, "runs"), F.col("capture_id") < 0
+    captures = fx.captures(spark, sf_dir, "index", "sitemap", "search").union()
+    for run in (captures.filter(before), captures.filter(~before)):
+        runs.land(run, path)
+    return path
+
+
+def daily_report_over_runs(spark, sf_dir):
+    """The daily report off the runs that hold latest captures, with prices folded run by run."""
+    current = runs.read_current(spark, _landed(spark, sf_dir))
+    stores = catalogs.discovered(current, fx.seeds(spark, sf_dir), SPEC)
+    return reports.locations_v2(prices.attach_summary(stores, price_state.price_summary(spark, _folded(spark, sf_dir))))
+
+
+def _folded(spark, sf_dir):
+    path, captures = new_work_dir(spark, "prices"), fx.captures(spark, sf_dir, "price")
+    for run, part in enumerate((F.col("capture_id") % 2 == 0, F.col("capture_id") % 2 != 0)):
+        price_state.fold(captures.filter(part), path, "fixture", run)
+    return path
+
+
+def price_units_over_runs(spark, sf_dir):
+    found = price_state.price_units(spark, _folded(spark, sf_dir))
+    return found.select("store_id", F.posexplode("units").alias("unit_pos", "unit")).select("store_id", "unit_pos", "unit.*")
+
+
 # ---- streaming -------------------------------------------------------------------------------------------
 
 
@@ -381,7 +429,11 @@ _QUERIES = (
     facility_page_address,
     catalog_roundtrip,
     catalog_from_array,
+    catalog_publish,
     seeds_from_file,
+    seeds_from_list,
+    daily_report_over_runs,
+    price_units_over_runs,
     catalog_in_order,
     nothing_new_merge,
     stream_new_stores,
