@@ -13,7 +13,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
     # edges point from the larger to the smaller end (a > b)
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    joined = both.join(least, "a")
+    # dealt anew, or the join would take over how the aggregate was dealt, and Spark could not split the vertex with most neighbours
+    joined = both.join(least.hint("rebalance"), "a")
     if large:
         return joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

@@ -12,9 +12,10 @@ How the matrix is built and searched at scale:
   become matrix cells (token, group), with ``l`` a tenth of the set. A document with too few shared leading tokens has no
   partner, and a group with too few of a query's is not opened.
 * A document joins the group of its most shared leading token; a group that would exceed ``GROUP_SIZE`` is split by
-  hash. Groups are opened on themselves, then split groups against the first part of their token, and what is connected by
-  then is not compared again. The last step takes every document whose leading tokens meet a group that
-  holds another component, with all of its tokens: nothing is capped.
+  hash, sets of many tokens taking several places. Groups are opened on themselves, then split groups against the first part of
+  their token, and what is connected by then is not compared again. The last step takes every document whose leading tokens meet a
+  group that holds another component, with all of its tokens: nothing is capped. A component that fills more than a group is
+  met as a whole first, by the union of all its tokens, before any document asks one of its groups.
 
 Null and empty texts have no tokens and link with nothing. Rows with one id (repeated rows too) count as linked. Rows with a null
 id are returned with a null component and link with nothing. Only the id and text columns are read.
@@ -33,7 +34,7 @@ from siteatlas.llm import bitmap, graph, words
 from siteatlas.session import persist_reliably
 
 GROUP_SIZE = 48  # documents in a group, about
-GROUP_TOKENS = 20_000  # a larger set is a group of its own
+GROUP_TOKENS = 20_000  # a set of more tokens takes the place of several
 QUERY_BLOCK = 64
 LEAD = 10  # one in so many tokens must be shared among the leading ones
 PAIR_LEAD = 40  # the same where documents meet groups, by fewer leading tokens
@@ -215,7 +216,8 @@ def _open(percent: int):
         inside = union[at] == q_tokens
         q_owner = words.owner(q_bounds)
         bound = np.bincount(q_owner[inside], minlength=len(q_n))
-        inside &= (bound >= _needed(q_n, percent))[q_owner]  # only queries that qualify open the group
+        least = np.maximum(_needed(q_n, percent), m_n.min(initial=0))  # of a partner's tokens
+        inside &= (bound * (100 + percent) >= (q_n + least) * percent)[q_owner]  # only queries that qualify open the group
         at, q_owner = at[inside], q_owner[inside]
         width = starts[at + 1] - starts[at]
         done, found = 0, []
@@ -306,25 +308,24 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     best = cells.groupBy("id", "n").agg(F.max(F.struct("df", "token")).alias("best"), F.count("*").alias("have"))
     best = best.filter(F.col("have") >= F.least(least, "n"))
-    parts = F.ceil(F.col("best.df") / GROUP_SIZE)
-    part = F.when(F.col("n") > GROUP_TOKENS, F.col("id")).otherwise(F.pmod(F.xxhash64("id"), parts))
-    small = F.col("n") <= GROUP_TOKENS
-    placed = best.select("id", "n", F.col("best.token").alias("own_token"), part.alias("part"), small.alias("small"), (small & (parts > 1)).alias("split"))
-    placed = placed.withColumn("grp", F.xxhash64("own_token", "part", "small"))
+    places = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), F.ceil(F.log2(F.col("n") / GROUP_TOKENS)))).cast("long")
+    parts = F.ceil(F.col("best.df") * places / GROUP_SIZE)
+    part = F.pmod(F.xxhash64("id"), parts)
+    placed = best.select("id", "n", F.col("best.token").alias("own_token"), part.alias("part"), places.alias("places"), (parts > 1).alias("split"))
+    placed = placed.withColumns({"own": F.xxhash64("own_token", "places"), "grp": F.xxhash64("own_token", "places", "part")})
     mates = placed.groupBy("grp").agg((F.count("*") > 1).alias("mates"))
     placed = persist_reliably(placed.join(mates, "grp"))
     wanted = spark.sparkContext.broadcast(bitmap.build(placed, _mixed("id")))
     tokens = texts.mapInArrow(*_full(k, classes, wanted)).join(placed, "id").dropDuplicates(["id"])
     tokens = persist_reliably(tokens)
 
-    # groups on themselves, and the parts of a split group against its first part
+    # groups on themselves, and the parts of a split group against its first ones, which hold GROUP_SIZE documents in all
     own = tokens.filter("mates").select("grp", F.lit(0).cast("long").alias("block"), F.lit(False).alias("query"), "id", "tokens")
-    hubs = tokens.filter("split and part = 0").select("own_token", "grp", "id", "tokens")
-    parts = tokens.filter("split and part > 0").select("own_token", F.col("part").alias("block")).distinct()
-    hub_members = hubs.join(parts, "own_token").select("grp", "block", F.lit(False).alias("query"), "id", "tokens")
-    hub_groups = hubs.select("own_token", "grp").distinct()
-    hub_queries = tokens.filter("split and part > 0").drop("grp").join(hub_groups, "own_token")
-    hub_queries = hub_queries.select("grp", F.col("part").alias("block"), F.lit(True).alias("query"), "id", "tokens")
+    hubs = tokens.filter(f"split and part < least(places, {GROUP_SIZE})").select("own", "grp", F.col("part").alias("hub"), "id", "tokens")
+    asking = tokens.filter("split and part > 0").select("own", F.col("part").alias("block"), "id", "tokens")
+    hub_members = hubs.join(asking.select("own", "block").distinct(), "own").filter("block > hub").select("grp", "block", F.lit(False).alias("query"), "id", "tokens")
+    hub_groups = hubs.select("own", "grp", "hub").distinct()
+    hub_queries = asking.join(hub_groups, "own").filter("block > hub").select("grp", "block", F.lit(True).alias("query"), "id", "tokens")
     first = own.unionAll(hub_members).unionAll(hub_queries)
     first = persist_reliably(first.groupBy("grp", "block").applyInArrow(*_open(percent)))
     settled = graph.components(first)
@@ -351,19 +352,30 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # two sets over the threshold also share a few of still fewer leading tokens
     leads = f"at < {{n}} - ({percent} * {{n}} + 99) div 100 + {{n}} div {PAIR_LEAD} + 1"
     asks = unsettled_asks.filter(leads.format(n="q_n"))
-    matrix = unsettled.filter(leads.format(n="n")).groupBy("token", "grp", "own_token").agg(*extent).join(boxes, "grp")
-    pairs = asks.join(matrix, "token").filter(fits & (F.col("q_own") != F.col("own_token")))
+    met = unsettled.filter(leads.format(n="n"))
     q_least = F.expr(f"least(({percent} * q_n + 99) div 100 div {PAIR_LEAD} + 1, q_n)")
     asked = ["grp", "q", "q_n", "q0", "q1"]
-    pairs = pairs.groupBy(*asked).agg(F.count("*").alias("have")).filter(F.col("have") >= q_least).select(*asked)
-    # the groups of one token meet through that token alone, not through all that they share
-    groups = unsettled.filter("token = own_token").groupBy("own_token", "grp").agg(*extent).join(boxes, "grp")
-    kin = unsettled_asks.filter("token = q_own").join(groups, F.col("q_own") == F.col("own_token")).filter(fits).select(*asked)
+
+    def meetings(asks, met, own_asks, own, *also):
+        """Groups and the documents that ask them: of other tokens by what they share, groups of one token through that token alone."""
+        matrix = met.groupBy("token", "grp", "own_token", *also).agg(*extent).join(boxes, "grp")
+        pairs = asks.join(matrix, ["token", *also]).filter(fits & (F.col("q_own") != F.col("own_token")))
+        pairs = pairs.groupBy(*asked).agg(F.count("*").alias("have")).filter(F.col("have") >= q_least).select(*asked)
+        groups = own.groupBy("own_token", "grp", *also).agg(*extent).join(boxes, "grp")
+        kin = own_asks.join(groups.withColumnRenamed("own_token", "q_own"), ["q_own", *also]).filter(fits)
+        return pairs.unionAll(kin.select(*asked))
+
+    own_asks, own = unsettled_asks.filter("token = q_own"), unsettled.filter("token = own_token")
+    family = F.col("comp.less") < -GROUP_SIZE
+    pairs = meetings(asks, met.filter(~family), own_asks, own.filter(~family))
+    near_families = _near_families(asks, met.filter(family), of, tokens, percent, q_least)
+    if near_families is not None:
+        pairs = pairs.unionAll(meetings(asks.join(near_families, "q"), met.filter(family), own_asks.join(near_families, "q"), own.filter(family), "comp"))
     # the same bound with each member, before any set is sent
     members = tokens.select(F.col("grp").alias("m_grp"), F.col("n").alias("m_n"), *_packed(_PART_NAMES, "m"))
     apart = " + ".join(f"abs({_unpacked('m', k)} - {_unpacked('q', k)})" for k in range(PARTS))
     near = F.expr(f"grp = m_grp AND ({apart}) * {100 + percent} <= (q_n + m_n) * {100 - percent}")
-    pairs = persist_reliably(pairs.unionAll(kin).join(members, near, "left_semi").select("grp", "q"))
+    pairs = persist_reliably(pairs.join(members, near, "left_semi").select("grp", "q").distinct())
     blocks = persist_reliably(pairs.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")))
     # bitmaps keep sets that are not asked for out of the joins
     members = tokens.filter(bitmap.test(spark, bitmap.build(blocks, F.col("grp")), F.col("grp"))).select("grp", "id", "tokens").join(blocks, "grp")
@@ -384,6 +396,48 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def _near_families(asks: DataFrame, met: DataFrame, of: DataFrame, tokens: DataFrame, percent: int, q_least) -> DataFrame | None:
+    """(q, comp): documents and components of more than a group's size that may be linked, by the component's token union.
+
+    A family of near copies fills many groups, so its union is looked at once for the whole family: a document that holds too few of its tokens
+    for a link with the smallest member asks none of the groups. None where there is no such pair.
+    """
+    sizes = met.groupBy("token", "comp").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    fits = (F.col("q_comp") > F.col("comp")) & (F.col("n_max") * 100 >= F.col("q_n") * percent) & (F.col("q_n") * 100 >= F.col("n_min") * percent)
+    pairs = asks.join(sizes, "token").filter(fits).groupBy("q", "q_n", "comp").agg(F.count("*").alias("have"), F.min("n_min").alias("n_min"))
+    # a partner has at least the size that the document needs
+    smallest = F.greatest("n_min", F.expr(f"({percent} * q_n + 99) div 100"))
+    pairs = persist_reliably(pairs.filter(F.col("have") >= q_least).select("q", "comp", F.ceil((F.col("q_n") + smallest) * percent / (100 + percent)).alias("needed")))
+    if pairs.isEmpty():
+        return None
+    comps, asking = pairs.select("comp").distinct(), pairs.select(F.col("q").alias("id")).distinct()
+    members = tokens.select("id", "tokens").join(of, "id").join(comps, "comp", "left_semi")
+    union = members.select(F.col("comp.component").alias("key"), "tokens").mapInArrow(*_exploded(distinct=True)).distinct()
+    held = tokens.select("id", "tokens").join(asking, "id", "left_semi").select(F.col("id").alias("key"), "tokens").mapInArrow(*_exploded(distinct=False))
+    held = pairs.select(F.col("q").alias("key"), F.col("comp.component").alias("of"), "comp", "needed").join(held, "key")
+    held = held.join(union.withColumnRenamed("key", "of"), ["of", "token"])
+    enough = held.groupBy("key", "comp", "needed").agg(F.count("*").alias("overlap")).filter("overlap >= needed")
+    return persist_reliably(enough.select(F.col("key").alias("q"), "comp"))
+
+
+def _exploded(distinct: bool):
+    """(key, token) of packed sets; ``distinct`` leaves out what a task has just sent for the key."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = batch.column(1).to_pylist()
+            token = np.frombuffer(b"".join(sets), np.int64)
+            key = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in sets])
+            if distinct and len(key):
+                order = np.lexsort((token, key))
+                key, token = key[order], token[order]
+                new = np.append(True, (key[1:] != key[:-1]) | (token[1:] != token[:-1]))
+                key, token = key[new], token[new]
+            yield pa.record_batch([key, token], names=["key", "token"])
+
+    return over, "key long, token long"
+
+
 def _by_text(texts: DataFrame, several: DataFrame, k: int, percent: int) -> DataFrame:
     """``components`` of (id, text) where the ids in ``several`` have different texts: each of these is a document of its own, linked with the id."""
     several = several.select(F.col("id").alias("of"))

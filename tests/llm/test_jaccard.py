@@ -105,3 +105,36 @@ def test_components(spark):
             parent[a] = parent[b] = min(parent[a], parent[b])
     linked = {v for a, b in edges if a != b for v in (a, b)}
     assert found == {v: parent[v] for v in linked}
+
+
+def copies(n, words, places, seed):
+    """Near copies of one text, each with one word changed in one of some places."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    out = []
+    for i in range(n):
+        copy = list(base)
+        copy[words * (i % places) // places + 2] = f"x{rng.randrange(10**9)}"
+        out.append((i, " ".join(copy)))
+    return out
+
+
+@pytest.mark.parametrize("places, words, group_tokens", [(4, 80, 20_000), (4, 80, 20), (1, 300, 20)])
+def test_pairs_grow_with_a_family_and_not_with_its_square(spark, monkeypatch, places, words, group_tokens):
+    monkeypatch.setattr(jaccard, "GROUP_SIZE", 16)
+    monkeypatch.setattr(jaccard, "GROUP_TOKENS", group_tokens)
+    pairs = []
+    keep = jaccard.persist_reliably
+
+    def counting(frame):
+        kept = keep(frame)
+        if kept.columns == ["grp", "q"]:
+            pairs[-1] += kept.count()
+        return kept
+
+    monkeypatch.setattr(jaccard, "persist_reliably", counting)
+    for n in (120, 240):
+        pairs.append(0)
+        rows = copies(n, words, places, n)
+        assert run(spark, rows) == brute(rows, 3, 90)
+    assert pairs[1] <= 2.5 * max(pairs[0], 20), pairs
