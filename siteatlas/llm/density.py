@@ -1,10 +1,15 @@
 """Main text of a page by composite text density.
 
-For every element of the page's tree: characters per tag, scaled down by the share of its characters and tags that are links. An element's
-density sum adds the densities of its children and of its own text. The element with the largest sum holds the article; the
-least density on the way from it to the body is the threshold, and in every subtree that reaches it the element with the largest sum is
-content. Elements that are never article text (menus, scripts, ...) leave the tree first. Forms, and elements with a class or id that names
-what is not the article, leave it unless they hold the article or most of the page's text (``_leave_out``).
+For every element of the page's tree: characters per tag, scaled down by the share of its characters and tags that are links. Elements that only
+format a few words of a line are no tags of this count. An element's density sum adds the densities of its children and of its own text. The
+element with the largest sum is the article. The least density and the least sum on the way from it to the body are thresholds:
+in every other subtree that reaches the density, the element with the largest sum is content too if it reaches the sum, so an article in
+several parts is whole, and a line of text that stands alone, however dense, is not part of it.
+
+Scripts, menus and the like leave the tree first. Names of classes and ids are only asked about what density cannot tell: text that is not the
+article's although it is laid out like it, such as a comment inside it. Forms, and elements so named, leave the tree unless they
+hold the article or most of the page's text (``_leave_out``); and of two elements on one path that hold the same text within an article or main
+element, this one is taken.
 """
 
 from __future__ import annotations
@@ -36,6 +41,11 @@ ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# Elements that format words inside a line.
+FORMAT = frozenset(
+    {"abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span"}
+    | {"strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+)
 ENDS_P = BLOCK - {"body", "html", "caption", "tbody", "thead", "tfoot", "tr", "td", "th", "option", "legend"}
 # Elements, roles and words of class or id that mark what is not the article.
 NOT_ARTICLE = frozenset(
@@ -52,6 +62,8 @@ ARTICLE = frozenset({"article", "main"})
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=$|[\s/])""", re.I)
+_COMMENT_END = re.compile("-?>")
+_COMMENT_END_LATER = re.compile("--!?>")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
 
@@ -89,18 +101,20 @@ def parse(html: str) -> _Node:
     """The page's tree. Broken markup is read on: unknown end tags are dropped, open elements end where an outer one ends."""
     root = _Node("html", None, False)
     open_, at, size = [root], 0, len(html)
+    places = {}  # of every tag the places of its open elements
 
     def text(raw: str) -> None:
         if raw and not open_[-1].skip:
             open_[-1].children.append(raw)
 
+    def last(tags) -> int:
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
+
     def close(tags, limits=frozenset()) -> None:
-        for i in range(len(open_) - 1, 0, -1):
-            if open_[i].tag in tags:
-                del open_[i:]
-                return
-            if open_[i].tag in limits:
-                return
+        at = last(tags)
+        if at > last(limits):
+            while len(open_) > at:
+                places[open_.pop().tag].pop()
 
     while at < size:
         mark = html.find("<", at)
@@ -109,8 +123,8 @@ def parse(html: str) -> _Node:
             break
         text(html[at:mark])
         if html.startswith("<!--", mark):
-            end = html.find("-->", mark + 4)
-            at = end + 3 if end >= 0 else size
+            end = _COMMENT_END.match(html, mark + 4) or _COMMENT_END_LATER.search(html, mark + 4)
+            at = end.end() if end else size
             continue
         if mark + 1 < size and html[mark + 1] in "!?" or html.startswith("</", mark) and not html[mark + 2 : mark + 3].isalpha():
             end = html.find(">", mark)
@@ -129,7 +143,7 @@ def parse(html: str) -> _Node:
         if slash:
             close({tag})
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in open_[1:] if tag == "body") or tag == "html":
+        if tag == "html" or tag == "body" and places.get(tag):
             continue
         if tag in ENDS_P:
             close({"p"}, {"table", "td", "th", "button", "object"})
@@ -144,6 +158,7 @@ def parse(html: str) -> _Node:
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             at = end.start() if end else size
+        places.setdefault(tag, []).append(len(open_))
         open_.append(node)
     return root
 
@@ -203,6 +218,15 @@ def _leave_out(root: _Node) -> None:
             node.skip = True
 
 
+def _density(chars: int, tags: int, link_chars: int, links: int, share: float) -> float:
+    """Characters per tag, less where many of them are links; ``share`` is the page's share of characters in links."""
+    if not chars:
+        return 0.0
+    tags, links, linked = max(tags, 1), max(links, 1), max(link_chars, 1)
+    base = math.log(chars / max(chars - link_chars, 1) * linked + share * chars + math.e)
+    return chars / tags * max(0.0, math.log(chars / linked * tags / links, base))
+
+
 def _measure(root: _Node) -> list[_Node]:
     """Sums over subtrees, children first; returns the elements in page order."""
     _leave_out(root)
@@ -215,42 +239,37 @@ def _measure(root: _Node) -> list[_Node]:
             up = node.parent
             up.chars += node.chars
             up.link_chars += node.link_chars
-            up.tags += node.tags + 1
+            up.tags += node.tags + (node.tag not in FORMAT)
             up.links += node.links + (node.tag == "a")
-    body_share = root.link_chars / max(root.chars, 1)
+    share = root.link_chars / max(root.chars, 1)
     for node in order:
-        if node.chars:
-            tags, links, linked = max(node.tags, 1), max(node.links, 1), max(node.link_chars, 1)
-            base = math.log(node.chars / max(node.chars - node.link_chars, 1) * linked + body_share * node.chars + math.e)
-            node.density = node.chars / tags * max(0.0, math.log(node.chars / linked * tags / links, base))
+        node.density = _density(node.chars, node.tags, node.link_chars, node.links, share)
     for node in order:
-        node.total = float(node.own) + sum(c.density for c in node.children if isinstance(c, _Node) and not c.skip)
+        node.total = _density(node.own, 0, 0, 0, share) + sum(c.density for c in node.children if isinstance(c, _Node) and not c.skip)
     return order
 
 
 def _choose(root: _Node, order: list[_Node]) -> None:
+    """Mark the content: the subtree of the largest sum, and others by the thresholds of its way to the body."""
     best = max(order, key=lambda n: n.total)  # the first of equal ones, so the outer
-    threshold, node = best.density, best
+    density, total, way, node = best.density, best.total, set(), best
     while node is not None:
-        threshold = min(threshold, node.density) if node.chars else threshold
+        if node.parent is not None or node is best or not any(c.tag == "body" for c in way):  # html adds nothing to its body
+            density, total = min(density, node.density), min(total, node.total)
+        way.add(node)
         node = node.parent
-    top = {}  # of every subtree the element with the largest sum
+    top, bottom = {}, {}  # of every subtree the element with the largest sum; whether the subtree holds the best element or is inside it
     for node in reversed(order):
         top[node] = max([node, *(top[c] for c in node.children if isinstance(c, _Node) and not c.skip)], key=lambda n: n.total)
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if node.chars and node.density >= threshold:
+    for node in order:
+        bottom[node] = node is best or bottom.get(node.parent, False)
+        if node not in way and not bottom[node] and node.chars and node.density >= density and top[node].total >= total:
             top[node].content = True
-        stack.extend(c for c in node.children if isinstance(c, _Node) and not c.skip)
-    for node in order:  # an article is taken whole
-        if node.content:
-            up, inside = node, None
-            while up is not None:
-                inside = up if up.tag in ARTICLE else inside
-                up = up.parent
-            if inside is not None:
-                inside.content = True
+    best.content = True
+    while best.parent is not None:  # a tie: an article or main element that holds little else beside it
+        best = best.parent
+        if best.tag in ARTICLE:
+            best.content = True
 
 
 def extract(html: str | None) -> str:

@@ -493,7 +493,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     members = bitmap.build(copies, key)
     sent = spark.sparkContext.broadcast(members)
     grams = long.select(key, "text").mapInArrow(*_held_grams(classes, length, sent))
-    again = long.filter(bitmap.test(spark, members, key)).join(firsts, ["id", "h"], "left_semi").select(key, "text")
+    again = long.filter(bitmap.test(spark, members, key)).join(firsts.hint("merge"), ["id", "h"], "left_semi").select(key, "text")
     grams = grams.unionAll(again.mapInArrow(*_held_grams(classes, length))).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1")
     repeated = spark.sparkContext.broadcast(bitmap.build(grams, F.shiftleft("gram", 64 - _KEPT_BITS), BITMAP_BITS))
     sent.destroy()
@@ -560,7 +560,8 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     i, h, _ = _keys(id_col, text_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), i, h, F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("maybe", _maybe(spans, docs.sparkSession))
-    touched = rows.filter("maybe").join(spans, ["id", "h"], "left").withColumn("kept", _kept_string("text", "spans"))
+    # the join is a shuffle, so that the test and the cut are not two Python functions of one stage; the cut is not made again for the filter
+    touched = rows.filter("maybe").join(spans.hint("merge"), ["id", "h"], "left").withColumn("kept", _kept_string.asNondeterministic()("text", "spans"))
     touched = touched.filter("spans is null or kept <> ''").withColumn("doc", F.col("doc").withField(text_col, F.col("kept")))
     return rows.filter("not maybe").select("doc.*").unionByName(touched.select("doc.*"))
 

@@ -8,7 +8,6 @@ memory is bounded by the longest text and not by the number of rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +22,7 @@ _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _LOW = 1 << 16
 
 
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 2 << 20
 
 
 def bound_arrow_batches(spark: SparkSession) -> None:
@@ -32,8 +31,8 @@ def bound_arrow_batches(spark: SparkSession) -> None:
     Both sides hold a batch more than once, and executors keep several Python workers.
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = re.fullmatch(r"(\d+)b?", spark.conf.get(name))
-    if not now or not 0 < int(now[1]) <= ARROW_BYTES:
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < now <= ARROW_BYTES:
         spark.conf.set(name, f"{ARROW_BYTES}b")
 
 
