@@ -138,6 +138,19 @@ def marker_rejects(spark, sf_dir):
     return markers.marker_rejects(pages, SPEC).drop("raw")
 
 
+def rejects_beside_stores(spark, sf_dir):
+    """The rejects of the state pages, kept by the one reading that also finds the stores."""
+    captures = fx.captures(spark, sf_dir, "index", "sitemap")
+    pages = links.state_pages(captures, SPEC)
+    return markers.stores_and_rejects(captures, "sitemap", pages, SPEC, catalogs.SITEMAP, strict=False)[1].drop("raw", "source_rank")
+
+
+def first_wins_beside_rejects(spark, sf_dir):
+    captures = fx.captures(spark, sf_dir, "index", "sitemap", "search")
+    stores, _ = catalogs.discovered_with_rejects(captures, fx.seeds(spark, sf_dir), SPEC)
+    return _show_page_rank(stores, spark, sf_dir).select("source_rank", "page_rank", *STORE_FIELDS)
+
+
 def first_wins_stores(spark, sf_dir):
     shown = _show_page_rank(_discovered(spark, sf_dir), spark, sf_dir)
     return shown.select("source_rank", "page_rank", *STORE_FIELDS)
@@ -256,6 +269,14 @@ def coverage(spark, sf_dir):
     return reports.coverage(prices.attach_summary(_discovered(spark, sf_dir), prices.price_summary(captures)))
 
 
+def coverage_published(spark, sf_dir):
+    """The coverage counts that the write of the daily catalog took and published with it."""
+    path, stores = new_work_dir(spark, "counted"), _daily(spark, sf_dir)
+    catalog.write_catalog(stores, path, counts=reports.coverage_counts(stores))
+    counts = catalog.read_counts(spark, path)
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
 # ---- details and catalogs --------------------------------------------------------------------------------
 
 
@@ -300,7 +321,7 @@ def catalog_publish(spark, sf_dir):
 
 
 def catalog_from_array(spark, sf_dir):
-    """Catalog files that each hold one JSON array, of at most 1000 customers."""
+    """Catalog files that each hold one JSON array, of at most 1000 customers; a file is cut into pieces for several tasks."""
     stores = fx.partly_enriched(spark, sf_dir)
     path = new_work_dir(spark, "arrays")
     part = F.expr("CAST(store_id AS BIGINT) div 1000").alias("part")
@@ -402,6 +423,8 @@ _QUERIES = (
     locations_total,
     marker_stores,
     marker_rejects,
+    rejects_beside_stores,
+    first_wins_beside_rejects,
     first_wins_stores,
     new_per_state_page,
     seed_distinct,
@@ -423,6 +446,7 @@ _QUERIES = (
     unit_report_v1,
     unit_report_v2,
     coverage,
+    coverage_published,
     facility_details,
     enrich_merge,
     facility_address,

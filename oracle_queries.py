@@ -313,6 +313,9 @@ SELECT store_id, CAST(NULL AS BIGINT) AS n_units FROM st""",
 # The same tables by other ways: published, landed run by run, folded, ranked from a plain list.
 ORACLE |= {
     "catalog_publish": ORACLE["catalog_merge"],
+    "coverage_published": ORACLE["coverage"],
+    "rejects_beside_stores": ORACLE["marker_rejects"],
+    "first_wins_beside_rejects": ORACLE["first_wins_stores"],
     "daily_report_over_runs": ORACLE["locations_v2_report"],
     "price_units_over_runs": ORACLE["price_units"],
     "seeds_from_list": f"WITH {_ST}, {_SEARCH} SELECT seed_zip AS zip, row_number() OVER (ORDER BY seed_rank) - 1 AS seed_rank FROM seed",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siteatlas.functions import html, json, text
 from siteatlas.operators.links import on_pages
+from siteatlas.session import persist_reliably
 from siteatlas.sources.captures import of_kind, only_latest
 from siteatlas.spec import SiteSpec
 
@@ -80,9 +81,12 @@ def marker_rejects(pages: DataFrame, spec: SiteSpec) -> DataFrame:
 
 def page_stores(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
     """Stores on the pages; a bad marker costs only itself, and so does one without an id."""
+    return _as_stores(page_markers(pages, spec, *keep), spec, *keep)
+
+
+def _as_stores(found: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
     return (
-        page_markers(pages, spec, *keep)
-        .filter("reason IS NULL AND store_id <> ''")
+        found.filter("reason IS NULL AND store_id <> ''")
         .select(
             *keep,
             "pos",
@@ -106,3 +110,22 @@ def stores_on_pages(
     stores = page_stores(pages_read, spec, "page_url", "capture_id")
     found = on_pages(stores, pages, of_kind(captures, kind, strict=False))
     return found.withColumn("source_rank", F.lit(source_rank))
+
+
+def stores_and_rejects(
+    captures: DataFrame, kind: str, pages: DataFrame, spec: SiteSpec, source_rank: int, strict: bool
+) -> tuple[DataFrame, DataFrame]:
+    """As ``stores_on_pages``, and beside it the rejected markers of the same captures: source_rank, capture_id, pos, reason, raw.
+
+    Pages are read once for both: the markers, free of bodies and with their raw text only where rejected, are written to the
+    shared folder, so this starts a job.
+    """
+    pages_read = of_kind(captures, kind, strict).withColumnRenamed("url", "page_url")
+    found = page_markers(pages_read, spec, "page_url", "capture_id").withColumns(
+        {"raw": F.when(F.col("reason").isNotNull(), F.col("raw")), "_capture": F.col("capture_id")}
+    )
+    kept = persist_reliably(on_pages(found, pages, of_kind(captures, kind, strict=False)))
+    rank = F.lit(source_rank)
+    stores = _as_stores(kept, spec, "page_url", "page_rank").withColumn("source_rank", rank)
+    rejects = kept.filter("reason IS NOT NULL").select(rank.alias("source_rank"), F.col("_capture").alias("capture_id"), "pos", "reason", "raw")
+    return stores, rejects

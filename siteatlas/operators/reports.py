@@ -115,16 +115,21 @@ def new_store_listing(stores: DataFrame) -> DataFrame:
     )
 
 
-def coverage(stores: DataFrame) -> DataFrame:
-    """All coverage counts of a catalog in one pass."""
+def coverage_counts(stores: DataFrame) -> list[Column]:
+    """The coverage counts as aggregates, for ``coverage`` or for the job that writes the catalog (``write_catalog``)."""
     has_site = text.truthy_text(F.col("site_number"))
-    return stores.agg(
-        F.count("*").alias("total"),
+    return [
+        F.count(F.lit(1)).alias("total"),
         F.count_if(F.coalesce(_summary(stores)["n_units"], F.lit(0)) > 0).alias("with_pricing"),
         F.count_if(has_site).alias("with_site_number"),
         F.count_if(text.truthy_text(F.col("phone"))).alias("with_phone"),
         F.count_if(~has_site).alias("remaining"),
-    )
+    ]
+
+
+def coverage(stores: DataFrame) -> DataFrame:
+    """All coverage counts of a catalog in one pass."""
+    return stores.agg(*coverage_counts(stores))
 
 
 def new_per_page(pages: DataFrame, winners: DataFrame) -> DataFrame:

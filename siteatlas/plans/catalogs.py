@@ -1,4 +1,4 @@
-"""Whole builds: each is one lazy plan from captures to a catalog or report; building it starts no job."""
+"""Whole builds: each is one lazy plan from captures to a catalog or report; building it starts no job, unless its docstring says so."""
 
 from __future__ import annotations
 
@@ -29,6 +29,14 @@ def discovered(captures: DataFrame, seeds: DataFrame, spec: SiteSpec) -> DataFra
     return reconcile.first_wins(links.with_index_check(found, captures))
 
 
+def discovered_with_rejects(captures: DataFrame, seeds: DataFrame, spec: SiteSpec) -> tuple[DataFrame, DataFrame]:
+    """As ``discovered``, and beside it every marker that could not become a store, of state and search pages. Each page is read once for both; reading them starts jobs."""
+    from_states, bad_states = markers.stores_and_rejects(captures, "sitemap", links.state_pages(captures, spec), spec, SITEMAP, strict=False)
+    from_search, bad_search = markers.stores_and_rejects(captures, "search", search_pages(seeds, spec), spec, SEARCH, strict=False)
+    found = links.with_index_check(reconcile.union_all(from_states, from_search), captures)
+    return reconcile.first_wins(found), bad_states.unionAll(bad_search)
+
+
 def daily_catalog(captures: DataFrame, seeds: DataFrame, spec: SiteSpec) -> DataFrame:
     """Discover, reconcile and price: the full scheduled build."""
     return prices.attach_units(discovered(captures, seeds, spec), prices.price_units(captures))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siteatlas.schema import STORES
-from siteatlas.sources import published
+from siteatlas.sources import json_array, published
 
 _FORMATS = {"parquet": ("parquet", {}), "jsonl": ("json", {"ignoreNullFields": False})}
 
@@ -17,8 +17,8 @@ def read_catalog(
 ) -> DataFrame:
     """``file_format``: parquet, jsonl, or json for a file holding one JSON array.
 
-    Of a published catalog (``write_catalog``) the state at this moment is read, whatever is published later. A JSON array cannot be
-    split and is read by one task, so it is only for import at the edge.
+    Of a published catalog (``write_catalog``) the state at this moment is read, whatever is published later. A JSON array is read in several
+    tasks, but its pieces are sorted and written once for that (a job); a file that is not one whole array raises here (``json_array``).
     """
     reader = spark.read.schema(schema)
     path = current_path(spark, path)
@@ -27,16 +27,19 @@ def read_catalog(
     if file_format == "jsonl":
         return reader.json(path)
     if file_format == "json":
-        return reader.option("multiLine", True).json(path)
+        return json_array.read_array(spark, path, schema)
     raise ValueError(f"unknown catalog format {file_format!r}")
 
 
-def write_catalog(stores: DataFrame, path: str, file_format: str = "parquet") -> int:
+def write_catalog(stores: DataFrame, path: str, file_format: str = "parquet", counts: list[Column] | None = None) -> int:
     """Publish all records with all keys (nulls are written as null) as the catalog at ``path``; returns their number.
 
     Readers see the old catalog or the new one, never a part: the records go to a folder of their own, are counted there, and only then does
     the catalog's file name this folder. So ``stores`` may be read from ``path`` itself, and a write that fails changes nothing. If
     another job has published meanwhile, this one raises. The folders of the two catalogs before stay for readers that still use them.
+
+    ``counts`` are named aggregates of integers over the records, such as ``reports.coverage_counts``. The write itself takes them, so the records are made once;
+    they are published with the catalog (``read_counts``).
     """
     if file_format not in _FORMATS:
         raise ValueError(f"unknown catalog format {file_format!r}")
@@ -44,11 +47,18 @@ def write_catalog(stores: DataFrame, path: str, file_format: str = "parquet") ->
     before = published.state(spark, path)
     folder = published.new_folder("catalog")
     spark_format, options = _FORMATS[file_format]
-    rows = published.write_folder(stores, path, folder, spark_format, **options)
-    published.switch(spark, path, before, {"folders": [folder], "format": file_format, "rows": rows})
+    seen = published.write_folder(stores, path, folder, spark_format, counts or [], **options)
+    rows = seen.pop("rows")
+    published.switch(spark, path, before, {"folders": [folder], "format": file_format, "rows": rows, "counts": seen})
     return rows
 
 
+def read_counts(spark: SparkSession, path: str) -> dict[str, int]:
+    """The counts that were published with the catalog at ``path``, without reading its records; none where none were asked for."""
+    state = published.state(spark, path)
+    return (state or {}).get("counts", {})
+
+
 def current_path(spark: SparkSession, path: str) -> str:
     """The folder that holds the catalog's files: the published one, or ``path`` itself for files from elsewhere."""
     state = published.state(spark, path) if not any(c in path for c in "*?{[") else None

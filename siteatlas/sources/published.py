@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _POINTER = "_current.json"
@@ -66,13 +67,14 @@ def new_folder(name: str) -> str:
     return f"_{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_folder(rows: DataFrame, path: str, folder: str, file_format: str = "parquet", **options) -> int:
-    """Write rows to a folder that no state names yet; returns their number, counted by the write itself and checked by reading."""
+def write_folder(rows: DataFrame, path: str, folder: str, file_format: str = "parquet", counts: Sequence[Column] = (), **options) -> dict[str, int]:
+    """Write rows to a folder that no state names yet; returns their number as ``rows``, checked by reading, and ``counts``, all taken by the write itself."""
     spark = rows.sparkSession
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**options).format(file_format).save(f"{path}/{folder}")
-    written = seen.get["rows"]
+    rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode("overwrite").options(**options).format(file_format).save(f"{path}/{folder}")
+    taken = seen.get
+    written = taken["rows"]
     found = spark.read.schema(rows.schema).format(file_format).load(f"{path}/{folder}").count()
     if found != written:
         raise PublishError(f"{path}/{folder} holds {found} of {written} rows")
-    return written
+    return taken

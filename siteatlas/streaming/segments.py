@@ -46,7 +46,7 @@ class Segments:
         if self.has(stream, batch):
             return
         folder = published.new_folder(f"batch-{batch}")
-        n = published.write_folder(self.reduce(rows).select(*self.schema.names), self.path, folder)
+        n = published.write_folder(self.reduce(rows).select(*self.schema.names), self.path, folder)["rows"]
         before = self._state()
         segments = list(before["segments"]) if before else []
         if n:

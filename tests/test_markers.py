@@ -153,3 +153,34 @@ def test_site_down_is_always_an_error(spark, make_captures, spec, index):
         ):
             with pytest.raises(Exception, match="index page failed: i" if index else "no index page"):
                 build().count()
+
+
+def test_rejects_beside_stores_come_from_one_reading(spark, spec, make_captures, monkeypatch):
+    def page(*values):
+        return "".join(f"<input class='siteMarker' value='{escape.escape(v)}'>" for v in values)
+
+    captures = make_captures(
+        ("sitemap", "https://atlas.example/a", page(GOOD, "x", GOOD.replace('"7"', "null"))),
+        ("sitemap", "https://atlas.example/b", page(GOOD.replace('"7"', '"9"')), 500),
+        ("sitemap", "https://atlas.example/unlisted", page(GOOD, "x")),
+    )
+    pages = spark.createDataFrame([("https://atlas.example/a",), ("https://atlas.example/b",)], "url string")
+    written, persist = [], markers.persist_reliably
+
+    def noted(frame):
+        written.append(frame)
+        return persist(frame)
+
+    monkeypatch.setattr(markers, "persist_reliably", noted)
+    for strict, ids in ((True, {"7"}), (False, {"7", "9"})):
+        written.clear()
+        stores, rejects = markers.stores_and_rejects(captures, "sitemap", pages, spec, 3, strict)
+        alone = markers.stores_on_pages(captures, "sitemap", pages, spec, 3, strict)
+        assert sorted(map(str, stores.select(*alone.columns).collect())) == sorted(map(str, alone.collect()))
+        assert {r.store_id for r in stores.collect()} == ids
+        found = [(r.source_rank, r.capture_id, r.pos, r.reason, r.raw is not None) for r in rejects.orderBy("pos").collect()]
+        assert found == [(3, 0, 1, "bad_json", True), (3, 0, 2, "null_id", True)]
+        plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+        assert len(written) == 1 and plan(written[0]).count("ArrowEvalPython") == 1
+        assert "ArrowEvalPython" not in plan(stores) + plan(rejects)
+        assert written[0].filter("reason IS NULL AND raw IS NOT NULL").isEmpty()

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from siteatlas.operators import reconcile
+from siteatlas.operators import reconcile, reports
 from siteatlas.schema import CAPTURES, STORES
 from siteatlas.session import new_work_dir, shared_dir
 from siteatlas.sources import captures, catalog, published, seeds
@@ -106,3 +106,29 @@ def test_two_writers_do_not_undo_each_other(spark):
     with pytest.raises(published.PublishError):
         published.switch(spark, path, before, {"folders": ["_late"]})
     assert catalog.read_catalog(spark, path).count() == 2
+
+
+def test_counts_are_published_with_the_catalog(spark):
+    path = new_work_dir(spark, "counted")
+    assert catalog.read_counts(spark, path) == {}
+    stores = spark.createDataFrame(RECORDS, STORES)
+    assert catalog.write_catalog(stores, path, counts=reports.coverage_counts(stores)) == 2
+    assert catalog.read_counts(spark, path) == reports.coverage(stores).first().asDict()
+    assert catalog.read_counts(spark, path) == {"total": 2, "with_pricing": 1, "with_site_number": 1, "with_phone": 0, "remaining": 1}
+    catalog.write_catalog(stores.limit(0), path, counts=reports.coverage_counts(stores))
+    assert set(catalog.read_counts(spark, path).values()) == {0}
+    catalog.write_catalog(stores, path)  # counts belong to the catalog they were taken of
+    assert catalog.read_counts(spark, path) == {}
+
+
+def test_records_are_made_once_for_the_write_and_its_counts(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    stores = spark.createDataFrame(RECORDS, STORES).mapInArrow(seen, STORES)
+    catalog.write_catalog(stores, new_work_dir(spark, "once"), counts=reports.coverage_counts(stores))
+    assert made.value == len(RECORDS)
