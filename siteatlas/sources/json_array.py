@@ -33,12 +33,21 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     # an escape is never cut: no JSON escape holds a }
     bare = F.regexp_replace("piece", r"(?s)\\.", "")
     quotes = _count(bare, '"')
+    piece = F.col("piece")
+    role = (
+        F.when(piece.rlike(r"^\s*\[\s*\{"), "first")
+        .when(piece.rlike(r"^\s*,\s*\{"), "next")
+        .when(piece.rlike(r"^\s*\]\s*$"), "end")
+        .when(piece.rlike(r"^\s*\[\s*\]\s*$"), "empty")
+        .otherwise("wrong")
+    )
     # the } behind the piece closes an object if the piece ends outside of strings
     pieces = pieces.withColumns(
         {
             "quotes": quotes,
             "d0": _opened(bare) - (quotes + 1) % 2,
             "d1": _opened(F.concat(F.lit('"'), bare)) - quotes % 2,
+            "would_be": role,  # what the piece is if no object is open; found here, so that only one pass moves the text itself
         }
     )
     ordered = pieces.sort("_file", "_block", "_line").drop("_block", "_line").withColumn("_id", F.monotonically_increasing_id())
@@ -71,15 +80,7 @@ def read_elements(spark: SparkSession, path: str) -> DataFrame:
     known = known.withColumn("change", F.when(inside == 0, F.col("d0")).otherwise(F.col("d1"))).withColumn("inside", inside)
     known = known.withColumn("open", F.col("part_open") + so_far("change", before))
     ended = (F.col("open") + F.col("change") == 0) & ((F.col("inside") + F.col("quotes")) % 2 == 0)
-    piece = F.col("piece")
-    role = (
-        F.when(piece.rlike(r"^\s*\[\s*\{"), "first")
-        .when(piece.rlike(r"^\s*,\s*\{"), "next")
-        .when(piece.rlike(r"^\s*\]\s*$"), "end")
-        .when(piece.rlike(r"^\s*\[\s*\]\s*$"), "empty")
-        .otherwise("wrong")
-    )
-    known = known.withColumn("role", F.when(F.col("open") == 0, role)).withColumn("end_id", F.when(ended, F.col("_id")))
+    known = known.withColumn("role", F.when(F.col("open") == 0, F.col("would_be"))).withColumn("end_id", F.when(ended, F.col("_id")))
 
     parts = persist_reliably(
         known.groupBy(*_PLACE).agg(
