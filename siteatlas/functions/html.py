@@ -1,13 +1,16 @@
 """The one step that needs Python: reading HTML, one Arrow batch of page bodies at a time.
 
-``HTMLParser`` from the standard library tokenises; ``_Page`` keeps the open elements so that an
-element's text ends at its own end tag or where an enclosing element closes. Everything taken from a
-page comes back as one small struct and is interpreted by native column functions.
+Pages of regular markup are searched by expressions (``regular``). On all others ``HTMLParser`` from the standard library
+tokenises; ``_Page`` keeps the open elements so that an element's text ends at its own end tag or where an enclosing element
+closes. Both give the same values. Everything taken from a page comes back as one small struct and is interpreted by native
+column functions.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -15,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from siteatlas import spec as S
+from siteatlas.functions import regular
 
 # The elements that lenient page parsers in common use take as having no end tag (HTML's own and
 # historic ones), and elements whose text is not page text.
@@ -104,6 +108,28 @@ class _Page(HTMLParser):
             self._end_text()
 
 
+_ANCHOR = regular.tag_pattern("a")
+_INPUT = regular.tag_pattern("input")
+
+
+def _regular_links(body):
+    found = []
+    for m in _ANCHOR.finditer(body):
+        source, closed, text = m.groups()
+        if source is None or "href" not in (attrs := regular.attributes(source)):
+            continue
+        if closed:
+            text = ""
+        elif text is None:
+            text = regular.text(body, "a", m.end(), VOID)
+            if text is None:
+                return None
+        else:
+            text = unescape(text).strip()
+        found.append({"href": attrs["href"], "text": text})
+    return found
+
+
 def _links(body):
     found = []
 
@@ -122,6 +148,15 @@ def _has_class(attrs, name):
     return value is not None and (value == name or name in value.split())
 
 
+def _regular_markers(marker_class):
+    def read(body):
+        sources = [m[1] for m in _INPUT.finditer(body) if m[1]]
+        attrs = [regular.attributes(x) for x in sources if marker_class in x or "&" in x]
+        return [x.get("value") for x in attrs if _has_class(x, marker_class)]
+
+    return read
+
+
 def _markers(marker_class):
     def read(body):
         found = []
@@ -136,19 +171,51 @@ def _markers(marker_class):
     return read
 
 
+def _regular_details(marker_class):
+    values = [marker_class, S.REVIEW_ELEMENT_ID, S.TEL_PREFIX, S.POSTAL_CODE_PROP]
+    wanted = re.compile("|".join([*map(re.escape, values), f"(?i:{re.escape(S.SITE_NUMBER_ATTR)})", "&"]))
+
+    def read(body):
+        first = {}
+        for tag, source, end, closed, raw in regular.tags(body):
+            if not wanted.search(source):
+                continue
+            attrs = regular.attributes(source)
+            if "postal" not in first and attrs.get("itemprop") == S.POSTAL_CODE_PROP:
+                first["postal"] = _regular_text(body, tag, end, closed, raw)
+                if first["postal"] is None:
+                    return None
+            _first_details(first, tag, attrs, marker_class)
+            if len(first) == len(_DETAIL_NAMES):
+                break
+        return first
+
+    return read
+
+
+def _regular_text(body, tag, end, closed, raw):
+    if raw is not None:
+        return raw.strip()
+    return "" if closed or tag in VOID else regular.text(body, tag, end, VOID)
+
+
+def _first_details(first, tag, attrs, marker_class):
+    if tag == "input" and "marker" not in first and _has_class(attrs, marker_class):
+        first["marker"] = attrs.get("value")
+    if S.SITE_NUMBER_ATTR in attrs:
+        first.setdefault("site_attr", attrs[S.SITE_NUMBER_ATTR])
+    if attrs.get("id") == S.REVIEW_ELEMENT_ID:
+        first.setdefault("review_url", attrs.get(S.REVIEW_URL_ATTR, ""))
+    if tag == "a" and attrs.get("href", "").startswith(S.TEL_PREFIX):
+        first.setdefault("tel", attrs["href"])
+
+
 def _details(marker_class):
     def read(body):
         first = {}
 
         def on_tag(tag, attrs):
-            if tag == "input" and "marker" not in first and _has_class(attrs, marker_class):
-                first["marker"] = attrs.get("value")
-            if S.SITE_NUMBER_ATTR in attrs:
-                first.setdefault("site_attr", attrs[S.SITE_NUMBER_ATTR])
-            if attrs.get("id") == S.REVIEW_ELEMENT_ID:
-                first.setdefault("review_url", attrs.get(S.REVIEW_URL_ATTR, ""))
-            if tag == "a" and attrs.get("href", "").startswith(S.TEL_PREFIX):
-                first.setdefault("tel", attrs["href"])
+            _first_details(first, tag, attrs, marker_class)
             if "postal" not in first and attrs.get("itemprop") == S.POSTAL_CODE_PROP:
                 first["postal"] = []
                 return first["postal"]
@@ -161,17 +228,41 @@ def _details(marker_class):
     return read
 
 
+def _address_ranks(attrs):
+    return (
+        attrs.get("itemprop") == S.STREET_ADDRESS_PROP,
+        _has_class(attrs, S.ADDRESS_CLASSES[0]),
+        _has_class(attrs, S.ADDRESS_CLASSES[1]),
+        S.ADDRESS_CLASS_PART in attrs.get("class", ""),
+    )
+
+
+_ADDRESS_WANTED = re.compile("|".join(map(re.escape, [S.STREET_ADDRESS_PROP, *S.ADDRESS_CLASSES, S.ADDRESS_CLASS_PART, S.JSON_LD_TYPE, "&"])))
+
+
+def _regular_address(body):
+    chosen = [None, None, None, None]
+    scripts = []
+    for tag, source, end, closed, raw in regular.tags(body):
+        if not _ADDRESS_WANTED.search(source):
+            continue
+        attrs = regular.attributes(source)
+        for i, hit in enumerate(_address_ranks(attrs)):
+            if hit and chosen[i] is None:
+                chosen[i] = (tag, end, closed, raw)
+        if tag == "script" and attrs.get("type") == S.JSON_LD_TYPE:
+            scripts.append(raw.strip())
+    best = next((x for x in chosen if x is not None), None)
+    text = None if best is None else _regular_text(body, *best)
+    return None if best is not None and text is None else {"text": text, "json_ld": scripts}
+
+
 def _address(body):
     chosen = [None, None, None, None]
     scripts = []
 
     def on_tag(tag, attrs):
-        wanted = (
-            attrs.get("itemprop") == S.STREET_ADDRESS_PROP,
-            _has_class(attrs, S.ADDRESS_CLASSES[0]),
-            _has_class(attrs, S.ADDRESS_CLASSES[1]),
-            S.ADDRESS_CLASS_PART in attrs.get("class", ""),
-        )
+        wanted = _address_ranks(attrs)
         pieces = []
         for i, hit in enumerate(wanted):
             if hit and chosen[i] is None:
@@ -189,13 +280,16 @@ def _address(body):
 
 _TEXT = pa.string()
 _LINK_TYPE = pa.list_(pa.struct([("href", _TEXT), ("text", _TEXT)]))
-_DETAIL_TYPE = pa.struct(
-    [(name, _TEXT) for name in ("marker", "site_attr", "review_url", "tel", "postal")]
-)
+_DETAIL_NAMES = ("marker", "site_attr", "review_url", "tel", "postal")
+_DETAIL_TYPE = pa.struct([(name, _TEXT) for name in _DETAIL_NAMES])
 _ADDRESS_TYPE = pa.struct([("text", _TEXT), ("json_ld", pa.list_(_TEXT))])
 
 
-def _page_function(read, arrow_type, spark_type):
+def _page_function(read_regular, read_any, arrow_type, spark_type):
+    def read(body):
+        found = read_regular(body) if regular.is_regular(body) else None
+        return read_any(body) if found is None else found
+
     def over_batch(bodies: pa.Array) -> pa.Array:
         return pa.array(
             [None if body is None else read(body) for body in bodies.to_pylist()], type=arrow_type
@@ -206,17 +300,18 @@ def _page_function(read, arrow_type, spark_type):
 
 def links(body: Column) -> Column:
     """Every anchor with an ``href``, in document order, with its stripped text."""
-    return _page_function(_links, _LINK_TYPE, "array<struct<href:string,text:string>>")(body)
+    return _page_function(_regular_links, _links, _LINK_TYPE, "array<struct<href:string,text:string>>")(body)
 
 
 def markers(body: Column, marker_class: str) -> Column:
     """The ``value`` of every input of the marker class, null where there is none."""
-    return _page_function(_markers(marker_class), pa.list_(_TEXT), "array<string>")(body)
+    return _page_function(_regular_markers(marker_class), _markers(marker_class), pa.list_(_TEXT), "array<string>")(body)
 
 
 def details(body: Column, marker_class: str) -> Column:
     """The first occurrence of each place a facility page may hold its details."""
     return _page_function(
+        _regular_details(marker_class),
         _details(marker_class),
         _DETAIL_TYPE,
         "struct<marker:string,site_attr:string,review_url:string,tel:string,postal:string>",
@@ -225,7 +320,7 @@ def details(body: Column, marker_class: str) -> Column:
 
 def address(body: Column) -> Column:
     """Text of the best address element, and all JSON-LD scripts."""
-    return _page_function(_address, _ADDRESS_TYPE, "struct<text:string,json_ld:array<string>>")(body)
+    return _page_function(_regular_address, _address, _ADDRESS_TYPE, "struct<text:string,json_ld:array<string>>")(body)
 
 
 def may_have_tag(body: Column, tag: str) -> Column:
