@@ -310,6 +310,17 @@ def catalog_roundtrip(spark, sf_dir):
     return catalog.with_missing_fields(again, STORE_FIELDS)
 
 
+def catalog_bucketed(spark, sf_dir):
+    """As ``catalog_publish``, with a catalog in buckets by store id, which the gap build does not shuffle."""
+    path, buckets = new_work_dir(spark, "bucketed"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = fx.known_catalog(spark, sf_dir).schema
+    catalog.write_catalog(fx.known_catalog(spark, sf_dir), path, buckets=buckets)
+    known = catalog.read_catalog(spark, path, schema=schema)
+    merged = catalogs.gap_catalog(fx.captures(spark, sf_dir, "search", "price"), fx.seeds(spark, sf_dir), known, SPEC)
+    catalog.write_catalog(merged, path, buckets=buckets)
+    return catalog.read_catalog(spark, path).select(*STORE_FIELDS, F.size("units").cast("long").alias("n_units"))
+
+
 def catalog_publish(spark, sf_dir):
     """The known catalog, the gap build read off it and written over it, then read again."""
     path = new_work_dir(spark, "published")
@@ -454,6 +465,7 @@ _QUERIES = (
     catalog_roundtrip,
     catalog_from_array,
     catalog_publish,
+    catalog_bucketed,
     seeds_from_file,
     seeds_from_list,
     daily_report_over_runs,

@@ -313,6 +313,7 @@ SELECT store_id, CAST(NULL AS BIGINT) AS n_units FROM st""",
 # The same tables by other ways: published, landed run by run, folded, ranked from a plain list.
 ORACLE |= {
     "catalog_publish": ORACLE["catalog_merge"],
+    "catalog_bucketed": ORACLE["catalog_merge"],
     "coverage_published": ORACLE["coverage"],
     "rejects_beside_stores": ORACLE["marker_rejects"],
     "first_wins_beside_rejects": ORACLE["first_wins_stores"],

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _POINTER = "_current.json"
 _KEPT = 2  # folders of so many earlier states stay, for readers that still use them
@@ -67,14 +68,47 @@ def new_folder(name: str) -> str:
     return f"_{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_folder(rows: DataFrame, path: str, folder: str, file_format: str = "parquet", counts: Sequence[Column] = (), **options) -> dict[str, int]:
-    """Write rows to a folder that no state names yet; returns their number as ``rows``, checked by reading, and ``counts``, all taken by the write itself."""
+def write_folder(
+    rows: DataFrame, path: str, folder: str, file_format: str = "parquet", counts: Sequence[Column] = (), bucketed: tuple[int, str] | None = None, **options
+) -> dict[str, int]:
+    """Write rows to a folder that no state names yet; returns their number as ``rows``, checked by reading, and ``counts``, all taken by the write itself.
+
+    ``bucketed``: so many buckets by a column, each one sorted file (``read_bucketed``).
+    """
     spark = rows.sparkSession
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode("overwrite").options(**options).format(file_format).save(f"{path}/{folder}")
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+    if bucketed:
+        buckets, key = bucketed
+        name = _table_name()
+        writer = rows.repartition(buckets, key).write.options(**options).format(file_format).bucketBy(buckets, key).sortBy(key)
+        try:
+            writer.option("path", f"{path}/{folder}").saveAsTable(name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    else:
+        rows.write.mode("overwrite").options(**options).format(file_format).save(f"{path}/{folder}")
     taken = seen.get
     written = taken["rows"]
     found = spark.read.schema(rows.schema).format(file_format).load(f"{path}/{folder}").count()
     if found != written:
         raise PublishError(f"{path}/{folder} holds {found} of {written} rows")
     return taken
+
+
+def _table_name() -> str:
+    return f"siteatlas_{uuid.uuid4().hex}"
+
+
+def read_bucketed(spark: SparkSession, folder: str, schema: T.StructType, buckets: int, key: str) -> DataFrame:
+    """A folder of bucketed Parquet files, with Spark knowing how its rows are dealt.
+
+    Only tables tell Spark that, so the folder is one for as long as the DataFrame is built; no table stays in the session's catalog.
+    """
+    name = _table_name()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{folder}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
