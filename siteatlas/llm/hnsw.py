@@ -180,14 +180,12 @@ def usable(vector: Column) -> Column:
 
 
 def _graph(table: pa.Table) -> pa.Table:
-    """One shard's row. Of rows with one id the first by its vector counts."""
+    """One shard's row."""
     ids = table["id"].to_numpy()
     dim = table["dim"][0].as_py()
     x = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), dim)
-    order = np.lexsort((*x.T[::-1], ids))
+    order = np.argsort(ids)
     ids, x = ids[order], x[order]
-    first = np.concatenate([[True], ids[1:] != ids[:-1]])
-    ids, x = ids[first], x[first]
     nodes, place = np.unique(x, axis=0, return_inverse=True)  # equal vectors are one node
     place = place.ravel()
     by_node = np.argsort(place, kind="stable")  # ids of a node stay sorted
@@ -218,18 +216,21 @@ _INDEX_SQL = "shard long, dim int, vectors binary, ids binary, starts binary, la
 
 
 def _vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, dim, vector) of every usable vector, one row per id and number of dimensions: the smallest by its components."""
     vector = F.col(vector_col)
-    return rows.filter(F.col(id_col).isNotNull() & usable(vector)).select(
-        F.col(id_col).cast("long").alias("id"), vector.cast("array<double>").alias("vector"), F.size(vector).alias("dim")
+    found = rows.filter(F.col(id_col).isNotNull() & usable(vector)).select(
+        F.col(id_col).cast("long").alias("id"), F.size(vector).alias("dim"), vector.cast("array<double>").alias("vector")
     )
+    # reduced where the rows are read, so an id of any number of rows is one row before shards are dealt
+    return found.groupBy("id", "dim").agg(F.min("vector").alias("vector"))
 
 
 def index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> DataFrame:
     """The graphs, one row per shard and number of dimensions, over every usable vector.
 
-    Null, zero and non-finite vectors, and rows without an id, take no part. Of rows with one id one counts, the smallest by its components.
+    Null, zero and non-finite vectors, and rows without an id, take no part. Of rows with one id and number of dimensions one counts, the smallest by its components.
     """
-    vectors = _vectors(rows, id_col, vector_col)
+    vectors = persist_reliably(_vectors(rows, id_col, vector_col))
     shards = max(1, -(-vectors.count() // shard))
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
     return persist_reliably(dealt.groupBy("shard", "dim").applyInArrow(_graph, _INDEX_SQL))
@@ -239,8 +240,7 @@ def _block(table: pa.Table) -> pa.Table:
     ids = table["id"].to_numpy()
     dim = table["dim"][0].as_py()
     x = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim)
-    order = np.lexsort((*x.T[::-1], ids))
-    order = order[np.concatenate([[True], np.diff(ids[order]) != 0])]
+    order = np.argsort(ids)
     return pa.table({"block": table["block"].slice(0, 1), "dim": pa.array([dim], pa.int32()), "q_ids": pa.array([ids[order].tobytes()], pa.binary()), "q_vectors": pa.array([x[order].tobytes()], pa.binary())})
 
 
@@ -273,7 +273,7 @@ def _searched(k: int, ef: int):
 
 def nearest(graphs: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, ef: int = EF_SEARCH) -> DataFrame:
     """(query_id, rank, vec_id, score): up to ``k`` nearest found of every usable query, by Euclidean distance and then id, without the query's own id."""
-    asked = _vectors(queries, id_col, vector_col)
+    asked = persist_reliably(_vectors(queries, id_col, vector_col))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
     asked = asked.groupBy("block", "dim").applyInArrow(_block, "block long, dim int, q_ids binary, q_vectors binary")

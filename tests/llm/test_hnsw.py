@@ -66,3 +66,16 @@ def test_equal_vectors_go_by_id(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(700)] + [(i, rng.normal(size=3)) for i in range(700, 1000)]
     found = run(spark, rows, [(0, [1.0, 2.0, 3.0]), (500, [1.0, 2.0, 3.0])], shard=200)
     assert [i for _, i in found[0]] == list(range(1, 11)) and [i for _, i in found[500]] == list(range(10))
+
+
+def test_an_id_of_many_rows_is_one_before_shards_are_dealt(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=3)) for i in range(300)]
+    rows += [(7, np.array([9.0, 9.0, float(i)])) for i in range(600)]
+    rows[7] = (7, np.array([-9.0, 9.0, 0.0]))  # the smallest by its components counts
+    made = spark.createDataFrame([(i, [float(c) for c in x], "r") for i, x in rows], SCHEMA)
+    dealt = hnsw._vectors(made, "vec_id", "embedding")
+    assert dealt.count() == 300
+    once = [r for r in rows[:300]]
+    found, want = run(spark, rows, [once[7], once[8]], shard=5000), exact(once, [once[7], once[8]], 10)
+    assert {q: [i for _, i in near] for q, near in found.items()} == {q: [i for _, i in near] for q, near in want.items()}
