@@ -13,7 +13,7 @@ from siteatlas.sources.captures import of_kind, write_captures
 from siteatlas.session import new_work_dir
 from tests.conftest import SF
 
-WRITERS = ("catalog_roundtrip", "catalog_from_array", "catalog_publish", "seeds_from_file", "seeds_from_list", "daily_report_over_runs", "price_units_over_runs")
+WRITERS = ("catalog_roundtrip", "catalog_from_array", "catalog_publish", "catalog_bucketed", "seeds_from_file", "seeds_from_list", "daily_report_over_runs", "price_units_over_runs")
 BATCH_NAMES = [q.__name__ for q in entry._QUERIES if not q.__name__.startswith("stream_") and q.__name__ not in WRITERS]
 
 
