@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 
 from siteatlas.session import persist_reliably
 
+TASK_EDGES = 1 << 15  # a round takes no more tasks than one for so many edges, however many partitions a session deals
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+
+def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     """Hang the neighbours of every vertex on its smallest neighbour; ``large``: only the larger ones."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
     # edges point from the larger to the smaller end (a > b)
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).coalesce(tasks)
     # dealt anew, or the join would take over how the aggregate was dealt, and Spark could not split the vertex with most neighbours
-    joined = both.join(least.hint("rebalance"), "a")
+    joined = both.join(least.hint("rebalance"), "a").coalesce(tasks)
     if large:
         return joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b"))
         )
-    return out.filter("a > b").distinct()
+    return out.filter("a > b").distinct().coalesce(tasks)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -30,7 +32,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Ids without an edge to another one are not returned. Each round is a large and a small star; the number
     of rounds grows with the logarithm of the size of a component, and no vertex' neighbours are ever
     gathered: a star is an aggregate and a join, which Spark splits where they are skewed. Rounds are kept
-    by ``checkpoint()`` in the shared folder.
+    by ``checkpoint()`` in the shared folder; their tasks follow the number of edges left, up to the session's partitions.
     """
     now = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = persist_reliably(now)
@@ -39,8 +41,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         count = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if count == last or count[0] == 0:
             break
-        last = count
-        now = persist_reliably(_star(_star(now, large=True), large=False))
+        last, tasks = count, count[0] // TASK_EDGES + 1
+        now = persist_reliably(_star(_star(now.coalesce(tasks), True, tasks), False, tasks))
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("a").alias("id"), F.col("b").alias("component"))

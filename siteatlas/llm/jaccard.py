@@ -332,13 +332,14 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # what is not connected yet, from the smaller component to the larger
     sizes = settled.groupBy("component").agg(F.count("*").alias("size"))
-    of = settled.join(sizes, "component").select("id", F.struct((-F.col("size")).alias("less"), "component").alias("comp"))
+    of = persist_reliably(settled.join(sizes, "component").select("id", F.struct((-F.col("size")).alias("less"), "component").alias("comp")))
     alone = F.struct(F.lit(-1).cast("long").alias("less"), F.col("id").alias("component"))
     known = cells.drop("df").join(of, "id", "left").withColumn("comp", F.coalesce("comp", alone))
     open_tokens = known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("token")
     profiles = tokens.select("id", "grp", "own_token", *_packed(_PART_NAMES, "q"))
     boxes = tokens.groupBy("grp").agg(*[f(p).alias(f"{f.__name__}_{p}") for p in _PART_NAMES for f in (F.min, F.max)])
-    boxes = boxes.select("grp", *_packed([f"min_{p}" for p in _PART_NAMES], "low"), *_packed([f"max_{p}" for p in _PART_NAMES], "high"))
+    # read by up to four joins of one plan: written once, a plan holds none of its aggregates
+    boxes = persist_reliably(boxes.select("grp", *_packed([f"min_{p}" for p in _PART_NAMES], "low"), *_packed([f"max_{p}" for p in _PART_NAMES], "high")))
     unsettled = persist_reliably(known.join(open_tokens, "token").join(profiles, "id"))
     unsettled_asks = unsettled.select(
         "token", "at", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("own_token").alias("q_own"), F.col("grp").alias("q_grp"), "q0", "q1"
@@ -367,7 +368,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     own_asks, own = unsettled_asks.filter("token = q_own"), unsettled.filter("token = own_token")
     family = F.col("comp.less") < -GROUP_SIZE
-    pairs = meetings(asks, met.filter(~family), own_asks, own.filter(~family))
+    pairs = persist_reliably(meetings(asks, met.filter(~family), own_asks, own.filter(~family)))
     near_families = _near_families(asks, met.filter(family), of, tokens, percent, q_least)
     if near_families is not None:
         pairs = pairs.unionAll(meetings(asks.join(near_families, "q"), met.filter(family), own_asks.join(near_families, "q"), own.filter(family), "comp"))

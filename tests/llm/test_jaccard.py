@@ -138,3 +138,29 @@ def test_pairs_grow_with_a_family_and_not_with_its_square(spark, monkeypatch, pl
         rows = copies(n, words, places, n)
         assert run(spark, rows) == brute(rows, 3, 90)
     assert pairs[1] <= 2.5 * max(pairs[0], 20), pairs
+
+
+def test_rounds_of_a_graph_take_tasks_by_its_edges(spark, monkeypatch):
+    parts, persist = [], graph.persist_reliably
+
+    def kept(df):
+        out = persist(df)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(graph, "persist_reliably", kept)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")
+        assert {r.component for r in graph.components(edges).collect()} == {0}
+        assert len(parts) > 2 and set(parts[1:]) == {1}
+        parts.clear()
+        monkeypatch.setattr(graph, "TASK_EDGES", 10)
+        assert {r.component for r in graph.components(edges).collect()} == {0}
+        assert set(parts[1:]) == {6}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
