@@ -83,7 +83,10 @@ def on_pages(rows: DataFrame, pages: DataFrame, captures: DataFrame) -> DataFram
     """
     rank = F.col("page_rank") if "page_rank" in pages.columns else F.lit(0).cast("long").alias("page_rank")
     wanted = pages.select("url", rank).join(latest_versions(captures), "url").withColumnRenamed("url", "page_url")
-    return rows.join(wanted, ["page_url", "capture_id"]).drop("capture_id")
+    # A left join may send the pages to the rows, never the rows, whose size Spark guesses far too small behind an explode. The filter
+    # names both sides, or Spark would make an inner join of it again.
+    met = rows.join(wanted.withColumn("_wanted", F.lit(True)), ["page_url", "capture_id"], "left")
+    return met.filter(F.coalesce("_wanted", F.col("pos") < 0)).drop("capture_id", "_wanted")
 
 
 def parse_facility_url(href, spec: SiteSpec) -> dict:

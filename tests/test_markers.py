@@ -184,3 +184,13 @@ def test_rejects_beside_stores_come_from_one_reading(spark, spec, make_captures,
         assert len(written) == 1 and plan(written[0]).count("ArrowEvalPython") == 1
         assert "ArrowEvalPython" not in plan(stores) + plan(rejects)
         assert written[0].filter("reason IS NULL AND raw IS NOT NULL").isEmpty()
+
+
+def test_stores_meet_their_pages_without_being_sent_to_all_tasks(spark, make_captures, spec):
+    page = f"<input class=siteMarker value='{escape.escape(GOOD)}'>"
+    captures = make_captures(("search", "u1", page), ("search", "u2", page), ("search", None, page))
+    pages = spark.createDataFrame([("u1", 5), ("u3", 6)], "url string, page_rank long")
+    found = markers.stores_on_pages(captures, "search", pages, spec, 1, strict=True)
+    assert [(r.page_url, r.page_rank, r.store_id) for r in found.collect()] == [("u1", 5, "7")]
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line and "page_url" in line and "capture_id" in line]
+    assert joins and all("Join LeftOuter" in line for line in joins)  # an inner one may broadcast either side
