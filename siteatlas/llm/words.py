@@ -13,7 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+
+from siteatlas.session import ARROW_BYTES, bound_arrow_batches  # noqa: F401
 
 BATCH_BYTES = 1 << 20
 
@@ -22,20 +23,6 @@ _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _LOW = 1 << 16
 
 
-ARROW_BYTES = 2 << 20
-
-
-def bound_arrow_batches(spark: SparkSession) -> None:
-    """Let the session send at most ``ARROW_BYTES`` of texts to Python at a time, unless it is set to less already.
-
-    Both sides hold a batch more than once, and executors keep several Python workers.
-    """
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
-    if not 0 < now <= ARROW_BYTES:
-        spark.conf.set(name, f"{ARROW_BYTES}b")
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

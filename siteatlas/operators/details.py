@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteatlas.functions import html, json, text
+from siteatlas.session import bound_arrow_batches
 from siteatlas.sources.captures import of_kind
 from siteatlas.spec import SiteSpec
 
@@ -73,6 +74,7 @@ def decode_details(found: DataFrame, *keep: str) -> DataFrame:
 
 def facility_details(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
     """The ``keep`` columns and the five detail fields of every facility page."""
+    bound_arrow_batches(pages.sparkSession)
     found = pages.select(*keep, html.details(F.col("body"), spec.marker_class).alias("_found"))
     return decode_details(found, *keep)
 
@@ -88,6 +90,7 @@ _JSON_LD_STREET = f"""transform(
 
 def facility_addresses(pages: DataFrame, *keep: str) -> DataFrame:
     """The ``keep`` columns and ``address``: address element, else JSON-LD, else empty text."""
+    bound_arrow_batches(pages.sparkSession)
     found = pages.select(*keep, html.address(F.col("body")).alias("_found"))
     return found.selectExpr(*keep, f"coalesce(_found.text, {_JSON_LD_STREET}) AS address")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siteatlas.functions import html, text
 from siteatlas.operators.ordering import dense_index
+from siteatlas.session import bound_arrow_batches
 from siteatlas.sources.captures import latest_versions, of_kind
 from siteatlas.spec import SiteSpec
 
@@ -16,6 +17,7 @@ def page_links(pages: DataFrame, *keep: str, body: str = "body") -> DataFrame:
 
     The body is read in the scan stage and never shuffled.
     """
+    bound_arrow_batches(pages.sparkSession)
     found = pages.filter(html.may_have_tag(F.col(body), "a")).select(*keep, html.links(F.col(body)).alias("_links"))
     # Outer: otherwise the optimizer tests "not empty" with a second HTML pass in front of the explode.
     return (
@@ -27,6 +29,7 @@ def page_links(pages: DataFrame, *keep: str, body: str = "body") -> DataFrame:
 
 def links_per_page(pages: DataFrame, *keep: str, body: str = "body") -> DataFrame:
     """Number of links on every page, pages without links included. No shuffle."""
+    bound_arrow_batches(pages.sparkSession)
     n_links = F.coalesce(F.size(html.links(F.col(body))), F.lit(0))
     return pages.select(*keep, n_links.cast("long").alias("n_links"))
 

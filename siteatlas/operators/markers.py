@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siteatlas.functions import html, json, text
 from siteatlas.operators.links import on_pages
-from siteatlas.session import persist_reliably
+from siteatlas.session import bound_arrow_batches, persist_reliably
 from siteatlas.sources.captures import of_kind, only_latest
 from siteatlas.spec import SiteSpec
 
@@ -62,6 +62,7 @@ def page_markers(pages: DataFrame, spec: SiteSpec, *keep: str) -> DataFrame:
 
     Everything up to the explode happens inside the page's row, in the stage that scans it.
     """
+    bound_arrow_batches(pages.sparkSession)
     body = F.col("body")
     possible = html.may_have_tag(body, "input") & html.may_have_class(body, spec.marker_class)
     read = pages.filter(possible).select(*keep, html.markers(body, spec.marker_class).alias("_values"))

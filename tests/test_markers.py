@@ -4,7 +4,8 @@ import html as escape
 
 import pytest
 
-from siteatlas.operators import markers
+from siteatlas.operators import details, links, markers
+from siteatlas.session import ARROW_BYTES
 
 GOOD = '{"storeID":"7","title":"12345 - X","mlat":1.50,"mlng":"2","content":{"storeAddress":"1 Main","city":"C","stateCode":"KS","postalCode":"01234","storePhone":"5","plpLink":"/p"}}'
 STORE = dict(
@@ -194,3 +195,17 @@ def test_stores_meet_their_pages_without_being_sent_to_all_tasks(spark, make_cap
     assert [(r.page_url, r.page_rank, r.store_id) for r in found.collect()] == [("u1", 5, "7")]
     joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line and "page_url" in line and "capture_id" in line]
     assert joins and all("Join LeftOuter" in line for line in joins)  # an inner one may broadcast either side
+
+
+def test_pages_go_to_python_in_small_batches(spark, make_captures, spec):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    reads = [lambda p: markers.page_markers(p, spec, "url"), lambda p: links.page_links(p, "url"), lambda p: links.links_per_page(p, "url")]
+    reads += [lambda p: details.facility_details(p, spec, "url"), lambda p: details.facility_addresses(p, "url")]
+    try:
+        for read in reads:
+            spark.conf.set(name, "64m")
+            read(make_captures(("search", "u1", "<p>")))
+            assert spark.conf.get(name) == f"{ARROW_BYTES}b"
+    finally:
+        spark.conf.set(name, before)
