@@ -40,6 +40,8 @@ LEAD = 10  # one in so many tokens must be shared among the leading ones
 PAIR_LEAD = 40  # the same where documents meet groups, by fewer leading tokens
 COUNT_BITS = 20  # the table of token counts has 2^20 cells, whatever the data
 SHARED_BITS = 26  # of the bitmap of shared leading tokens
+TASK_ROWS = 1 << 15  # a task over documents or groups takes so many rows at least, however many partitions a session deals
+TASK_TOKENS = 1 << 17  # the same over single tokens
 PARTS = 16  # a set's tokens are also counted by the last bits of their hash
 _SLICES = 64
 _CLASS = 54  # a token: 4 bits of frequency class above 54 bits of hash
@@ -133,6 +135,15 @@ def _at_least(n):
     return n // LEAD + 1
 
 
+def _tasks(classes: int, tokens: int, percent: int) -> tuple[int, int, int]:
+    """Tasks for a row per document, for a row per leading token and for all tokens.
+
+    They bound only what a session deals beyond its data: every task has a log entry and a file, and the driver keeps both.
+    """
+    leading = tokens * (100 - percent) // 100 + tokens // LEAD + classes
+    return classes // TASK_ROWS + 1, leading // TASK_TOKENS + 1, tokens // (2 * TASK_TOKENS) + 1
+
+
 def _leading(k: int, percent: int, classes):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,20 +262,8 @@ def _open(percent: int):
         members = np.flatnonzero(~asks)
         queries = np.flatnonzero(asks) if asks.any() else members
         q, m = links(*unpack([tokens[i] for i in queries]), *unpack([tokens[i] for i in members]))
-        a, b = ids[queries[q]], ids[members[m]]
-        nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-        x, y = ends[: len(a)], ends[len(a) :]
-        label = np.arange(len(nodes))
-        while True:
-            new = label.copy()
-            np.minimum.at(new, x, label[y])
-            np.minimum.at(new, y, new[x])
-            new = new[new]
-            if (new == label).all():
-                break
-            label = new
-        moved = label != np.arange(len(nodes))
-        return pa.table({"a": pa.array(nodes[moved], pa.int64()), "b": pa.array(nodes[label[moved]], pa.int64())})
+        a, b = graph.stars(ids[queries[q]], ids[members[m]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return over, "a long, b long"
 
@@ -289,22 +288,24 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.filter("slice is null").select("id", "n", "sig_a", "sig_b")
     full = rows.filter("n > 0 and id is not null")
     same = persist_reliably(full.groupBy("sig_a", "sig_b", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
+    few, many, whole = _tasks(*same.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first(), percent)
+    same = same.coalesce(few)
 
     texts = texts.filter("id is not null")
     reps = same.select(F.col("rep").alias("id"))
     leading = texts.mapInArrow(*_leading(k, percent, classes)).filter("n > 0").join(reps, "id", "left_semi")
-    leading = persist_reliably(leading)
+    leading = persist_reliably(leading).coalesce(many)
     shared = persist_reliably(
-        leading.select("id", F.explode("lead").alias("token")).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+        leading.select("id", F.explode("lead").alias("token")).groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").coalesce(many)
     )
     # _lookup tests mixed tokens: tokens in order are not spread evenly
     bits = spark.sparkContext.broadcast(bitmap.build(shared, _mixed("token"), SHARED_BITS))
     least = F.expr(f"({percent} * n + 99) div 100 div {LEAD} + 1")  # a partner has at least the needed size
-    cells = persist_reliably(leading.mapInArrow(*_lookup(bits)).join(shared.select("token"), "token"))
+    cells = persist_reliably(leading.mapInArrow(*_lookup(bits)).join(shared.select("token"), "token").coalesce(many))
     able = cells.groupBy("id", "n").agg(F.count("*").alias("have")).filter(F.col("have") >= F.least(least, "n")).select("id")
     cells = cells.join(able, "id", "left_semi")
     again = cells.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    cells = persist_reliably(cells.join(again, "token").select("token", "id", "n", "at", "df"))
+    cells = persist_reliably(cells.join(again, "token").select("token", "id", "n", "at", "df").coalesce(many))
 
     best = cells.groupBy("id", "n").agg(F.max(F.struct("df", "token")).alias("best"), F.count("*").alias("have"))
     best = best.filter(F.col("have") >= F.least(least, "n"))
@@ -314,10 +315,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = best.select("id", "n", F.col("best.token").alias("own_token"), part.alias("part"), places.alias("places"), (parts > 1).alias("split"))
     placed = placed.withColumns({"own": F.xxhash64("own_token", "places"), "grp": F.xxhash64("own_token", "places", "part")})
     mates = placed.groupBy("grp").agg((F.count("*") > 1).alias("mates"))
-    placed = persist_reliably(placed.join(mates, "grp"))
+    placed = persist_reliably(placed.join(mates, "grp").coalesce(few))
     wanted = spark.sparkContext.broadcast(bitmap.build(placed, _mixed("id")))
     tokens = texts.mapInArrow(*_full(k, classes, wanted)).join(placed, "id").dropDuplicates(["id"])
-    tokens = persist_reliably(tokens)
+    tokens = persist_reliably(tokens.coalesce(whole))
 
     # groups on themselves, and the parts of a split group against its first ones, which hold GROUP_SIZE documents in all
     own = tokens.filter("mates").select("grp", F.lit(0).cast("long").alias("block"), F.lit(False).alias("query"), "id", "tokens")
@@ -332,15 +333,15 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # what is not connected yet, from the smaller component to the larger
     sizes = settled.groupBy("component").agg(F.count("*").alias("size"))
-    of = persist_reliably(settled.join(sizes, "component").select("id", F.struct((-F.col("size")).alias("less"), "component").alias("comp")))
+    of = persist_reliably(settled.join(sizes, "component").select("id", F.struct((-F.col("size")).alias("less"), "component").alias("comp")).coalesce(few))
     alone = F.struct(F.lit(-1).cast("long").alias("less"), F.col("id").alias("component"))
     known = cells.drop("df").join(of, "id", "left").withColumn("comp", F.coalesce("comp", alone))
     open_tokens = known.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("token")
     profiles = tokens.select("id", "grp", "own_token", *_packed(_PART_NAMES, "q"))
     boxes = tokens.groupBy("grp").agg(*[f(p).alias(f"{f.__name__}_{p}") for p in _PART_NAMES for f in (F.min, F.max)])
     # read by up to four joins of one plan: written once, a plan holds none of its aggregates
-    boxes = persist_reliably(boxes.select("grp", *_packed([f"min_{p}" for p in _PART_NAMES], "low"), *_packed([f"max_{p}" for p in _PART_NAMES], "high")))
-    unsettled = persist_reliably(known.join(open_tokens, "token").join(profiles, "id"))
+    boxes = persist_reliably(boxes.select("grp", *_packed([f"min_{p}" for p in _PART_NAMES], "low"), *_packed([f"max_{p}" for p in _PART_NAMES], "high")).coalesce(few))
+    unsettled = persist_reliably(known.join(open_tokens, "token").join(profiles, "id").coalesce(many))
     unsettled_asks = unsettled.select(
         "token", "at", F.col("id").alias("q"), F.col("n").alias("q_n"), F.col("comp").alias("q_comp"), F.col("own_token").alias("q_own"), F.col("grp").alias("q_grp"), "q0", "q1"
     )
@@ -359,25 +360,28 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def meetings(asks, met, own_asks, own, *also):
         """Groups and the documents that ask them: of other tokens by what they share, groups of one token through that token alone."""
-        matrix = met.groupBy("token", "grp", "own_token", *also).agg(*extent).join(boxes, "grp")
+        matrix = met.groupBy("token", "grp", "own_token", *also).agg(*extent).join(boxes, "grp").coalesce(many)
         pairs = asks.join(matrix, ["token", *also]).filter(fits & (F.col("q_own") != F.col("own_token")))
         pairs = pairs.groupBy(*asked).agg(F.count("*").alias("have")).filter(F.col("have") >= q_least).select(*asked)
-        groups = own.groupBy("own_token", "grp", *also).agg(*extent).join(boxes, "grp")
+        groups = own.groupBy("own_token", "grp", *also).agg(*extent).join(boxes, "grp").coalesce(many)
         kin = own_asks.join(groups.withColumnRenamed("own_token", "q_own"), ["q_own", *also]).filter(fits)
         return pairs.unionAll(kin.select(*asked))
 
     own_asks, own = unsettled_asks.filter("token = q_own"), unsettled.filter("token = own_token")
     family = F.col("comp.less") < -GROUP_SIZE
-    pairs = persist_reliably(meetings(asks, met.filter(~family), own_asks, own.filter(~family)))
-    near_families = _near_families(asks, met.filter(family), of, tokens, percent, q_least)
+    pairs = persist_reliably(meetings(asks, met.filter(~family), own_asks, own.filter(~family)).coalesce(many))
+    near_families = _near_families(asks, met.filter(family), of, tokens, percent, q_least, many)
     if near_families is not None:
-        pairs = pairs.unionAll(meetings(asks.join(near_families, "q"), met.filter(family), own_asks.join(near_families, "q"), own.filter(family), "comp"))
+        # a plan of its own, over rows written once: the driver holds one meeting's stages at a time
+        near_asks = persist_reliably(unsettled_asks.join(near_families, "q").coalesce(many))
+        more = meetings(near_asks.filter(leads.format(n="q_n")), met.filter(family), near_asks.filter("token = q_own"), own.filter(family), "comp")
+        pairs = pairs.unionAll(persist_reliably(more.coalesce(many)))
     # the same bound with each member, before any set is sent
     members = tokens.select(F.col("grp").alias("m_grp"), F.col("n").alias("m_n"), *_packed(_PART_NAMES, "m"))
     apart = " + ".join(f"abs({_unpacked('m', k)} - {_unpacked('q', k)})" for k in range(PARTS))
     near = F.expr(f"grp = m_grp AND ({apart}) * {100 + percent} <= (q_n + m_n) * {100 - percent}")
-    pairs = persist_reliably(pairs.join(members, near, "left_semi").select("grp", "q").distinct())
-    blocks = persist_reliably(pairs.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")))
+    pairs = persist_reliably(pairs.join(members, near, "left_semi").select("grp", "q").distinct().coalesce(many))
+    blocks = persist_reliably(pairs.groupBy("grp").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")).coalesce(few))
     # bitmaps keep sets that are not asked for out of the joins
     members = tokens.filter(bitmap.test(spark, bitmap.build(blocks, F.col("grp")), F.col("grp"))).select("grp", "id", "tokens").join(blocks, "grp")
     members = members.select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("query"), "id", "tokens")
@@ -397,7 +401,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _near_families(asks: DataFrame, met: DataFrame, of: DataFrame, tokens: DataFrame, percent: int, q_least) -> DataFrame | None:
+def _near_families(asks: DataFrame, met: DataFrame, of: DataFrame, tokens: DataFrame, percent: int, q_least, tasks: int) -> DataFrame | None:
     """(q, comp): documents and components of more than a group's size that may be linked, by the component's token union.
 
     A family of near copies fills many groups, so its union is looked at once for the whole family: a document that holds too few of its tokens
@@ -408,7 +412,7 @@ def _near_families(asks: DataFrame, met: DataFrame, of: DataFrame, tokens: DataF
     pairs = asks.join(sizes, "token").filter(fits).groupBy("q", "q_n", "comp").agg(F.count("*").alias("have"), F.min("n_min").alias("n_min"))
     # a partner has at least the size that the document needs
     smallest = F.greatest("n_min", F.expr(f"({percent} * q_n + 99) div 100"))
-    pairs = persist_reliably(pairs.filter(F.col("have") >= q_least).select("q", "comp", F.ceil((F.col("q_n") + smallest) * percent / (100 + percent)).alias("needed")))
+    pairs = persist_reliably(pairs.filter(F.col("have") >= q_least).select("q", "comp", F.ceil((F.col("q_n") + smallest) * percent / (100 + percent)).alias("needed")).coalesce(tasks))
     if pairs.isEmpty():
         return None
     comps, asking = pairs.select("comp").distinct(), pairs.select(F.col("q").alias("id")).distinct()
@@ -418,7 +422,7 @@ def _near_families(asks: DataFrame, met: DataFrame, of: DataFrame, tokens: DataF
     held = pairs.select(F.col("q").alias("key"), F.col("comp.component").alias("of"), "comp", "needed").join(held, "key")
     held = held.join(union.withColumnRenamed("key", "of"), ["of", "token"])
     enough = held.groupBy("key", "comp", "needed").agg(F.count("*").alias("overlap")).filter("overlap >= needed")
-    return persist_reliably(enough.select(F.col("key").alias("q"), "comp"))
+    return persist_reliably(enough.select(F.col("key").alias("q"), "comp").coalesce(tasks))
 
 
 def _exploded(distinct: bool):

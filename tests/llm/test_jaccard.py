@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from siteatlas.llm import graph, jaccard
@@ -164,3 +165,60 @@ def test_rounds_of_a_graph_take_tasks_by_its_edges(spark, monkeypatch):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_a_round_of_few_edges_shuffles_nothing(spark, monkeypatch, many_partitions):
+    plans, persist = [], graph.persist_reliably
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return persist(df)
+
+    monkeypatch.setattr(graph, "persist_reliably", kept)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(-50, 50)] + [(900, 800)], "a long, b long")
+    found = {r.id: r.component for r in graph.components(edges).collect()}
+    assert found == {i: -50 for i in range(-50, 51)} | {800: 800, 900: 800}
+    assert len(plans) > 1 and not [p for p in plans[1:] if "Exchange" in p]
+
+
+def test_stars_hang_every_id_on_the_smallest_it_is_linked_with():
+    rng = random.Random(4)
+    path = rng.sample(range(-5000, 5000), 3000)
+    edges = list(zip(path, path[1:], strict=False)) + [(7000 + i, 7000) for i in range(5)]
+    rng.shuffle(edges)
+    ids, least = graph.stars(*np.array(edges).T)
+    expected = {i: min(path) for i in path if i != min(path)} | {7000 + i: 7000 for i in range(1, 5)}
+    assert dict(zip(ids.tolist(), least.tolist(), strict=True)) == expected
+    assert [len(x) for x in graph.stars(np.empty(0, np.int64), np.empty(0, np.int64))] == [0, 0]
+
+
+def test_tables_of_few_rows_take_few_tasks(spark, monkeypatch, many_partitions):
+    parts, persist = {}, jaccard.persist_reliably
+
+    def kept(df):
+        out = persist(df)
+        parts.setdefault(tuple(out.columns), []).append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(jaccard, "persist_reliably", kept)
+    rows = copies(60, 80, 4, 1)
+    assert run(spark, rows) == brute(rows, 3, 90)
+    for columns in (("token", "df"), ("token", "id", "n", "at", "df"), ("id", "comp"), ("grp", "low0", "low1", "high0", "high1"), ("grp", "q")):
+        assert set(parts[columns]) == {1}, (columns, parts[columns])
+
+
+def test_tasks_follow_rows():
+    assert jaccard._tasks(0, 0, 90) == (1, 1, 1)
+    small, large = jaccard._tasks(50_000, 15_000_000, 90), jaccard._tasks(5_000_000, 1_500_000_000, 90)
+    assert all(40 * a < b <= 100 * a for a, b in zip(small, large, strict=True))
