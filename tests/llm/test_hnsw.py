@@ -79,3 +79,46 @@ def test_an_id_of_many_rows_is_one_before_shards_are_dealt(spark):
     once = [r for r in rows[:300]]
     found, want = run(spark, rows, [once[7], once[8]], shard=5000), exact(once, [once[7], once[8]], 10)
     assert {q: [i for _, i in near] for q, near in found.items()} == {q: [i for _, i in near] for q, near in want.items()}
+
+
+def test_no_neighbour_in_another_shard_is_missed(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, 100 + rng.normal(size=64)) for i in range(1500)] + [(i, 100 + np.ones(64)) for i in range(1500, 1550)]
+    rows += [(i, rng.normal(size=7)) for i in range(1550, 1600)]
+    queries = [(-i, 100 + rng.normal(size=64)) for i in range(1, 61)] + [(1500, 100 + np.ones(64)), (1550, rows[1550][1]), (-100, rng.normal(size=7)), (-101, rng.normal(size=5))]
+    make = lambda v: spark.createDataFrame([(i, [float(c) for c in x], "r") for i, x in v], SCHEMA)
+    graphs = hnsw.index(make(rows), shard=160)
+    shards = 10
+    home = {r.id: r.home for r in make(rows + queries).selectExpr("vec_id AS id", f"pmod(xxhash64(vec_id), {shards}) AS home").collect()}
+    want = {q: [i for _, i in near] for q, near in exact(rows, queries, 10).items() if near}
+    found = {}
+    for r in hnsw.nearest(graphs, make(queries), ef=12).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(found) == set(want)
+    for q, near in want.items():
+        assert len(found[q]) == len(near) and not [i for i in near if home[i] != home[q] and i not in found[q]]
+
+
+def shuffled(df):
+    """Bytes of all exchanges of the plan that ran."""
+
+    def of(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return of(plan.executedPlan())
+        if kind in ("ShuffleQueryStageExec", "ResultQueryStageExec"):
+            return of(plan.plan())
+        own = plan.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+        return own + sum(of(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    df.collect()
+    return of(df._jdf.queryExecution().executedPlan())
+
+
+def test_what_is_shuffled_does_not_grow_with_the_square(spark):
+    rng = np.random.default_rng(9)
+    moved = []
+    for n in (2000, 4000):
+        made = spark.createDataFrame([(i, x.tolist(), "r") for i, x in enumerate(rng.normal(size=(n, 32)))], SCHEMA)
+        moved.append(shuffled(hnsw.nearest(hnsw.index(made, shard=40), made.filter("vec_id % 2 = 0"))))
+    assert 0 < moved[1] < 2.5 * moved[0]
