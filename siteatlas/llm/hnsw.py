@@ -2,9 +2,9 @@
 
 Vectors are dealt to shards of bounded size by a hash of their id. A shard's graph is one row: vectors, ids and, per layer, one
 flat array of neighbour numbers with a fixed width. Shards are put together in bundles, and a task reads the graphs of a bundle once for
-all queries. A query searches the graph of the shard its own id is dealt to, by a beam search that runs for many queries in lock step. To every
-other shard of a bundle it is compared by a matrix product that leaves only what is nearer than its kth place so far: at 4096 vectors
-a product takes a fiftieth of a search's time and misses nothing. The bundles' answers are merged by two aggregates.
+all its queries. A query searches the graph of the shard its own id is dealt to, by a beam search that runs for many queries in lock step. To every
+other shard it is compared by a matrix product that leaves only what is nearer than its kth place so far: at 4096 vectors a product takes
+a fiftieth of a search's time and misses nothing. The query's own bundle goes first and gives the bound for all others; the bundles' answers are merged by two aggregates.
 
 Equal vectors of a shard are one node with all their ids, so a vector that fills a shard costs no links and hides no other.
 """
@@ -306,9 +306,8 @@ class _Shard:
 class _Places:
     """The k nearest found so far of some queries, as (query, score, id) in order."""
 
-    def __init__(self, q_ids: np.ndarray, queries: np.ndarray, k: int):
-        self.q_ids, self.queries, self.k = q_ids, queries, k
-        self.bound = np.full(len(q_ids), np.inf)
+    def __init__(self, q_ids: np.ndarray, queries: np.ndarray, bound: np.ndarray, k: int):
+        self.q_ids, self.queries, self.bound, self.k = q_ids, queries, bound, k
         self.q, self.score, self.vec = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
 
     def take(self, q: np.ndarray, node: np.ndarray, shard: _Shard) -> None:
@@ -331,9 +330,9 @@ class _Places:
         self.q, self.score, self.vec = q[best], score[best], vec[best]
 
 
-def _nearest_of(shards: list[_Shard], q_ids: np.ndarray, queries: np.ndarray, home: np.ndarray, k: int, ef: int) -> _Places:
-    """Of the vectors of all ``shards``; home: the shard whose graph a query searches."""
-    places = _Places(q_ids, queries, k)
+def _nearest_of(shards: list[_Shard], q_ids: np.ndarray, queries: np.ndarray, home: np.ndarray, bound: np.ndarray, k: int, ef: int) -> _Places:
+    """Of the vectors of all ``shards`` that are no farther than ``bound``; home: the shard whose graph a query searches."""
+    places = _Places(q_ids, queries, bound, k)
     for shard in shards:
         own = np.flatnonzero(home == shard.shard)
         if len(own):
@@ -356,34 +355,37 @@ def _searched(k: int, ef: int):
         now, shards = None, []
         for batch in batches:
             bundle, home = batch.column("bundle").to_numpy(), batch.column("home").to_numpy()
-            dim, graph = batch.column("dim").to_numpy(), home == _GRAPHS
+            graph = home == _GRAPHS
             for at in np.flatnonzero(graph):
                 if bundle[at] != now:
                     # the queries before it are those of the bundle before
-                    yield from answers(batch, np.flatnonzero(~graph & (bundle == now)), dim, home, now, shards)
+                    yield from answers(batch, np.flatnonzero(~graph & (bundle == now)), shards)
                     now, shards = bundle[at], []
                 shards.append(_Shard(batch, int(at)))
-            yield from answers(batch, np.flatnonzero(~graph & (bundle == now)), dim, home, now, shards)
-
-    def answers(batch: pa.RecordBatch, rows: np.ndarray, dim: np.ndarray, home: np.ndarray, bundle: int, shards: list[_Shard]) -> Iterator[pa.RecordBatch]:
-        for size in np.unique(dim[rows]):
-            held, asked = [s for s in shards if s.dim == size], rows[dim[rows] == size]
-            for low in range(0, len(asked) if held else 0, QUERY_BLOCK):
-                block = asked[low : low + QUERY_BLOCK]
-                q_ids, vector = (batch.column(name).take(pa.array(block)) for name in ("id", "vector"))
-                queries = vector.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
-                best = _nearest_of(held, q_ids.to_numpy(), queries, home[block], k, ef)
+            yield from answers(batch, np.flatnonzero(~graph & (bundle == now)), shards)
+
+    def answers(batch: pa.RecordBatch, rows: np.ndarray, shards: list[_Shard]) -> Iterator[pa.RecordBatch]:
+        asked = batch.take(pa.array(rows))
+        dim = asked.column("dim").to_numpy()
+        for size in np.unique(dim):
+            held, own = [s for s in shards if s.dim == size], np.flatnonzero(dim == size)
+            for low in range(0, len(own) if held else 0, QUERY_BLOCK):
+                block = asked.take(pa.array(own[low : low + QUERY_BLOCK]))
+                queries = block.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+                q_ids, home, bound = (block.column(name).to_numpy() for name in ("id", "home", "bound"))
+                best = _nearest_of(held, q_ids, queries, home, bound.copy(), k, ef)
                 hits = pa.StructArray.from_arrays([pa.array(best.score), pa.array(best.vec)], names=["score", "vec_id"])
-                starts = np.searchsorted(best.q, np.arange(len(block) + 1)).astype(np.int32)
-                yield pa.record_batch([q_ids, pa.array(np.full(len(block), bundle % 64)), pa.ListArray.from_arrays(pa.array(starts), hits)], names=["query_id", "part", "hits"])
+                starts = np.searchsorted(best.q, np.arange(len(q_ids) + 1)).astype(np.int32)
+                columns = [block.column("id"), block.column("dim"), block.column("bundle"), pa.ListArray.from_arrays(pa.array(starts), hits)]
+                yield pa.record_batch(columns, names=["query_id", "dim", "bundle", "hits"])
 
-    return over, "query_id long, part long, hits array<struct<score:double,vec_id:long>>"
+    return over, "query_id long, dim int, bundle long, hits array<struct<score:double,vec_id:long>>"
 
 
 def nearest(graphs: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, ef: int = EF_SEARCH) -> DataFrame:
     """(query_id, rank, vec_id, score): up to ``k`` nearest found of every usable query, by Euclidean distance and then id, without the query's own id.
 
-    Every query meets every shard. Queries are dealt once for a bundle of shards, and of a bundle's answers the best ``k`` leave the task.
+    Every query meets every shard. Queries are dealt once for a bundle of shards, its own first, and of a bundle's answers the best ``k`` leave the task.
     """
     spark = graphs.sparkSession
     bound_arrow_batches(spark)
@@ -391,13 +393,25 @@ def nearest(graphs: DataFrame, queries: DataFrame, id_col: str = "vec_id", vecto
     last, total = graphs.agg(F.max("shard"), F.sum(size)).first()
     shards = (last or 0) + 1
     bundles = min(shards, max(-(-(total or 0) // BUNDLE), BUNDLES * spark.sparkContext.defaultParallelism))
-    asked = _vectors(queries, id_col, vector_col).withColumn("home", F.pmod(F.xxhash64("id"), F.lit(shards)))
-    asked = asked.withColumn("bundle", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bundles - 1).cast("long"))))
     held = graphs.withColumns({"bundle": F.col("shard") % bundles, "home": F.lit(_GRAPHS).cast("long")})
-    dealt = held.unionByName(asked, allowMissingColumns=True).repartition(bundles, "bundle").sortWithinPartitions("bundle", "home", "id")
-    found = dealt.mapInArrow(*_searched(k, ef))
+
+    def found(asked: DataFrame) -> DataFrame:
+        dealt = held.unionByName(asked, allowMissingColumns=True).repartition(bundles, "bundle")
+        return dealt.sortWithinPartitions("bundle", "home", "id").mapInArrow(*_searched(k, ef))
+
+    asked = _vectors(queries, id_col, vector_col).withColumn("home", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    own = F.col("home") % bundles
+    if bundles == 1:
+        hits = found(asked.withColumns({"bundle": own, "bound": F.lit(math.inf)}))
+    else:
+        asked = persist_reliably(asked)
+        first = persist_reliably(found(asked.withColumns({"bundle": own, "bound": F.lit(math.inf)})))
+        bound = F.coalesce(F.get("hits", F.lit(k - 1))["score"], F.lit(math.inf))
+        others = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.lit(bundles - 1).cast("long")), lambda b: b != own))
+        rest = asked.join(first.select(F.col("query_id").alias("id"), "dim", "hits"), ["id", "dim"], "left")
+        hits = first.union(found(rest.select(*asked.columns, bound.alias("bound")).withColumn("bundle", others)))
     # at most k from each bundle, then from each 64th of the bundles, then of all
     best = F.slice(F.sort_array(F.flatten(F.collect_list("hits"))), 1, k).alias("hits")
-    hits = found.groupBy("query_id", "part").agg(best).groupBy("query_id").agg(best)
+    hits = hits.groupBy("query_id", (F.col("bundle") % 64).alias("part")).agg(best).groupBy("query_id").agg(best)
     hits = hits.select("query_id", F.posexplode("hits").alias("pos", "hit"))
     return hits.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
