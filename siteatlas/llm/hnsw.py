@@ -27,7 +27,7 @@ M = 16  # links of a node in the upper layers; twice as many in the lowest
 EF_BUILD = 64
 EF_SEARCH = 96
 QUERY_BLOCK = 512  # queries that meet a shard in one product
-BUNDLE = 128 << 20  # bytes of graphs that a task keeps, about
+BUNDLE = 64 << 20  # bytes of graphs that a task keeps, about
 BUNDLES = 4  # bundles for a core at least, as far as there are shards
 _BLOCK = 256
 
